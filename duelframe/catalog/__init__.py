@@ -1 +1,10 @@
+"""Registered queries, grouped by kind."""
 
+from __future__ import annotations
+
+
+def load_catalog():
+    from . import registry
+    from . import scalar  # noqa: F401
+
+    return registry.QUERIES, registry.CHECKS
