@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load_catalog():
     from . import registry
-    from . import scalar  # noqa: F401
+    from . import quotes, scalar, teams  # noqa: F401
 
     return registry.QUERIES, registry.CHECKS

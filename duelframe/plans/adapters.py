@@ -97,8 +97,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Teams on the roster; the last ones play no game."""
-    return table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 8).alias("team")).distinct()
+    """Teams on the roster: some teams with games are not on it, and its last ones play no game."""
+    return table(spark, sf_dir, "part").select((F.floor(F.col("p_partkey") / 8) + 10).alias("team")).distinct()
 
 
 def feed(g: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ VIEWS_SQL = {
                CASE WHEN game_id % 5 = 0 THEN away_id ELSE home_id END AS home,
                CASE WHEN game_id % 5 = 0 THEN home_id ELSE away_id END AS away
         FROM games"""),
-    "roster": ((), "SELECT DISTINCT p_partkey // 8 AS team FROM part"),
+    "roster": ((), "SELECT DISTINCT p_partkey // 8 + 10 AS team FROM part"),
 }
 
 
@@ -246,7 +246,5 @@ def with_views(needed: list[str], select: str) -> str:
     if not order:
         return select.strip()
     body = ",\n".join(f"{n} AS ({VIEWS_SQL[n][1].strip()})" for n in order)
-    text = select.strip()
-    if text.upper().startswith("WITH "):
-        return f"WITH {body},\n{text[5:]}"
-    return f"WITH {body}\n{text}"
+    # A leading comma means the select brings views of its own.
+    return f"WITH {body}\n{select.strip()}"
