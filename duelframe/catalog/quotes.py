@@ -253,12 +253,12 @@ def week_of_ts(spark, sf):
 
 
 @query("event_window", """
-    , b AS (SELECT min(kickoff) AS lo, max(kickoff) AS hi FROM games WHERE season BETWEEN 1996 AND 2000)
+    , b AS (SELECT min(kickoff) AS lo, max(kickoff) AS hi FROM games WHERE season = 1998)
     SELECT event_id, event_ts >= lo - INTERVAL 6 DAY AND event_ts <= hi + INTERVAL 6 DAY AS in_window,
            event_ts > hi + INTERVAL 2 DAY AS is_future, event_ts < lo - INTERVAL 2 DAY AS is_past FROM feed, b""", ["feed", "games"])
 def event_window(spark, sf):
     g = A.games(spark, sf)
-    return matching.event_window_flags(A.feed(g), g.where("season BETWEEN 1996 AND 2000")).select(
+    return matching.event_window_flags(A.feed(g), g.where("season = 1998")).select(
         "event_id", "in_window", "is_future", "is_past")
 
 
@@ -397,7 +397,7 @@ def flatten_odds(spark, sf):
 
 
 @query("extract_lines", """
-    SELECT game_id || '-' || line_no || '-' || part || '-' || supp || '-' || cents AS event_id, m.market,
+    SELECT game_id || '-' || line_no || '-' || part || '-' || supp || '-' || cents AS event_id, b.book, m.market,
            CASE WHEN m.market = 'spreads' THEN CASE WHEN swap THEN -1 ELSE 1 END * ((qty - 25) / 2) + 0.0 END AS spread_home_relative,
            CASE WHEN m.market = 'spreads' THEN -abs((qty - 25) / 2) END AS spread_favored_team,
            CASE WHEN m.market = 'spreads' THEN CASE WHEN NOT swap THEN CASE WHEN line_no <> 3 THEN CAST(price % 300 AS INTEGER) END ELSE -110 END END AS home_price,
@@ -405,12 +405,13 @@ def flatten_odds(spark, sf):
            CASE WHEN m.market = 'totals' AND line_no <> 4 THEN -115 END AS over_price,
            CASE WHEN m.market = 'totals' THEN -105 END AS under_price,
            CASE WHEN m.market = 'h2h' THEN CAST(price % 400 AS INTEGER) * CASE WHEN swap THEN -1 ELSE 1 END END AS moneyline_home
-    FROM (SELECT *, part % 2 = 1 AS swap FROM odds WHERE line_no % 2 = 1), (VALUES ('spreads'), ('totals'), ('h2h')) AS m(market)""", ["odds"])
+    FROM (SELECT *, part % 2 = 1 AS swap FROM odds) AS o, (VALUES ('spreads'), ('totals'), ('h2h')) AS m(market),
+         unnest(CASE WHEN o.line_no % 2 = 0 THEN [o.book, 'x'] ELSE ['unknown'] END) AS b(book)""", ["odds"])
 def extract_lines(spark, sf):
-    rows = quotes.flatten_odds(provider_events(spark, sf)).where("book = 'unknown'")
+    rows = quotes.flatten_odds(provider_events(spark, sf))
     swap = F.split("event_id", "-")[2].cast("long") % 2 == 1
     out = quotes.extract_lines(rows.withColumn("role_swapped", swap))
-    return out.select("event_id", "market", (F.col("spread_home_relative") + 0.0).alias("spread_home_relative"),
+    return out.select("event_id", "book", "market", (F.col("spread_home_relative") + 0.0).alias("spread_home_relative"),
                       "spread_favored_team", "home_price", "total_points", "over_price", "under_price", "moneyline_home")
 
 

@@ -26,8 +26,11 @@ def flatten_team_stats(games: DataFrame, key: list[str], teams: str = "teams") -
         # A category listed twice keeps its last value.
         stats = F.coalesce(entry["stats"], F.array())
 
+        def last_of(name: str) -> Column:
+            return F.try_element_at(F.filter(stats, lambda s: s["category"] == name), F.lit(-1))
+
         def stat(names: list[str]) -> Column:
-            hits = [F.try_element_at(F.filter(stats, lambda s, n=n: s["category"] == n), F.lit(-1)) for n in names]
+            hits = [last_of(name) for name in names]
             # The first category that is present decides, even when its text is not a number.
             chain = None
             for hit in hits:

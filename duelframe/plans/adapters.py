@@ -27,7 +27,11 @@ def week_of_year(ts: Column) -> Column:
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return games_columns(table(spark, sf_dir, "orders"))
+
+
+def games_columns(o: DataFrame) -> DataFrame:
+    """Games from orders, as a batch or a stream."""
     low = F.floor(F.col("o_custkey") / 8)
     high = low + 1 + F.col("o_orderkey") % 31
     flip = F.col("o_orderkey") % 2 == 1
@@ -61,7 +65,11 @@ STATS = {"rush": ("home_rush", "away_rush"), "pass": ("home_pass", "away_pass"),
 
 def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes; (line_no, part, supp, cents) is unique per game."""
-    li = table(spark, sf_dir, "lineitem")
+    return odds_columns(table(spark, sf_dir, "lineitem"))
+
+
+def odds_columns(li: DataFrame) -> DataFrame:
+    """Quotes from line items, as a batch or a stream."""
     kind = F.col("l_partkey") % 3
     return li.select(
         F.col("l_orderkey").alias("game_id"), F.col("l_returnflag").alias("book"),
