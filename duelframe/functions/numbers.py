@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 NUMBER_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+# A number, or the number before the first dash of a text such as "12-34".
+LEADING_NUMBER = (r"^(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+                  r"|\+?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE]\+?[0-9]+)?(?=-))")
 
 
 def as_col(c) -> Column:
@@ -13,22 +16,20 @@ def as_col(c) -> Column:
 
 def parse_number(c) -> Column:
     """Text to double; anything that is not a plain decimal number is null."""
-    text = F.trim(as_col(c).cast("string"))
     # The pattern keeps out spellings only the JVM accepts, such as "1d" or "0x1p3".
-    return finite(F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")))
+    return finite(F.regexp_extract(F.trim(as_col(c).cast("string")), NUMBER_PATTERN, 0).try_cast("double"))
 
 
 def finite(c) -> Column:
-    """NaN and infinities become null."""
+    """NaN and infinities become null (NaN compares as greater than infinity)."""
     c = as_col(c)
-    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def to_number(c) -> Column:
     """Like :func:`parse_number`, also "1,234" -> 1234 and "12-34" -> 12."""
-    text = F.regexp_replace(F.trim(as_col(c).cast("string")), ",", "")
-    head = F.split(text, "-", 2)[0]
-    return F.coalesce(parse_number(text), F.when(F.contains(text, F.lit("-")), parse_number(head)))
+    text = F.translate(F.trim(as_col(c).cast("string")), ",", "")
+    return finite(F.regexp_extract(text, LEADING_NUMBER, 0).try_cast("double"))
 
 
 def to_int(c) -> Column:

@@ -20,36 +20,38 @@ def flatten_team_stats(games: DataFrame, key: list[str], teams: str = "teams") -
 
     Games with fewer than two team entries are dropped. The opponent is the other element.
     """
-    arr = F.col(teams)
-
-    def measures(entry: Column) -> dict[str, Column]:
-        # A category listed twice keeps its last value.
-        stats = F.coalesce(entry["stats"], F.array())
-
-        def last_of(name: str) -> Column:
-            return F.try_element_at(F.filter(stats, lambda s: s["category"] == name), F.lit(-1))
-
-        def stat(names: list[str]) -> Column:
-            hits = [last_of(name) for name in names]
-            # The first category that is present decides, even when its text is not a number.
-            chain = None
-            for hit in hits:
-                value = to_number(hit["stat"])
-                chain = F.when(hit.isNotNull(), value) if chain is None else chain.when(hit.isNotNull(), value)
-            return chain
-
-        rush = F.coalesce(stat(STAT_CATEGORIES["rush"]), F.lit(0.0))
-        passing = F.coalesce(stat(STAT_CATEGORIES["pass"]), F.lit(0.0))
-        return {"points": to_int(entry["points"]), "rush": rush, "pass": passing,
-                "total": F.coalesce(stat(STAT_CATEGORIES["total"]), rush + passing),
-                "turnovers": F.coalesce(stat(STAT_CATEGORIES["turnovers"]), F.lit(0.0))}
-
-    rows = games.where(F.size(arr) >= 2).select(*key, F.posexplode(arr).alias("_i", "_own"), arr.alias("_teams"))
-    other = F.element_at("_teams", F.when(F.col("_i") == 0, 2).otherwise(1))
-    rows = rows.withColumn("_other", other)
-    own, opp = measures(F.col("_own")), measures(F.col("_other"))
-    return rows.select(*key, F.col("_own.team").alias("team"), F.col("_other.team").alias("opp"),
-                       *[c.alias(n) for n, c in own.items()], *[c.alias(f"opp_{n}") for n, c in opp.items()])
+    rows = games.where(F.size(teams) >= 2).select(*key, F.posexplode(teams).alias("_i", "_own"), F.col(teams).alias("_t"))
+    other = F.element_at("_t", F.when(F.col("_i") == 0, 2).otherwise(1))
+    rows = rows.select(*key, "_own", other.alias("_other"))
+
+    def text(side: str, name: str) -> Column:
+        """Last text of the first category present, so an unreadable text is not replaced."""
+        stats = F.col(f"{side}.stats")
+        found = None
+        for category in STAT_CATEGORIES[name]:
+            hit = _last_stat(stats, category)
+            found = hit if found is None else F.coalesce(found, hit)
+        return found["stat"]
+
+    sides = {"_own": "", "_other": "opp_"}
+    # Texts first, numbers after: each array is searched once per statistic.
+    texts = rows.select(*key, F.col("_own.team").alias("team"), F.col("_other.team").alias("opp"),
+                        *[F.col(f"{s}.points").alias(f"{p}points") for s, p in sides.items()],
+                        *[text(s, n).alias(f"{p}{n}") for s, p in sides.items() for n in STAT_CATEGORIES])
+    numbers = texts.select(*key, "team", "opp", *[to_int(f"{p}points").alias(f"{p}points") for p in sides.values()],
+                           *[to_number(f"{p}{n}").alias(f"{p}{n}") for p in sides.values() for n in STAT_CATEGORIES])
+    out = []
+    for p in sides.values():
+        rush, passing = F.coalesce(f"{p}rush", F.lit(0.0)), F.coalesce(f"{p}pass", F.lit(0.0))
+        out += [F.col(f"{p}points"), rush.alias(f"{p}rush"), passing.alias(f"{p}pass"),
+                F.coalesce(f"{p}total", rush + passing).alias(f"{p}total"),
+                F.coalesce(f"{p}turnovers", F.lit(0.0)).alias(f"{p}turnovers")]
+    return numbers.select(*key, "team", "opp", *out)
+
+
+def _last_stat(stats: Column, category: str) -> Column:
+    """A category listed twice keeps its last value."""
+    return F.try_element_at(F.filter(stats, lambda s: s["category"] == category), F.lit(-1))
 
 
 def table_cells(markup) -> Column:

@@ -183,25 +183,25 @@ def extract_lines(rows: DataFrame, home: str = "home_token", away: str = "away_t
     flip = F.coalesce(F.col(swapped), F.lit(False)) if swapped else F.lit(False)
     home_token = F.when(flip, F.col(away)).otherwise(F.col(home))
     away_token = F.when(flip, F.col(home)).otherwise(F.col(away))
-    home_out = _first(arr, lambda o: o["token"] == home_token)
-    away_out = _first(arr, lambda o: o["token"] == away_token)
-    over = _first(arr, lambda o: F.lower(o["name"]).startswith("over"))
-    under = _first(arr, lambda o: F.lower(o["name"]).startswith("under"))
-    spread = F.coalesce(home_out["point"], -away_out["point"])
-    total = F.coalesce(over["point"], under["point"], F.try_element_at(arr, F.lit(1))["point"])
     is_spread, is_total, is_money = (F.col("market") == m for m in ("spreads", "totals", "h2h"))
-    return rows.select(
+    # Each outcome is searched for once; prices and lines are then plain field reads.
+    found = rows.select(
         "*",
-        F.when(is_spread, spread).alias("spread_home_relative"),
-        F.when(is_spread, lines.favored_side(spread)).alias("favored_side"),
-        F.when(is_spread, lines.favored_spread(spread)).alias("spread_favored_team"),
-        F.when(is_spread, home_out["price"]).alias("home_price"),
-        F.when(is_spread, away_out["price"]).alias("away_price"),
-        F.when(is_total, total).alias("total_points"),
-        F.when(is_total, over["price"]).alias("over_price"),
-        F.when(is_total, under["price"]).alias("under_price"),
-        F.when(is_money, home_out["price"]).alias("moneyline_home"),
-        F.when(is_money, away_out["price"]).alias("moneyline_away"))
+        F.when(is_spread | is_money, _first(arr, lambda o: o["token"] == home_token)).alias("_home"),
+        F.when(is_spread | is_money, _first(arr, lambda o: o["token"] == away_token)).alias("_away"),
+        F.when(is_total, _first(arr, lambda o: F.lower(o["name"]).startswith("over"))).alias("_over"),
+        F.when(is_total, _first(arr, lambda o: F.lower(o["name"]).startswith("under"))).alias("_under"),
+        F.when(is_total, F.try_element_at(arr, F.lit(1))).alias("_any"))
+    found = found.withColumn("_spread", F.when(is_spread, F.coalesce("_home.point", -F.col("_away.point"))))
+    return found.select(
+        *rows.columns, F.col("_spread").alias("spread_home_relative"),
+        lines.favored_side("_spread").alias("favored_side"), lines.favored_spread("_spread").alias("spread_favored_team"),
+        F.when(is_spread, F.col("_home.price")).alias("home_price"),
+        F.when(is_spread, F.col("_away.price")).alias("away_price"),
+        F.coalesce("_over.point", "_under.point", "_any.point").alias("total_points"),
+        F.col("_over.price").alias("over_price"), F.col("_under.price").alias("under_price"),
+        F.when(is_money, F.col("_home.price")).alias("moneyline_home"),
+        F.when(is_money, F.col("_away.price")).alias("moneyline_away"))
 
 
 def pick_book(books, preferred: str = "pinnacle") -> Column:

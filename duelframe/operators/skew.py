@@ -30,15 +30,21 @@ def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner
               spread_by: list[str] | None = None, salts: int = 16) -> DataFrame:
     """Equi-join that keeps a hot key of ``big`` off a single task.
 
-    A small side below the broadcast threshold is broadcast: no shuffle, so no skew. Above
-    it, ``big`` rows of one key are spread over ``salts`` sub-keys by a hash of ``spread_by``
-    and the narrow small side is repeated once per sub-key. ``how``: inner, left,
-    left_semi or left_anti.
+    * A small side below the broadcast threshold is broadcast: no shuffle, so no skew.
+    * A small side whose ``salts`` copies together stay below the big side is repeated, and
+      rows of one key are spread over as many sub-keys by a hash of ``spread_by``.
+    * Otherwise both sides shuffle once and adaptive execution splits a skewed partition
+      (``session.tune`` switches that on, also where the split costs another shuffle).
+
+    ``how``: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot salt a {how} join")
+        raise ValueError(f"only the big side may be kept whole, not a {how} join")
     if fits_broadcast(small):
         return big.join(F.broadcast(small), on, how)
+    small_size, big_size = plan_bytes(small), plan_bytes(big)
+    if small_size is None or big_size is None or small_size * salts > big_size:
+        return big.join(small, on, how)
     spread_by = spread_by or [c for c in big.columns if c not in on]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = small.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
