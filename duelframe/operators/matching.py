@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ranks import best_per_key
-from .skew import skew_join
+from .skew import calendar, skew_join
 
 MICROS = 1_000_000
 
@@ -240,8 +240,8 @@ def week_of(df: DataFrame, windows: DataFrame, by: list[str], ts: str, week: str
         F.min("start").alias("_first_start"), F.min_by(week, F.struct("start", week)).alias("_first_week"),
         F.max_by(week, F.struct("start", week)).alias("_last_week"))
     probe = df.withColumn("start", tuesday_start(ts))
-    out = skew_join(probe, starts, [*by, "start"], "left")
-    out = skew_join(out, ends, by, "left")
+    out = probe.join(calendar(starts), [*by, "start"], "left")
+    out = out.join(calendar(ends), by, "left")
     resolved = F.coalesce("_week", F.when(F.col(ts) < F.col("_first_start"), F.col("_first_week"))
                           .otherwise(F.col("_last_week")))
     return out.withColumn(name, F.when(F.col(ts).isNotNull(), resolved)).drop(

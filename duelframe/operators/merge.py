@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.numbers import has_value
+from .skew import calendar
 
 # Fields whose old value survives a merge.
 ODDS_FIELDS = ["spread_home_relative", "spread_favored_team", "favored_side", "total", "moneyline_home",
@@ -112,8 +113,7 @@ def lookback_weeks(games: DataFrame, current: DataFrame, by: list[str], weeks_ba
                    week: str = "wk") -> DataFrame:
     """Rows of the ``weeks_back`` weeks before each season's current week."""
     small = current.select(*by, F.col(week).alias("_current"))
-    from .skew import skew_join
-    return (skew_join(games, small, by)
+    return (games.join(calendar(small), by)
             .where((F.col(week) < F.col("_current")) & (F.col(week) >= F.col("_current") - weeks_back))
             .drop("_current"))
 

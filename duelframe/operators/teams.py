@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lines
 from .prefix import day_bucket, running_sums
+from .skew import calendar
 
 
 def to_team_rows(games: DataFrame, keep: list[str], home: str = "home_id", away: str = "away_id",
@@ -81,35 +82,39 @@ def weekly_totals(team_rows: DataFrame, sums: dict[str, Column], by: list[str],
 
 def week_grid(weekly: DataFrame, by: list[str], week: str = "wk", team: str = "team",
               last_week: DataFrame | None = None) -> DataFrame:
-    """Fill bye weeks: every team of a season gets a row for every week up to the last."""
+    """Every team of a season with every week up to the season's last, bye weeks included."""
     if last_week is None:
         last_week = weekly.groupBy(*by).agg(F.max(week).alias("_last"))
     teams = weekly.select(*by, team).distinct()
-    grid = (teams.join(last_week, by)
+    return (teams.join(calendar(last_week), by)
             .select(*by, team, F.explode(F.sequence(F.lit(1), F.col("_last"))).alias(week)))
-    return grid.join(weekly, [*by, team, week], "left")
 
 
-def to_date(weekly_grid: DataFrame, sums: list[str], by: list[str], week: str = "wk",
-            team: str = "team") -> DataFrame:
-    """Totals over earlier weeks only, for every (season, team, week) of the grid."""
+def to_date(weekly: DataFrame, sums: list[str], by: list[str], week: str = "wk", team: str = "team",
+            last_week: DataFrame | None = None) -> DataFrame:
+    """Totals over earlier weeks only, for every (season, team, week).
+
+    Grid rows are added to the weekly rows as zeros and one window sums over both; only the
+    grid rows are kept. A frame that ends a week earlier never sees its own week, so no join
+    of grid and totals is needed.
+    """
+    grid = week_grid(weekly, by, week, team, last_week)
+    both = (weekly.select(*by, team, week, *sums, F.lit(False).alias("_grid"))
+            .unionByName(grid.withColumn("_grid", F.lit(True)), allowMissingColumns=True))
     prior = (Window.partitionBy(*by, team).orderBy(week)
              .rangeBetween(Window.unboundedPreceding, -1))
-    return weekly_grid.select(
-        *by, team, week,
-        *[F.coalesce(F.sum(s).over(prior), F.lit(0)).alias(s) for s in sums])
+    summed = both.select(*by, team, week, "_grid", *[F.coalesce(F.sum(s).over(prior), F.lit(0)).alias(s) for s in sums])
+    return summed.where("_grid").drop("_grid")
 
 
 def season_to_date(team_rows: DataFrame, stats: list[str], by: list[str], week: str = "wk",
                    team: str = "team") -> DataFrame:
     """Per-game means over earlier weeks for every week.
 
-    ``stats`` must include ``rush`` and ``pass`` when a total is wanted: the ``total`` column
-    falls back to their sum. A null counts as 0 and every stat row counts as a game.
+    A null counts as 0 and every stat row counts as a game.
     """
-    sums = {s: F.col(s) for s in stats}
-    weekly = weekly_totals(team_rows, sums, by, week, team)
-    totals = to_date(week_grid(weekly, by, week, team), ["gp", *stats], by, week, team)
+    weekly = weekly_totals(team_rows, {s: F.col(s) for s in stats}, by, week, team)
+    totals = to_date(weekly, ["gp", *stats], by, week, team)
     return totals.select(*by, team, week, "gp", *stats,
                          *[F.try_divide(F.col(s), F.col("gp")).alias(f"{s}_pg") for s in stats])
 
@@ -127,7 +132,7 @@ def cutoff_slots(team_rows: DataFrame, games: DataFrame, by: list[str], week: st
     # rank() - 1 = number of weeks that began strictly earlier.
     weeks = starts.select(*by, week, F.rank().over(order).alias("slot"), "first_kickoff")
     lists = weeks.groupBy(*by).agg(F.array_sort(F.collect_list("first_kickoff")).alias("_starts"))
-    slotted = (team_rows.join(lists, by)
+    slotted = (team_rows.join(calendar(lists), by)
                .withColumn("slot", F.size(F.filter("_starts", lambda s: s <= F.col(kickoff))))
                .drop("_starts"))
     return slotted, weeks.drop("first_kickoff")
@@ -139,8 +144,8 @@ def season_to_date_first_kickoff(team_rows: DataFrame, games: DataFrame, stats:
     slotted, weeks = cutoff_slots(team_rows, games, by, week, kickoff)
     weekly = weekly_totals(slotted, {s: F.col(s) for s in stats}, by, "slot", team)
     last = weeks.groupBy(*by).agg(F.max("slot").alias("_last"))
-    totals = to_date(week_grid(weekly, by, "slot", team, last), ["gp", *stats], by, "slot", team)
-    return (totals.join(weeks, [*by, "slot"])
+    totals = to_date(weekly, ["gp", *stats], by, "slot", team, last)
+    return (totals.join(calendar(weeks), [*by, "slot"])
             .select(*by, team, week, "gp", *stats,
                     *[F.try_divide(F.col(s), F.col("gp")).alias(f"{s}_pg") for s in stats]))
 
@@ -185,7 +190,7 @@ def favorite_ats(games: DataFrame, by: list[str], week: str = "wk", home: str =
         .select(*by, week, "_t.*"))
     weekly = weekly_totals(rows, {c: F.col(c) for c in ("w", "l", "p")}, by, week)
     last = games.groupBy(*by).agg(F.max(week).alias("_last"))
-    return to_date(week_grid(weekly, by, week, last_week=last), ["w", "l", "p"], by, week)
+    return to_date(weekly, ["w", "l", "p"], by, week, last_week=last)
 
 
 def apply_records(games: DataFrame, tallies: DataFrame, by: list[str], week: str = "wk", home: str = "home_id",

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import lines
-from ..operators import joins, quotes, ranks, teams
+from ..operators import quotes, ranks, teams
+from ..operators.prefix import day_bucket, running_sums
+from ..operators.skew import skew_join
 
 METRIC_RANKS = {"ry_pg": True, "py_pg": True, "ty_pg": True, "ry_allowed_pg": False, "py_allowed_pg": False,
                 "ty_allowed_pg": False}
 METRICS = ["gp", "pf_pg", "pa_pg", "ry_pg", "py_pg", "ty_pg", "ry_allowed_pg", "py_allowed_pg", "ty_allowed_pg",
            "to_margin_pg"]
+RATING_COLUMNS = ("pr", "pr_rank", "sos", "sos_rank")
 
 
 def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk") -> DataFrame:
@@ -34,40 +37,55 @@ def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk") -> Dat
     return ranks.dense_rank_league(wide, [*by, week], METRIC_RANKS)
 
 
+def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str = "wk", key: str = "game_id"
+              ) -> DataFrame:
+    """One row per game and side: records before kickoff, week metrics and week ratings.
+
+    Records count regular games only (a missing type is regular). Metrics and ratings are
+    joined once, on the team-week, for both sides together.
+    """
+    flags = teams.outcome_flags()
+    if "game_type" in team_rows.columns:
+        regular = F.coalesce(F.col("game_type") == "REG", F.lit(True))
+        flags = {n: F.when(regular, c).otherwise(0) for n, c in flags.items()}
+    timed = team_rows.select(key, "site", *by, week, "team", "kickoff", F.unix_micros("kickoff").alias("_at"),
+                             *[c.alias(f"_{n}") for n, c in flags.items()])
+    before = running_sums(timed, [*by, "team"], ["_at"], day_bucket("kickoff"),
+                          {n: F.col(f"_{n}") for n in flags}, "before")
+    rows = before.select(key, "site", *by, week, "team",
+                         lines.format_record("w", "l", "t", "su").alias("su"),
+                         lines.format_record("ats_w", "ats_l", "ats_p", "ats").alias("ats"))
+    metrics = league_metrics(team_rows, by, week).select(
+        *by, week, "team", *METRICS, *[f"{m}_rank" for m in METRIC_RANKS])
+    rating_cols = [c for c in RATING_COLUMNS if c in ratings.columns]
+    rows = skew_join(rows, metrics, [*by, week, "team"], "left")
+    return skew_join(rows, ratings.select(*by, week, "team", *rating_cols), [*by, week, "team"], "left")
+
+
 def game_view(games: DataFrame, team_rows: DataFrame, pinned: DataFrame, ratings: DataFrame, by: list[str],
               week: str = "wk", key: str = "game_id", hfa: float = 0.0, ties: list[str] | None = None,
-              policy: str = "latest", games_only: bool = True) -> DataFrame:
+              policy: str = "latest") -> DataFrame:
     """One wide row per game: schedule, promoted lines, ratings, season-to-date metrics, records.
 
     Edges are computed after promotion. ``ratings`` has pr, pr_rank, sos, sos_rank per week.
+    Sides and lines both arrive grouped by the game key, so the last joins need no more shuffles.
     """
-    metrics = league_metrics(team_rows, by, week)
-    regular = team_rows.where("game_type = 'REG' OR game_type IS NULL") if "game_type" in team_rows.columns else team_rows
-    records = teams.record_before(team_rows if not games_only else regular, by)
-    flags = ["w", "l", "t", "ats_w", "ats_l", "ats_p"]
-    records = records.select(
-        key, "team",
-        lines.format_record("w_before", "l_before", "t_before", "su").alias("su"),
-        lines.format_record("ats_w_before", "ats_l_before", "ats_p_before", "ats").alias("ats"))
-    del flags
+    sides = side_rows(team_rows, ratings, by, week, key)
+    columns = [c for c in sides.columns if c not in (key, "site", *by, week, "team")]
+    packed = F.struct(*columns)
+    nested = sides.groupBy(key).agg(
+        F.any_value(F.when(F.col("site") == "H", packed), True).alias("_h"),
+        F.any_value(F.when(F.col("site") == "A", packed), True).alias("_a"))
+    flat = nested.select(key, *[F.col(f"_{s[0]}.{c}").alias(f"{s}_{c}") for s in ("home", "away") for c in columns])
     promoted = quotes.promote_lines(games, pinned, key, policy=policy, ties=ties)
-    out = games.join(promoted.drop("provenance", "used_records", "markets"), key, "left")
+    out = games.join(promoted.drop("provenance", "used_records", "markets"), key, "left").join(flat, key, "left")
     if "spread" in games.columns:
         # The schedule's own line stands where nothing was promoted.
-        line = F.coalesce("spread_home_relative", F.col("spread"))
-        out = out.withColumn("odds_source", F.coalesce("odds_source", F.when(F.col("spread").isNotNull(), "schedule")))
-        out = out.withColumn("spread_home_relative", line)
-    rating_cols = [c for c in ("pr", "pr_rank", "sos", "sos_rank") if c in ratings.columns]
-    out = joins.join_both_sides(out, ratings, [*by, week], rating_cols)
-    out = joins.join_both_sides(out, metrics, [*by, week], [*METRICS, *[f"{m}_rank" for m in METRIC_RANKS]])
-    for prefix, column in (("home_", "home_id"), ("away_", "away_id")):
-        side = records.select(key, F.col("team").alias(column), F.col("su").alias(f"{prefix}su"),
-                              F.col("ats").alias(f"{prefix}ats"))
-        # (game, side) is unique on both sides of this join.
-        out = out.join(side, [key, column], "left")
+        out = out.withColumns({
+            "odds_source": F.coalesce("odds_source", F.when(F.col("spread").isNotNull(), "schedule")),
+            "spread_home_relative": F.coalesce("spread_home_relative", "spread")})
     out = out.withColumn("hfa", F.lit(float(hfa)))
-    edges = lines.edge_columns("home_pr", "away_pr", "hfa", "spread_home_relative", use_hfa=True)
-    return out.withColumns(edges)
+    return out.withColumns(lines.edge_columns("home_pr", "away_pr", "hfa", "spread_home_relative", use_hfa=True))
 
 
 def provenance(view: DataFrame) -> DataFrame:
