@@ -219,8 +219,7 @@ def file_stream(spark, sf, name: str) -> DataFrame:
     """One driver table as a file stream."""
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-    return raw.select(*[F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.simpleString() == "timestamp_ntz" else F.col(f.name)
-                        for f in schema.fields])
+    return A.utc_columns(raw)
 
 
 def stream_quotes(spark, sf) -> DataFrame:

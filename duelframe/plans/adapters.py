@@ -8,15 +8,28 @@ integers divided by two, so sums do not depend on order.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import tune
 
 HFA = 2.5
 
 
+# Schemas already read, so that a plan with many scans does not open the footers again.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    # Driver timestamps have no zone; everything below is UTC.
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = tune(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = reader.parquet(path).schema
+    df = reader.schema(_SCHEMAS[path]).parquet(path)
+    return utc_columns(df)
+
+
+def utc_columns(df: DataFrame) -> DataFrame:
+    """Driver timestamps have no zone; everything here is UTC."""
     return df.select(*[F.col(f"`{f.name}`").cast("timestamp").alias(f.name)
                        if f.dataType.simpleString() == "timestamp_ntz" else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
