@@ -159,18 +159,18 @@ def coverage(spark, sf):
 
 
 @query("validate_ratings", """
-    SELECT season, wk, count(*) AS rows, count(*) BETWEEN 60 AND 140 AS count_ok,
+    SELECT team // 64 AS league, season, wk, count(*) AS rows, count(*) BETWEEN 20 AND 64 AS count_ok,
            min(r) = 1 AND max(r) = count(*) AND count(DISTINCT r) = count(*) AS ranks_ok, count(DISTINCT team) = count(*) AS names_ok,
            count(*) FILTER (WHERE team % 50 = 0 AND wk % 4 = 0) = 0 AS precision_ok,
            count(*) FILTER (WHERE team % 9 <> 0) = 0 OR count(*) FILTER (WHERE team % 9 <> 0) >= 0.9 * count(*) AS strength_ok
-    FROM (SELECT *, CASE WHEN wk % 5 = 0 AND pr_rank = 2 THEN 1 ELSE pr_rank END AS r FROM rated) GROUP BY season, wk""", ["rated"])
+    FROM (SELECT *, CASE WHEN wk % 5 = 0 AND pr_rank = 2 THEN 1 ELSE pr_rank END AS r FROM rated) GROUP BY ALL""", ["rated"])
 def validate_ratings(spark, sf):
     r = rated(spark, sf)
     spoiled = r.select(
-        "season", "wk", "team", "sos_rank", F.when((F.col("wk") % 5 == 0) & (F.col("pr_rank") == 2), 1).otherwise(F.col("pr_rank")).alias("pr_rank"),
+        A.league_of().alias("league"), "season", "wk", "team", "sos_rank", F.when((F.col("wk") % 5 == 0) & (F.col("pr_rank") == 2), 1).otherwise(F.col("pr_rank")).alias("pr_rank"),
         F.when((F.col("team") % 50 == 0) & (F.col("wk") % 4 == 0), F.col("pr") + 0.125).otherwise(F.col("pr")).alias("pr"),
         F.when(F.col("team") % 9 != 0, F.col("sos")).alias("sos"))
-    return quality.validate_ratings(spoiled, ["season", "wk"], 60, 140)
+    return quality.validate_ratings(spoiled, ["league", "season", "wk"], 20, 64)
 
 
 @query("range_checks", """

@@ -449,7 +449,7 @@ def rank_fallback(spark, sf):
     k = F.col("game_id") % 3
     base = rows.select("game_id", "season", "wk", "team", "opp", F.when(k == 0, 0).when(k == 1, 7).alias("pr_rank"),
                        F.lit(None).cast("int").alias("opp_pr_rank"))
-    metrics = league_metrics(rows, BY).select("season", "wk", "team", F.when(F.col("team") % 2 == 0, F.col("ty_pg_rank")).alias("pr_rank"))
+    metrics = league_metrics(rows, BY, league=A.league_of()).select("season", "wk", "team", F.when(F.col("team") % 2 == 0, F.col("ty_pg_rank")).alias("pr_rank"))
     out = ratings.rank_fallback(base, [metrics, rated(spark, sf)], BY,
                                 {"pr_rank": ("team", "pr_rank"), "opp_pr_rank": ("opp", "pr_rank")})
     return out.select("game_id", "team", "pr_rank", "pr_rank_fixed", "opp_pr_rank", "opp_pr_rank_fixed")

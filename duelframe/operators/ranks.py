@@ -79,11 +79,13 @@ def game_numbers(games: DataFrame, by: list[str], week: str = "wk", kickoff: str
     return out.withColumn("game_number", F.concat(F.col(week).cast("string"), digits))
 
 
-def team_numbers(teams: DataFrame, name: str, by: list[str]) -> DataFrame:
-    """Alphabetical number of each distinct name within its league or season."""
+def team_numbers(teams: DataFrame, name: str, by: list[str], prefix: int = 4) -> DataFrame:
+    """Alphabetical number of each distinct name within its league or season.
+
+    Names are split by their first characters, which never decrease along the alphabet.
+    """
     distinct = teams.select(*by, name).where(F.col(name).isNotNull()).distinct()
-    order = Window.partitionBy(*by).orderBy(name)
-    return distinct.withColumn("team_number", F.row_number().over(order))
+    return row_numbers(distinct, by, [name], F.substring(name, 1, prefix), "team_number")
 
 
 def sorted_output(df: DataFrame, *cols: str) -> DataFrame:

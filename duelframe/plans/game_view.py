@@ -16,10 +16,11 @@ METRICS = ["gp", "pf_pg", "pa_pg", "ry_pg", "py_pg", "ty_pg", "ry_allowed_pg", "
 RATING_COLUMNS = ("pr", "pr_rank", "sos", "sos_rank")
 
 
-def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk") -> DataFrame:
+def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk", league: F.Column | None = None) -> DataFrame:
     """Per-game means over earlier weeks with league ranks, for every week of every season.
 
-    ``team_rows`` carries rush, pass and turnovers of both sides next to the points.
+    ``team_rows`` carries rush, pass and turnovers of both sides next to the points. ``league``
+    tells a team's league, so that a rank window is only as long as one league has teams.
     """
     stats = ["rush", "pass", "turnovers", "opp_rush", "opp_pass", "opp_turnovers", "pf", "pa"]
     base = teams.season_to_date(team_rows, stats, by, week)
@@ -34,11 +35,13 @@ def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk") -> Dat
         F.col("opp_pass_pg").alias("py_allowed_pg"),
         mean(F.col("opp_rush") + F.col("opp_pass")).alias("ty_allowed_pg"),
         mean(F.col("opp_turnovers") - F.col("turnovers")).alias("to_margin_pg"))
-    return ranks.dense_rank_league(wide, [*by, week], METRIC_RANKS)
+    if league is None:
+        return ranks.dense_rank_league(wide, [*by, week], METRIC_RANKS)
+    return ranks.dense_rank_league(wide.withColumn("league", league), ["league", *by, week], METRIC_RANKS)
 
 
-def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str = "wk", key: str = "game_id"
-              ) -> DataFrame:
+def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str = "wk", key: str = "game_id",
+              league: F.Column | None = None) -> DataFrame:
     """One row per game and side: records before kickoff, week metrics and week ratings.
 
     Records count regular games only (a missing type is regular). Metrics and ratings are
@@ -55,7 +58,7 @@ def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str
     rows = before.select(key, "site", *by, week, "team",
                          lines.format_record("w", "l", "t", "su").alias("su"),
                          lines.format_record("ats_w", "ats_l", "ats_p", "ats").alias("ats"))
-    metrics = league_metrics(team_rows, by, week).select(
+    metrics = league_metrics(team_rows, by, week, league).select(
         *by, week, "team", *METRICS, *[f"{m}_rank" for m in METRIC_RANKS])
     rating_cols = [c for c in RATING_COLUMNS if c in ratings.columns]
     rows = skew_join(rows, metrics, [*by, week, "team"], "left")
@@ -64,13 +67,13 @@ def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str
 
 def game_view(games: DataFrame, team_rows: DataFrame, pinned: DataFrame, ratings: DataFrame, by: list[str],
               week: str = "wk", key: str = "game_id", hfa: float = 0.0, ties: list[str] | None = None,
-              policy: str = "latest") -> DataFrame:
+              policy: str = "latest", league: F.Column | None = None) -> DataFrame:
     """One wide row per game: schedule, promoted lines, ratings, season-to-date metrics, records.
 
     Edges are computed after promotion. ``ratings`` has pr, pr_rank, sos, sos_rank per week.
     Sides and lines both arrive grouped by the game key, so the last joins need no more shuffles.
     """
-    sides = side_rows(team_rows, ratings, by, week, key)
+    sides = side_rows(team_rows, ratings, by, week, key, league)
     columns = [c for c in sides.columns if c not in (key, "site", *by, week, "team")]
     packed = F.struct(*columns)
     nested = sides.groupBy(key).agg(
