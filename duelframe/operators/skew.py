@@ -2,43 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, functions as F
+
+
+# Longest array that is exploded on the way to a joined table: the weeks of a season.
+MAX_EXPLODED = 64
+BROADCAST_LIMIT = 10 << 20
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, None if unknown.
+    """Upper bound of a plan's size from Catalyst's estimate, None if unknown.
 
-    Taken from the analysed plan: it costs no optimizer run, and without pruned columns and
-    filters it can only be too large.
+    The analysed plan costs no optimizer run, and its estimate is not lowered by filters or
+    pruned columns; joins count as the product of their sides. Only explode() can make a
+    table larger than estimated, so each one multiplies the bound.
     """
     try:
-        return int(str(df._jdf.logicalPlan().stats().sizeInBytes()))
+        plan = df._jdf.logicalPlan()
+        size = int(str(plan.stats().sizeInBytes()))
+        explodes = len(re.findall(r"\bGenerate\b", plan.toString()))
     except Exception:
         return None
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    if text and text[-1] in units:
-        return int(float(text[:-1]) * units[text[-1]])
-    return int(text)
+    return size * MAX_EXPLODED ** explodes
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     size = plan_bytes(df)
-    return size is not None and 0 <= size <= broadcast_limit(df.sparkSession)
+    return size is not None and size <= BROADCAST_LIMIT
 
 
 def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
               spread_by: list[str] | None = None, salts: int = 16) -> DataFrame:
     """Equi-join that keeps a hot key of ``big`` off a single task.
 
-    * A small side below the broadcast threshold is broadcast: no shuffle, so no skew.
+    * A small side whose size bound is below the limit is broadcast: no shuffle, so no skew.
     * A small side whose ``salts`` copies together stay below the big side is repeated, and
       rows of one key are spread over as many sub-keys by a hash of ``spread_by``.
-    * Otherwise both sides shuffle once and adaptive execution splits a skewed partition
-      (``session.tune`` switches that on, also where the split costs another shuffle).
+    * Otherwise both sides shuffle once. Adaptive execution then broadcasts the small side if
+      its measured size allows, or splits a skewed partition (``session.tune`` switches that
+      on, also where the split costs another shuffle).
 
     ``how``: inner, left, left_semi or left_anti.
     """

@@ -180,19 +180,17 @@ def test_asof_forms_agree_on_a_hot_key(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
-def test_salted_join_keeps_every_row(spark):
-    big = spark.range(5000).select((F.col("id") % 3 * F.lit(0) + F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))).alias("k"), F.col("id").alias("v"))
-    small = spark.range(0, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+def test_salted_join_keeps_every_row(spark, monkeypatch):
+    # A third of the big side shares one key; eight copies of the small side still weigh less.
+    big = spark.range(50000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    small = spark.range(1, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert skew.plan_bytes(small) * 8 <= skew.plan_bytes(big)
     want = {how: sorted(map(tuple, big.join(small, ["k"], how).collect()), key=str) for how in ("inner", "left", "left_semi", "left_anti")}
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for how, rows in want.items():
-            for salts in (1, 8):
-                plan = skew.skew_join(big, small, ["k"], how, salts=salts)
-                assert sorted(map(tuple, plan.collect()), key=str) == rows
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    monkeypatch.setattr(skew, "BROADCAST_LIMIT", -1)
+    for how, rows in want.items():
+        for salts in (1, 8):
+            plan = skew.skew_join(big, small, ["k"], how, salts=salts)
+            assert sorted(map(tuple, plan.collect()), key=str) == rows
     with pytest.raises(ValueError):
         skew.skew_join(big, small, ["k"], "full_outer")
 
