@@ -81,7 +81,7 @@ def main(names: list[str]) -> int:
             got = fn(spark, sf).toArrow()
             took = time.time() - start
             if name in checks:
-                problem = compare(got, con.execute(checks[name]).to_arrow_table())
+                problem = compare(got, con.sql(checks[name]).to_arrow_table())
                 mark = "ok" if not problem else "DIFF " + problem
             else:
                 problem, mark = "", f"rows only ({got.num_rows})"

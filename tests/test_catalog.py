@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, con, name):
     got = entry.queries()[name](spark, SF).toArrow()
     checks = entry.oracle_sql()
     if name in checks:
-        assert compare(got, con.execute(checks[name]).to_arrow_table()) == ""
+        assert compare(got, con.sql(checks[name]).to_arrow_table()) == ""
 
 
 def test_entry_has_rows(spark):
