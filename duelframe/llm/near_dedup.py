@@ -135,6 +135,8 @@ def _verified(store: Stored, docs: DataFrame, pairs: DataFrame, known: DataFrame
     one = known.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     two = known.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
     likely = store.save(pairs.join(one, "a").join(two, "b").where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b"))
+    if likely.isEmpty():
+        return likely
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     sets = store.save(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
     links = store.save(likely.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
@@ -158,8 +160,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     crowded = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     shared = store.save(bands.join(crowded, "band").select("band", "doc_id", "low"))
     links = _verified(store, docs, shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), known)
+    found = components(spark, links, store)
     for last in (False, True):
-        found = components(spark, links, store)
         # Buckets that still hold several classes.
         held = shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
             "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -167,17 +169,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
                                          F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id")).alias("lead")).where("c0 < c1")
         if not last:
             pairs = held.join(apart, "band").where("component <> lead.component").select(
-                F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")).distinct()
-            links = store.save(links.union(_verified(store, docs, pairs, known)))
+                F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b"))
         else:
             left = store.save(held.join(apart.select("band"), "band", "left_semi")
                               .join(known.select("doc_id", "n_shingles", "sketch"), "doc_id"))
             x, y = left.alias("x"), left.alias("y")
             pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
                            & screen(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.sketch"), F.col("y.sketch")))
-            pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-            links = store.save(links.union(_verified(store, docs, pairs, known)))
-    found = components(spark, links, store)
+            pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+        more = _verified(store, docs, pairs.distinct(), known)
+        if not more.isEmpty():
+            links = store.save(links.union(more))
+            found = components(spark, links, store)
     store.drop(shared, known)
     return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

@@ -276,11 +276,11 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cuts = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
     for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(use)].tolist()):
         mine = number[use[a:b]]
-        n = (run_head[mine + 1] - run_head[mine]).astype(np.uint32)
+        n = run_head[mine + 1] - run_head[mine]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(run_head[mine], n)
         yield pa.RecordBatch.from_arrays(
             [pa.array([sent[a]], pa.int64()), pa.array([0], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                value[use[a:b]], n, length[at].astype(np.uint32), least[run[at]]))], ["block", "bucket", "content", "runs", "lengths", "least"])
+                value[use[a:b]], n.astype(np.uint32), length[at].astype(np.uint32), least[run[at]]))], ["block", "bucket", "content", "runs", "lengths", "least"])
 
 
 def _remove(parts: int):
