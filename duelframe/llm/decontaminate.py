@@ -4,7 +4,8 @@ Texts are cut into passages of WINDOW words, STEP apart. Items are indexed in bl
 term in each block; a block is scored for a passage only if the sum of these bounds reaches the block's lowest
 threshold (block-max WAND), so no item above its threshold is lost. A retrieved item is then verified on the whole
 text: question (all but the last sentence) and answer (the last sentence) must each share OVERLAP of their five-word
-shingles with it. Words are lower-cased (A-Z) runs without white space. Items of fewer than five words must appear whole.
+shingles with it. Words are lower-cased (A-Z) runs without white space and ASCII punctuation, so marks around a passage
+do not hide it. Items of fewer than five words must appear whole.
 
 The index of one group of at most GROUP items travels with the tasks; more items are searched group after group, each a
 pass over the texts. Null or empty texts and items match nothing, repeated rows match alike, equal items are each
@@ -59,7 +60,7 @@ def _words(text: str) -> tuple[list[bytes], np.ndarray, int]:
     """Lower-cased words, their hashes, and the number of words before the last sentence."""
     raw = np.frombuffer(text.encode(), np.uint8)
     buf = t.LOWER[raw]
-    words = t.Words(buf, np.array([0, len(buf)]))
+    words = t.Words(buf, np.array([0, len(buf)]), t.IS_MARK)
     data = buf.tobytes()
     tokens = [data[a:b] for a, b in zip(words.starts.tolist(), words.ends.tolist())]
     ends = [m.end() for m in re.finditer(rb"[.!?](?=[\x20\x09-\x0D]|$)|\n", data)]
@@ -158,7 +159,7 @@ def search(index: Index, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[i
 def matches(index: Index, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float]]:
     """(text, item number, score, question overlap, answer overlap) of all verified pairs."""
     low = t.LOWER[buf]
-    words = t.Words(low, offsets)
+    words = t.Words(low, offsets, t.IS_MARK)
     hashes = t.RangeHash(low)(words.starts, words.ends)
     out, grams, cached = [], None, -1
     for (text, number), score in sorted(search(index, hashes, words.bounds).items()):

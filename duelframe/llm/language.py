@@ -28,6 +28,8 @@ TRAIN_ROWS = 20_000
 #: Price of a change of language between two words, in nats.
 SWITCH = 12.0
 SCRIPTS = 9
+#: Texts that are long enough to be labelled on their own, per slice.
+FEW = 16
 
 # Lower-case letters as bytes; digits, punctuation and white space become a blank.
 _LETTER = np.full(256, 0x20, np.uint8)
@@ -114,8 +116,44 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
     """Best label of each row of scores [word, label]; rows of a text follow each other, counts has the rows by text.
 
-    All texts step together: they are taken in order of length, so those still running are a prefix.
+    All texts step together: they are taken in order of length, so those still running are a prefix. The few longest
+    go word by word instead.
     """
+    n, k = scores.shape
+    label = np.zeros(n, np.int64)
+    if not n or not k:
+        return label
+    usual = np.sort(counts)[::-1][min(FEW, len(counts)) - 1]
+    long = counts > usual if len(counts) > FEW else np.ones(len(counts), bool)
+    ends = np.cumsum(counts)
+    for i in np.flatnonzero(long).tolist():
+        a, b = ends[i] - counts[i], ends[i]
+        label[a:b] = _viterbi_one(scores[a:b].tolist(), switch)
+    others = np.repeat(~long, counts)
+    label[others] = _viterbi_many(scores[others], counts[~long], switch)
+    return label
+
+
+def _viterbi_one(scores: list[list[float]], switch: float) -> list[int]:
+    """One text; the same choices as for many."""
+    if not scores:
+        return []
+    state, back = list(scores[0]), []
+    for row in scores[1:]:
+        top = max(state)
+        jump = top - switch
+        back.append((state.index(top), [jump > s for s in state]))
+        state = [(jump if jump > s else s) + x for s, x in zip(state, row)]
+    now = state.index(max(state))
+    out = [now]
+    for best, jumped in reversed(back):
+        if jumped[now]:
+            now = best
+        out.append(now)
+    return out[::-1]
+
+
+def _viterbi_many(scores: np.ndarray, counts: np.ndarray, switch: float) -> np.ndarray:
     n, k = scores.shape
     starts = np.concatenate([[0], np.cumsum(counts)])[:-1]
     order = np.argsort(-counts, kind="stable")

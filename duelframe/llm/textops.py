@@ -15,6 +15,8 @@ _BASE_INVERSE = pow(_BASE, -1, 2**64)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# White space, control characters and ASCII punctuation: what separates words of letters and digits.
+IS_MARK = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 # Every byte but the continuation bytes of UTF-8 starts a character.
@@ -84,11 +86,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 <<
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of every text: byte ranges, the number of the text, and counts per text."""
+    """Words ``[^\\x20\\x09-\\x0D]+`` of every text (or runs without other separators): byte ranges, the number
+    of the text, and counts per text."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray = IS_SPACE):
         self.buf, self.offsets = buf, offsets
-        inside = ~IS_SPACE[buf]
+        inside = ~separators[buf]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cuts = offsets[:-1][offsets[:-1] < len(buf)]

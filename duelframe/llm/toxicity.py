@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 TRAIN_ROWS = 20_000
 #: Entries of the lexicon at most, heaviest evidence first; the same bound holds for exception phrases.
 LEXICON = 5_000
-#: Toxic training texts that an entry needs.
-SUPPORT = 6
+#: Toxic training texts that an entry needs: this many, and this share of them.
+SUPPORT, SUPPORT_SHARE = 4, 0.004
 #: Least weight of an entry, in nats of odds.
 LEAST_WEIGHT = 2.0
 PREFIXES = (4, 5, 6, 7)
@@ -139,9 +139,9 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model
         counted.unpersist()
         return Model({}, [], (0.0, 0.0, -40.0))
     odds = F.log((F.col("toxic") + 0.5) / (base.toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (base.clean + 1.0))
-    weight = odds * F.col("toxic") / (F.col("toxic") + 5.0)
+    weight = odds * F.col("toxic") / (F.col("toxic") + 3.0)
     best = (counted.where("entry <> ''").select("entry", weight.alias("weight"), (weight * F.col("toxic")).alias("evidence"))
-            .where(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("evidence"), "entry").limit(LEXICON).collect())
+            .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= SUPPORT_SHARE * base.toxic)).orderBy(F.desc("evidence"), "entry").limit(LEXICON).collect())
     counted.unpersist()
     model = Model({r.entry: float(r.weight) for r in best}, [], (0.0, 0.0, 0.0))
 
