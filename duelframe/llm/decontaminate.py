@@ -1,8 +1,9 @@
 """Benchmark decontamination: a BM25 inverted index of test items, searched with every passage of every text.
 
-Texts are cut into passages of WINDOW words, STEP apart. Items are indexed in blocks with the largest impact of each
-term in each block; a block is scored for a passage only if the sum of these bounds reaches the block's lowest
-threshold (block-max WAND), so no item above its threshold is lost. A retrieved item is then verified on the whole
+Texts are cut into passages of WINDOW words, STEP apart. Items are indexed in blocks. An item's weakest terms, which
+together weigh at most half its threshold, cannot retrieve it alone; of the other terms the index keeps the largest
+impact in each block, and a block is scored for a passage only if the sum of these bounds reaches what the block's
+items need at least (block-max WAND), so no item above its threshold is lost. A retrieved item is then verified on the whole
 text: question (all but the last sentence) and answer (the last sentence) must each share OVERLAP of their five-word
 shingles with it. Words are lower-cased (A-Z) runs without white space and ASCII punctuation, so marks around a passage
 do not hide it. Items of fewer than five words must appear whole.
@@ -27,10 +28,10 @@ from . import textops as t
 
 WINDOW, STEP = 128, 64
 #: Share of an item's own score that a passage has to reach, for the part of the item that fits a step.
-THRESHOLD = 0.4
+THRESHOLD = 0.6
 OVERLAP = 0.75
 K1, B = 1.2, 0.75
-BLOCK = 32
+BLOCK = 8
 GROUP = 4096
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -51,9 +52,10 @@ class Index:
     start: np.ndarray       # postings of term v in block b: start[v * blocks + b] to the next
     item: np.ndarray
     impact: np.ndarray
-    bound: np.ndarray       # float32 [term, block]
+    strong: np.ndarray      # bool by term: some item needs it
+    bound: np.ndarray       # float32 [term, block], of items that need the term
     threshold: np.ndarray   # by item
-    least: np.ndarray       # by block
+    least: np.ndarray       # by block: what strong terms have to give
 
 
 def _words(text: str) -> tuple[list[bytes], np.ndarray, int]:
@@ -84,7 +86,7 @@ def build_index(rows: list[tuple[int, str | None]]) -> Index:
     n = len(items)
     blocks = max(1, -(-n // BLOCK))
     if not n:
-        return Index([], np.zeros(0, t.U64), np.zeros(1, np.int64), *(np.zeros(0, k) for k in (np.int64, np.float32)),
+        return Index([], np.zeros(0, t.U64), np.zeros(1, np.int64), *(np.zeros(0, k) for k in (np.int64, np.float32, bool)),
                      np.zeros((0, 1), np.float32), np.zeros(0), np.full(1, np.inf))
     order = sorted(range(n), key=lambda i: (lengths[i], items[i].item_id))
     items, terms, lengths = [items[i] for i in order], [terms[i] for i in order], np.array([lengths[i] for i in order])
@@ -100,10 +102,19 @@ def build_index(rows: list[tuple[int, str | None]]) -> Index:
     slot = term * blocks + owner // BLOCK
     by = np.argsort(slot, kind="stable")
     start = np.searchsorted(slot[by], np.arange(len(vocabulary) * blocks + 1))
+    rise = np.lexsort((impact, owner))
+    sums = np.cumsum(impact[rise])
+    heads = np.flatnonzero(np.r_[True, owner[rise][1:] != owner[rise][:-1]])
+    sums -= np.repeat(sums[heads] - impact[rise][heads], np.diff(np.r_[heads, len(rise)]))
+    weak = np.zeros(len(impact), bool)
+    weak[rise] = sums <= threshold[owner[rise]] / 2
+    need = threshold - np.bincount(owner[weak], weights=impact[weak], minlength=n)
+    strong = np.zeros(len(vocabulary), bool)
+    strong[term[~weak]] = True
     bound = np.zeros(len(vocabulary) * blocks, np.float32)
-    np.maximum.at(bound, slot, impact.astype(np.float32))
-    least = np.array([threshold[b * BLOCK:(b + 1) * BLOCK].min() for b in range(blocks)])
-    return Index(items, vocabulary, start, owner[by], impact[by].astype(np.float32), bound.reshape(-1, blocks), threshold, least)
+    np.maximum.at(bound, slot[~weak], impact[~weak].astype(np.float32))
+    least = np.array([need[b * BLOCK:(b + 1) * BLOCK].min() for b in range(blocks)])
+    return Index(items, vocabulary, start, owner[by], impact[by].astype(np.float32), strong, bound.reshape(-1, blocks), threshold, least)
 
 
 def search(index: Index, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], float]:
@@ -112,14 +123,14 @@ def search(index: Index, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[i
         return {}
     place = np.searchsorted(index.vocabulary, hashes)
     place[place == len(index.vocabulary)] = 0
-    at = np.flatnonzero(index.vocabulary[place] == hashes)
+    known = index.vocabulary[place] == hashes
+    at = np.flatnonzero(known & index.strong[place])
     if not len(at):
         return {}
-    term = place[at].astype(np.int64)
+    term = place[at]
     counts = np.diff(bounds)
-    steps = -(-counts // STEP)
-    first = np.concatenate([[0], np.cumsum(steps)])
-    doc = np.repeat(np.arange(len(counts)), counts)[at]
+    first = np.concatenate([[0], np.cumsum(-(-counts // STEP))])
+    doc = np.searchsorted(bounds, at, side="right") - 1
     step = (at - bounds[doc]) // STEP
     # A word belongs to the passage that starts in its step and to the one before.
     passage = np.concatenate([first[doc] + step, (first[doc] + step - 1)[step > 0]])
@@ -127,32 +138,38 @@ def search(index: Index, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[i
     pairs = np.unique(passage * v + np.concatenate([term, term[step > 0]]))
     passage, term = pairs // v, pairs % v
     heads = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-    tails = np.r_[heads[1:], len(passage)]
     blocks = index.bound.shape[1]
-    hit_rows, hit_blocks = [], []
+    hits = []
     for low in range(0, blocks, 16):  # bounds of some blocks at a time keep the arrays small
         bound = np.add.reduceat(index.bound[term, low:low + 16], heads, axis=0)
         row, block = np.nonzero(bound >= index.least[low:low + 16] * (1 - 1e-4))
-        hit_rows.append(row)
-        hit_blocks.append(block + low)
-    row, block = np.concatenate(hit_rows), np.concatenate(hit_blocks)
-    if not len(row):
-        return {}
-    spread = tails[row] - heads[row]
-    which = np.repeat(np.arange(len(row)), spread)
-    inner = np.arange(len(which)) - np.repeat(np.cumsum(spread) - spread, spread)
-    slot = term[heads[row][which] + inner] * blocks + block[which]
-    sizes = index.start[slot + 1] - index.start[slot]
-    post = np.repeat(index.start[slot], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    number = np.repeat(row[which], sizes) * len(index.items) + index.item[post]
-    keys, inverse = np.unique(number, return_inverse=True)
-    scores = np.bincount(inverse, weights=index.impact[post])
-    item = keys % len(index.items)
-    good = np.flatnonzero(scores >= index.threshold[item] * (1 - 1e-4))
-    text = np.searchsorted(first, passage[heads[keys[good] // len(index.items)]], side="right") - 1
+        hits.append(np.stack([passage[heads[row]], block + low], 1))
+    number, block = np.concatenate(hits).T
     found: dict[tuple[int, int], float] = {}
-    for key, score in zip(zip(text.tolist(), item[good].tolist()), scores[good].tolist()):
-        found[key] = max(score, found.get(key, 0.0))
+    if not len(number):
+        return found
+    # All terms of the passages that are left, then the postings of their blocks.
+    wanted, row = np.unique(number, return_inverse=True)
+    text = np.searchsorted(first, wanted, side="right") - 1
+    begin = bounds[text] + (wanted - first[text]) * STEP
+    size = np.minimum(begin + WINDOW, bounds[text + 1]) - begin
+    word = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+    owner = np.repeat(np.arange(len(wanted)), size)[known[word]]
+    pairs = np.unique(owner * v + place[word[known[word]]])
+    owner, term = pairs // v, pairs % v
+    heads = np.searchsorted(owner, np.arange(len(wanted) + 1))
+    size = np.diff(heads)[row]
+    hit = np.repeat(np.arange(len(row)), size)
+    slot = term[np.repeat(heads[row] - np.cumsum(size) + size, size) + np.arange(size.sum())] * blocks + block[hit]
+    size = index.start[slot + 1] - index.start[slot]
+    post = np.repeat(index.start[slot] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    cell = np.repeat(hit, size) * BLOCK + index.item[post] % BLOCK
+    scores = np.bincount(cell, weights=index.impact[post], minlength=len(row) * BLOCK).reshape(-1, BLOCK)
+    item = block[:, None] * BLOCK + np.arange(BLOCK)
+    least = np.append(index.threshold, np.inf)[np.minimum(item, len(index.items))] * (1 - 1e-4)
+    for k, j in zip(*np.nonzero(scores >= least)):
+        key = (int(text[row[k]]), int(item[k, j]))
+        found[key] = max(float(scores[k, j]), found.get(key, 0.0))
     return found
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -33,16 +34,29 @@ SENTENCE_CUT, MID_CUT = 48, 160
 GRID = 64
 STRETCH = 1 << 17
 CARRY = 8
-#: Words whose tokens a task remembers.
-REMEMBERED = 300_000
+#: Words whose tokens a Python worker remembers.
+REMEMBERED = 700_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-# Texts of these characters are split by the short pattern below exactly as by the tokenizer's own one.
-_PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]*")
+# In texts of these characters all white space is a blank, a tab or a line end.
+_PLAIN = re.compile("[\t\n\r\x20-\x7e¡-ɏ]*")
+_CUT = 48, 160
+GRID = 64
+STRETCH = 1 << 17
+CARRY = 8
+#: Words whose tokens a Python worker remembers.
+REMEMBERED = 700_000
+
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+# In texts of these characters all white space is a blank, a tab or a line end.
+_PLAIN = re.compile("[\t\n\r\x20-\x7e¡-ɏ]*")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PIECE = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _CUT = re.compile(r"\S(?= [A-Za-z])")
+# Without these, every blank starts a piece of its own, so a text can be split at its blanks.
+_BLANKS = re.compile(r" [ \t\n\r]")
 
 
 class Tokenizer:
@@ -77,16 +91,21 @@ class Tokenizer:
     def _pieces(self, text: str) -> bytes:
         if len(self.memory) > REMEMBERED:
             self.memory.clear()
-        return b"".join(map(self.memory.__getitem__, _PIECE.findall(text)))
+        if _BLANKS.search(text):
+            return array("I", self.plain.encode_ordinary(text)).tobytes()
+        first, *rest = text.split(" ")
+        return array("I", self.plain.encode_ordinary(first)).tobytes() + b"".join(map(self.memory.__getitem__, rest))
 
 
 class _Memory(dict):
+    """Ids of a blank and the characters up to the next one."""
+
     def __init__(self, encoding: tiktoken.Encoding):
         super().__init__()
-        self.encoding = encoding
+        self.encode = encoding.encode_ordinary
 
     def __missing__(self, piece: str) -> bytes:
-        out = self[piece] = np.asarray(self.encoding.encode_ordinary(piece), np.uint32).tobytes()
+        out = self[piece] = array("I", self.encode(" " + piece)).tobytes()
         return out
 
 
