@@ -29,7 +29,7 @@ TRAIN_ROWS = 20_000
 SWITCH = 12.0
 SCRIPTS = 9
 #: Texts that are long enough to be labelled on their own, per slice.
-FEW = 16
+FEW = 8
 
 # Lower-case letters as bytes; digits, punctuation and white space become a blank.
 _LETTER = np.full(256, 0x20, np.uint8)

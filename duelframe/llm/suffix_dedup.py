@@ -7,7 +7,8 @@ Burrows-Wheeler transform (:mod:`run_index`), whose streamed matches tell the sm
 
 Steps, all keyed by blocks of documents so that a passage that fills a third of all rows is sent once per block:
 keys per block -> keys seen twice -> stretches of these keys -> smallest document per window -> removal per document.
-Keys seen in HOT blocks or more are dealt out window by window instead, so that no bucket gathers them.
+Keys seen in HOT blocks or more are dealt out window by window instead, so that no bucket gathers them. Of documents
+with equal texts only the first sends stretches; the others lose everything.
 
 Null and empty texts have zero bytes and lose nothing. Rows with a null doc_id lose nothing and remove nothing; rows
 that share a doc_id do not remove each other's text. Other columns are not read here.
@@ -20,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,8 @@ SIZE, GRAM = 50, 18
 BLOCK_DOCS = 512
 #: Blocks that share a key from which its windows are dealt out one by one.
 HOT = 256
+#: Parts of a bucket that are indexed one after another.
+CELLS = 16
 NONE = np.iinfo(np.int64).max
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -83,6 +88,14 @@ def _pieces(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return buf[np.repeat(starts, sizes) + at]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+
+
+def _unpacked(blob: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(blob), kind)
+
+
 def _joined(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
@@ -145,6 +158,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_keys(table: pa.Table, column: str) -> np.ndarray:
     """bucket << 32 | upper half of the key, sorted."""
+    table = table.filter(pc.greater_equal(table.column("bucket"), 0))
     sizes = [len(x or b"") // 4 for x in table.column(column).to_pylist()]
     short = np.frombuffer(b"".join(x or b"" for x in table.column(column).to_pylist()), np.uint32)
     return np.sort((np.repeat(table.column("bucket").to_numpy(), sizes).astype(np.uint64) << t.U64(32)) | short)
@@ -162,50 +176,61 @@ def _in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
+def _copies(table: pa.Table) -> np.ndarray:
+    """Documents of the block whose text an earlier document has (bucket -1)."""
+    return np.array(table.filter(pc.equal(table.column("bucket"), -1)).column("copy").to_pylist(), np.int64)
+
+
 def _send_stretches(parts: int):
-    """Distinct stretches with shared keys of a block, by bucket, with their smallest document; more: several have it."""
+    """Distinct stretches with shared keys of a block, by bucket and cell, with their smallest document in the block.
+
+    more: several documents of the block have it.
+    """
     def run(docs: pa.Table, keys: pa.Table) -> pa.Table:
         shared, hot = _full_keys(keys, "keys"), _full_keys(keys, "hot")
-        content, owner, sizes, bucket, data = [], [], [], [], []
+        docs = docs.filter(pa.array(~np.isin(docs.column("doc_id").to_numpy(), _copies(keys))))
+        found_ = []
         for part in t.slices(iter(docs.combine_chunks().to_batches()), "text"):
             found = Stretches(*t.text_buffer(part.column("text")))
             ids = part.column("doc_id").to_numpy()
             full = ((found.key % t.U64(parts)) << t.U64(32)) | (found.key >> t.U64(32))
             mine = _member(full, shared)
-            warm = np.flatnonzero(mine & _member(full, hot))
-            cool = np.flatnonzero(mine & ~_member(full, hot))
-            start, doc = found.windows(warm)
-            for first, size, text, value, place in (
-                    (found.start[cool], found.count[cool] + SIZE - 1, found.doc[cool], found.content(cool), found.key[cool] % t.U64(parts)),
-                    (start, np.full(len(start), SIZE), doc, (h := found.hash(start, start + SIZE)), h % t.U64(parts))):
-                order = np.lexsort((ids[text], value))
-                fresh = order[np.r_[True, value[order][1:] != value[order][:-1]][:len(order)]]
-                rest = np.setdiff1d(np.arange(len(value)), fresh)
-                content.append(np.concatenate([value[fresh], value[rest]]))
-                owner.append(np.concatenate([ids[text[fresh]], ids[text[rest]]]))
-                bucket.append(np.concatenate([place[fresh], place[rest]]))
-                # The bytes of a repeated stretch are only kept once for each slice.
-                sizes.append(np.concatenate([size[fresh], np.zeros(len(rest), np.int64)]))
-                data.append(_pieces(found.buf, first[fresh], size[fresh]))
-        columns = ["bucket", "block", "data", "sizes", "owners", "more"]
-        if not content or not sum(map(len, content)):
-            return pa.table([pa.array([], k) for k in (pa.int32(), pa.int64(), *[pa.binary()] * 4)], names=columns)
-        content, owner, bucket, sizes, data = map(np.concatenate, (content, owner, bucket, sizes, data))
+            warm = _member(full, hot) & mine
+            cool = np.flatnonzero(mine & ~warm)
+            start, doc = found.windows(np.flatnonzero(warm))
+            for first, size, text, value, key in (
+                    (found.start[cool], found.count[cool] + SIZE - 1, found.doc[cool], found.content(cool), found.key[cool]),
+                    (start, np.full(len(start), SIZE), doc, (h := found.hash(start, start + SIZE)), h)):
+                order = np.argsort(value, kind="stable")  # texts are in order of doc_id
+                head = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1]][:len(order)])
+                if len(head):
+                    owner = ids[text[order]]
+                    pick = order[head]
+                    found_.append((value[pick], np.minimum.reduceat(owner, head), np.maximum.reduceat(owner, head),
+                                   (key[pick] % t.U64(parts)).astype(np.int64) * CELLS + (t.mix(key[pick]) % t.U64(CELLS)).astype(np.int64),
+                                   size[pick], _pieces(found.buf, first[pick], size[pick])))
+        columns = ["bucket", "block", "data", "sizes", "owners", "more", "cells"]
+        if not found_:
+            return pa.table([pa.array([], k) for k in (pa.int32(), pa.int64(), *[pa.binary()] * 5)], names=columns)
+        content, low, high, cell, sizes, data = map(np.concatenate, zip(*found_))
         place = np.cumsum(sizes) - sizes
-        order = np.lexsort((sizes == 0, content, bucket))
-        fresh = np.flatnonzero(np.r_[True, content[order][1:] != content[order][:-1]])
-        low, high = np.minimum.reduceat(owner[order], fresh), np.maximum.reduceat(owner[order], fresh)
-        pick = order[fresh]
-        bucket, sizes, place = bucket[pick].astype(np.int32), sizes[pick], place[pick]
+        order = np.lexsort((content, cell))
+        head = np.flatnonzero(np.r_[True, content[order][1:] != content[order][:-1]])
+        low, high = np.minimum.reduceat(low[order], head), np.maximum.reduceat(high[order], head)
+        pick = order[head]
+        cell, sizes, place = cell[pick], sizes[pick], place[pick]
+        bucket = cell // CELLS
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         spans = list(zip(cuts.tolist(), np.r_[cuts[1:], len(bucket)].tolist()))
         block = int(docs.column("block")[0].as_py())
         return pa.table([
-            pa.array(bucket[cuts]), pa.array([block] * len(cuts), pa.int64()),
-            pa.array([_pieces(data, place[a:b], sizes[a:b]).tobytes() for a, b in spans], pa.binary()),
-            pa.array([sizes[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
-            pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([(low[a:b] != high[a:b]).tobytes() for a, b in spans], pa.binary())], names=columns)
+            pa.array(bucket[cuts].astype(np.int32)), pa.array([block] * len(cuts), pa.int64()),
+            pa.array([_packed(_pieces(data, place[a:b], sizes[a:b])) for a, b in spans], pa.binary()),
+            pa.array([_packed(sizes[a:b].astype(np.uint32)) for a, b in spans], pa.binary()),
+            pa.array([_packed((low[a:b] - block * BLOCK_DOCS).astype(np.uint16)) for a, b in spans], pa.binary()),
+            pa.array([_packed(low[a:b] != high[a:b]) for a, b in spans], pa.binary()),
+            pa.array([np.bincount(cell[a:b] % CELLS, minlength=CELLS).astype(np.uint32).tobytes() for a, b in spans], pa.binary())],
+            names=columns)
 
     return run
 
@@ -242,14 +267,29 @@ def smallest_owners(data: np.ndarray, bounds: np.ndarray, owners: np.ndarray) ->
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Smallest document of every window of a partition's stretches, sent back to each block that can use it."""
-    rows = [b for b in batches if b.num_rows]
-    if not rows:
-        return
-    table = pa.Table.from_batches(rows)
-    sizes = _joined(table.column("sizes"), np.uint32).astype(np.int64)
-    data, owner, more = _joined(table.column("data"), np.uint8), _joined(table.column("owners"), np.int64), _joined(table.column("more"), bool)
-    row = np.repeat(np.arange(table.num_rows), [len(x) for x in table.column("more").to_pylist()])
-    block = table.column("block").to_numpy()
+    rows = []
+    for batch in batches:
+        for block, data, sizes, owners, more, cells in zip(*(batch.column(c).to_pylist() for c in ("block", "data", "sizes", "owners", "more", "cells"))):
+            sizes = _unpacked(sizes, np.uint32).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(np.frombuffer(cells, np.uint32))]).astype(np.int64)
+            rows.append((block, data, np.concatenate([[0], np.cumsum(sizes)]), sizes, _unpacked(owners, np.uint16) + np.int64(block * BLOCK_DOCS),
+                         _unpacked(more, bool), ends))
+    rows.sort(key=lambda r: r[0])
+    for group in range(0, CELLS, 4):  # each row is unpacked once for four cells
+        parts: list[list] = [[] for _ in range(4)]
+        for block, packed, at, sizes, owners, more, ends in rows:
+            data = _unpacked(packed, np.uint8)
+            for k in range(4):
+                a, b = ends[group + k], ends[group + k + 1]
+                if b > a:
+                    parts[k].append((data[at[a]:at[b]].copy(), sizes[a:b], owners[a:b], more[a:b], np.full(b - a, block)))
+        for part in parts:
+            if part:
+                yield from _answers(*map(np.concatenate, zip(*part)))
+
+
+def _answers(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, more: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows come in order of their block."""
     ends = np.concatenate([[0], np.cumsum(sizes)])
     value = t.RangeHash(data)(ends[:-1], ends[1:])
     order = np.argsort(value)
@@ -271,24 +311,28 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     use = np.flatnonzero(more | (best[number] < owner))
     if not len(use):
         return
-    use = use[np.argsort(block[row[use]], kind="stable")]
-    sent = block[row[use]]
+    sent = block[use]
     cuts = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
+    out = []
     for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(use)].tolist()):
         mine = number[use[a:b]]
         n = run_head[mine + 1] - run_head[mine]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(run_head[mine], n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([sent[a]], pa.int64()), pa.array([0], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                value[use[a:b]], n.astype(np.uint32), length[at].astype(np.uint32), least[run[at]]))], ["block", "bucket", "content", "runs", "lengths", "least"])
+        out.append((int(sent[a]), value[use[a:b]].tobytes(), *map(_packed, (n.astype(np.uint32), length[at].astype(np.uint32), least[run[at]]))))
+    blocks, *blobs = zip(*out)
+    yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([0] * len(out), pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)],
+                                     ["block", "bucket", "content", "runs", "lengths", "least"])
 
 
 def _remove(parts: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         hot = _full_keys(answers, "hot")
-        raw = {k: b"".join(x or b"" for x in answers.column(k).to_pylist()) for k in ("content", "runs", "lengths", "least")}
-        content, runs = np.frombuffer(raw["content"], np.uint64), np.frombuffer(raw["runs"], np.uint32).astype(np.int64)
-        lengths, least = np.frombuffer(raw["lengths"], np.uint32).astype(np.int64), np.frombuffer(raw["least"], np.int64)
+        copies = _copies(answers)
+        known = answers.filter(pc.is_valid(answers.column("content")))
+        content = _joined(known.column("content"), np.uint64)
+        runs, lengths, least = (np.concatenate([np.zeros(0, kind), *(_unpacked(x, kind) for x in known.column(c).to_pylist())])
+                                for c, kind in (("runs", np.uint32), ("lengths", np.uint32), ("least", np.int64)))
+        runs, lengths = runs.astype(np.int64), lengths.astype(np.int64)
         order = np.argsort(content)
         content, head = content[order], (np.cumsum(runs) - runs)[order]
         runs = runs[order]
@@ -317,6 +361,9 @@ def _remove(parts: int):
                     cut = least[place] < np.repeat(ids[text[hit]], n)
                     np.add.at(gone, begin[cut], 1)
                     np.add.at(gone, begin[cut] + size[cut] + SIZE - 1, -1)
+            copy = np.flatnonzero(np.isin(ids, copies) & live & (np.diff(offsets) >= SIZE))
+            np.add.at(gone, offsets[copy], 1)
+            np.add.at(gone, offsets[copy + 1], -1)
             lost = np.cumsum(gone[:-1]) > 0
             edge = lost.copy()
             edge[1:] &= ~lost[:-1]
@@ -350,13 +397,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     known = texts.where("doc_id is not null")
     keys = known.where(f"octet_length(text) >= {SIZE}").select("doc_id", "text").mapInArrow(
         _block_keys(parts), "bucket int, block long, keys binary, twice binary")
+    # All but the first document of each text, long enough to lose anything.
+    long = known.where(f"octet_length(text) >= {SIZE}")
+    digest = store.save(long.select("doc_id", "block", F.unhex(F.sha2("text", 256)).alias("digest")))
+    low = digest.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1")
+    copies = digest.join(low, "digest").where("doc_id > low").select("block", F.lit(-1).alias("bucket"), F.col("doc_id").alias("copy"))
     shared = store.save(keys.repartitionById(parts, F.col("bucket")).mapInArrow(
-        _shared_keys, "block long, bucket int, keys binary, hot binary"))
-    sent = (known.where(f"octet_length(text) >= {SIZE}").groupBy("block").cogroup(shared.groupBy("block"))
-            .applyInArrow(_with_docs(_send_stretches(parts)), "bucket int, block long, data binary, sizes binary, owners binary, more binary"))
+        _shared_keys, "block long, bucket int, keys binary, hot binary").unionByName(copies, allowMissingColumns=True))
+    store.drop(digest)
+    sent = (long.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+        _with_docs(_send_stretches(parts)), "bucket int, block long, data binary, sizes binary, owners binary, more binary, cells binary"))
     kinds = "block long, bucket int, content binary, runs binary, lengths binary, least binary"
-    answers = store.save(sent.repartitionById(parts, F.col("bucket")).mapInArrow(_match, kinds)
-                         .unionByName(shared.where("octet_length(hot) > 0").select("block", "bucket", "hot"), allowMissingColumns=True))
+    answers = store.save(sent.repartitionById(parts, F.col("bucket")).mapInArrow(_match, kinds).unionByName(
+        shared.where("octet_length(hot) > 0 or bucket = -1").select("block", "bucket", "hot", "copy"), allowMissingColumns=True))
     store.drop(shared)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_with_docs(_remove(parts)), SCHEMA)
 

@@ -71,7 +71,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into row ranges of about max_bytes of text (one text at least), so that a task's arrays stay small."""
     for batch in batches:
         sizes = np.diff(text_buffer(batch.column(column))[1])
