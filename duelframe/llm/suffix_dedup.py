@@ -35,6 +35,8 @@ SIZE, GRAM = 50, 18
 BLOCK_DOCS = 512
 #: Blocks that share a key from which its windows are dealt out one by one.
 HOT = 256
+#: Windows of a stretch at most; longer runs of one key (periodic texts) are cut.
+LONGEST = 64
 #: Parts of a bucket that are indexed one after another.
 CELLS = 16
 NONE = np.iinfo(np.int64).max
@@ -43,7 +45,7 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 class Stretches:
-    """Maximal runs of windows with one key: start, number of windows, key and text number."""
+    """Runs of windows with one key: start, number of windows, key and text number."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray):
         self.buf, self.offsets = buf, offsets
@@ -69,7 +71,11 @@ class Stretches:
         head[starts] = valid[starts]
         self.start = np.flatnonzero(head)
         total = np.concatenate([[0], np.cumsum(valid)])
-        self.count = np.diff(np.append(total[self.start], total[-1]))
+        count = np.diff(np.append(total[self.start], total[-1]))
+        pieces = -(-count // LONGEST)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        self.start = np.repeat(self.start, pieces) + nth * LONGEST
+        self.count = np.minimum(np.repeat(count, pieces) - nth * LONGEST, LONGEST)
         self.key = t.mix(low[self.start] ^ t.U64(0x5851F42D4C957F2D))
         self.doc = np.searchsorted(offsets, self.start, side="right") - 1
 
