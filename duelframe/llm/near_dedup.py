@@ -4,9 +4,10 @@ An odd sketch folds a document's MinHash samples into a bitmap of parities; the
 sketches estimates how many samples differ, most precisely where the similarity is high. Candidates are first compared
 by it (with a margin far below the wanted similarity) and then by their whole shingle sets.
 
-Documents with equal shingle sets are one class from the start. In a band's bucket, members are compared with one leader,
-twice with different leaders; only members of classes that are still apart are then compared with each other, so a
-large group of copies costs comparisons in proportion to its size.
+Documents with equal shingle sets are one class from the start. In a band's bucket, members are compared with one leader:
+first the document whose buckets are the most crowded (the original of a family of copies, which need not be linked with
+each other), then one chosen by hash. Only members of classes that are still apart are then compared with each other, so
+a large group of copies costs comparisons in proportion to its size.
 
 Words, shingles and links are those of the op1 contract: A-Z lower-cased, words without white space, five-word shingles
 (one shorter shingle for fewer words), a link from 75 percent of the union. Null, empty and blank texts have no shingles
@@ -35,6 +36,9 @@ SKETCH_BITS = 512
 SCREEN = 0.5
 PERCENT = 75
 
+#: Identifiers of candidates that are sent to all tasks at most (8 bytes each); more of them meet the texts in a shuffle.
+SENT_IDS = 2_000_000
+
 _RNG = np.random.default_rng(75)
 _XOR = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 _ODD = _RNG.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -138,6 +142,9 @@ def _verified(store: Stored, docs: DataFrame, pairs: DataFrame, known: DataFrame
     if likely.isEmpty():
         return likely
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    wanted = store.save(wanted)
+    if wanted.count() <= SENT_IDS:
+        wanted = F.broadcast(wanted)
     sets = store.save(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
     links = store.save(likely.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
                        .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
@@ -157,9 +164,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     known = store.save(marks.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).drop("digest"))
     store.drop(marks)
     bands = known.select("doc_id", F.explode("bands").alias("band"))
-    crowded = bands.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    shared = store.save(bands.join(crowded, "band").select("band", "doc_id", "low"))
-    links = _verified(store, docs, shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), known)
+    crowded = bands.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    shared = store.save(bands.join(crowded, "band"))
+    score = shared.groupBy("doc_id").agg(F.sum("crowd").alias("score"))
+    lead = shared.join(score, "doc_id").groupBy("band").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("lead"))
+    pairs = shared.join(lead, "band").where("doc_id <> lead").select(F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b"))
+    links = _verified(store, docs, pairs.distinct(), known)
     found = components(spark, links, store)
     for last in (False, True):
         # Buckets that still hold several classes.
