@@ -26,13 +26,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of earlier documents; documents that lose everything go, n_chars follows the text.
 
-    Rows without doc_id pass as they are.
+    Rows without doc_id pass as they are, a null text as an empty one.
     """
-    left = suffix_dedup.remove_repeats(spark, docs).where("n_removed < n_bytes").select("doc_id", F.col("kept_text").alias("text"))
-    rest = docs.drop("text").where("doc_id is not null").join(left.where("doc_id is not null"), "doc_id")
-    if "n_chars" in docs.columns:
-        rest = rest.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rest.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    left = suffix_dedup.remove_repeats(spark, docs, carry=True).where("n_removed = 0 or n_removed < n_bytes")
+    length = F.char_length("kept_text")
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"),
+               "n_chars": length.cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return left.select(*(columns.get(c, F.col(f"carried_{c}")).alias(c) for c in docs.columns))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

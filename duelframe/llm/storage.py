@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,7 +41,8 @@ class Stored:
         for table in tables:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
             path.getFileSystem(conf).delete(path, True)
-        # Shuffle files of finished jobs go when the driver's JVM collects the plans that own them.
+        # Shuffle files of finished jobs go when both sides of the driver have collected the plans that own them.
+        gc.collect()
         jvm.System.gc()
 
 

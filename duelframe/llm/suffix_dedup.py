@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textops as t
 from .run_index import RunIndex
@@ -330,7 +331,7 @@ def _answers(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, more: np.nd
                                      ["block", "bucket", "content", "runs", "lengths", "least"])
 
 
-def _remove(parts: int):
+def _remove(parts: int, carried: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         hot = _full_keys(answers, "hot")
         copies = _copies(answers)
@@ -381,30 +382,28 @@ def _remove(parts: int):
             ends = np.cumsum(np.diff(offsets) - removed)
             texts = [kept[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
             out.append(pa.table([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans),
-                                 pa.array([hashlib.sha256(x).hexdigest() for x in texts]), pa.array([x.decode(errors="ignore") for x in texts], pa.string())],
-                                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]))
-        return pa.concat_tables(out) if out else _EMPTY
+                                 pa.array([hashlib.sha256(x).hexdigest() for x in texts]),
+                                 pa.array([x.decode(errors="ignore") for x in texts], pa.string()), *(part.column(c) for c in carried)],
+                                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *carried]))
+        return pa.concat_tables(out)
 
     return run
 
 
-_EMPTY = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                    ("kept_sha256", pa.string()), ("kept_text", pa.string())]).empty_table()
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document, see SCHEMA: bytes, removed bytes and runs, and what stays.
+def remove_repeats(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFrame:
+    """One row per document, see SCHEMA (with carry also all other columns, prefixed by ``carried_``): bytes, removed bytes and runs, and what stays.
 
     kept_sha256 is over the exact bytes; kept_text leaves out characters of which only some bytes stay.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = Stored(spark, "repeats")
-    texts = docs.select("doc_id", "text", F.floor(F.col("doc_id") / BLOCK_DOCS).cast("long").alias("block"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
+    texts = docs.select("doc_id", "text", F.floor(F.col("doc_id") / BLOCK_DOCS).cast("long").alias("block"), *(F.col(c).alias(f"carried_{c}") for c in others))
     known = texts.where("doc_id is not null")
     keys = known.where(f"octet_length(text) >= {SIZE}").select("doc_id", "text").mapInArrow(
         _block_keys(parts), "bucket int, block long, keys binary, twice binary")
     # All but the first document of each text, long enough to lose anything.
-    long = known.where(f"octet_length(text) >= {SIZE}")
+    long = known.select("doc_id", "text", "block").where(f"octet_length(text) >= {SIZE}")
     digest = store.save(long.select("doc_id", "block", F.unhex(F.sha2("text", 256)).alias("digest")))
     low = digest.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1")
     copies = digest.join(low, "digest").where("doc_id > low").select("block", F.lit(-1).alias("bucket"), F.col("doc_id").alias("copy"))
@@ -417,12 +416,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     answers = store.save(sent.repartitionById(parts, F.col("bucket")).mapInArrow(_match, kinds).unionByName(
         shared.where("octet_length(hot) > 0 or bucket = -1").select("block", "bucket", "hot", "copy"), allowMissingColumns=True))
     store.drop(shared)
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_with_docs(_remove(parts)), SCHEMA)
+    schema = T.StructType([*T.StructType.fromDDL(SCHEMA), *(T.StructField(f"carried_{c}", docs.schema[c].dataType) for c in others)])
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _with_docs(_remove(parts, [f"carried_{c}" for c in others])), schema)
 
 
 def _with_docs(work):
-    """Blocks without documents give no rows; documents are taken in order."""
+    """Documents are taken in order."""
     def run(docs: pa.Table, other: pa.Table) -> pa.Table:
-        return work(_in_order(docs) if docs.num_rows else docs, other)
+        return work(_in_order(docs), other)
 
     return run
