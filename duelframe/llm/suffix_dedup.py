@@ -40,6 +40,8 @@ HOT = 256
 LONGEST = 64
 #: Parts of a bucket that are indexed one after another.
 CELLS = 16
+#: Keys that a task gathers before it sends them.
+GATHERED = 2_000_000
 NONE = np.iinfo(np.int64).max
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -108,28 +110,35 @@ def _joined(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
 
 
 def _block_keys(parts: int):
-    """Distinct keys of the documents of each block, by bucket; twice: those that several of its documents have."""
+    """Distinct keys of the documents of each block, a row per bucket; twice: those that several of its documents have.
+
+    Keys are gathered over GATHERED of them, so the number of rows does not depend on the order of the documents.
+    """
+    def flush(found: list[tuple]) -> pa.RecordBatch:
+        key, ids = map(np.concatenate, zip(*found))
+        block, bucket = ids // BLOCK_DOCS, (key % t.U64(parts)).astype(np.int64)
+        order = np.lexsort((ids, key, block, bucket))
+        key, ids, block, bucket = key[order], ids[order], block[order], bucket[order]
+        fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
+        twice = ids[fresh] != ids[np.r_[fresh[1:], len(key)] - 1]
+        short, block, bucket = (key[fresh] >> t.U64(32)).astype(np.uint32), block[fresh], bucket[fresh]
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        spans = list(zip(cuts.tolist(), np.r_[cuts[1:], len(short)].tolist()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cuts].astype(np.int32)), *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (short, twice)),
+             pa.array([_packed(block[a:b]) for a, b in spans], pa.binary())], ["bucket", "keys", "twice", "blocks"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, size = [], 0
         for part in t.slices(batches, "text"):
             found = Stretches(*t.text_buffer(part.column("text")))
-            ids = part.column("doc_id").to_numpy()
-            block = ids[found.doc] // BLOCK_DOCS
-            bucket = (found.key % t.U64(parts)).astype(np.int64)
-            order = np.lexsort((ids[found.doc], found.key, bucket, block))
-            key, ids_, block, bucket = found.key[order], ids[found.doc][order], block[order], bucket[order]
-            fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])][:len(key)])
-            if not len(fresh):
-                continue
-            last = np.r_[fresh[1:], len(key)] - 1
-            twice = ids_[fresh] != ids_[last]
-            key, block, bucket = key[fresh], block[fresh], bucket[fresh]
-            cuts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (bucket[1:] != bucket[:-1])])
-            short = (key >> t.U64(32)).astype(np.uint32)
-            ends = np.r_[cuts[1:], len(key)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts].astype(np.int32)), pa.array(block[cuts]),
-                 pa.array([short[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                 pa.array([twice[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())], ["bucket", "block", "keys", "twice"])
+            gathered.append((found.key, part.column("doc_id").to_numpy()[found.doc]))
+            size += len(found.key)
+            if size > GATHERED:
+                yield flush(gathered)
+                gathered, size = [], 0
+        if size:
+            yield flush(gathered)
 
     return run
 
@@ -141,25 +150,24 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     table = pa.Table.from_batches(rows)
     short, twice = _joined(table.column("keys"), np.uint32), _joined(table.column("twice"), bool)
-    sizes = np.array([len(x) // 4 for x in table.column("keys").to_pylist()])
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    key = (table.column("bucket").to_numpy()[row].astype(np.uint64) << t.U64(32)) | short
-    order = np.argsort(key)
-    first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
-    n = np.diff(np.r_[first, len(key)])
-    known = (n > 1) | np.logical_or.reduceat(twice[order], first)
-    keep, hot = np.zeros(len(key), bool), np.zeros(len(key), bool)
-    keep[order], hot[order] = np.repeat(known, n), np.repeat(n >= HOT, n)
-    at = np.flatnonzero(keep)
+    blocks = [_unpacked(x, np.int64) for x in table.column("blocks").to_pylist()]
+    bucket = np.repeat(table.column("bucket").to_numpy(), [len(x) for x in blocks])
+    block = np.concatenate(blocks)
+    order = np.lexsort((block, short, bucket))
+    bucket, short, block, twice = bucket[order], short[order], block[order], twice[order]
+    first = np.flatnonzero(np.r_[True, (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])])
+    n = np.diff(np.r_[first, len(short)])
+    known, hot = np.repeat((n > 1) | np.logical_or.reduceat(twice, first), n), np.repeat(n >= HOT, n)
+    at = np.flatnonzero(known)
+    at = at[np.lexsort((block[at], bucket[at]))]
     if not len(at):
         return
-    cuts = np.flatnonzero(np.r_[True, row[at][1:] != row[at][:-1]])
-    ends = np.r_[cuts[1:], len(at)]
-    mine = pa.array(row[at][cuts])
+    cuts = np.flatnonzero(np.r_[True, (block[at][1:] != block[at][:-1]) | (bucket[at][1:] != bucket[at][:-1])])
+    spans = list(zip(cuts.tolist(), np.r_[cuts[1:], len(at)].tolist()))
     yield pa.RecordBatch.from_arrays(
-        [table.column("block").combine_chunks().take(mine), table.column("bucket").combine_chunks().take(mine),
-         pa.array([short[at[a:b]].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-         pa.array([short[s][hot[s]].tobytes() for s in (at[a:b] for a, b in zip(cuts, ends))], pa.binary())],
+        [pa.array(block[at[cuts]]), pa.array(bucket[at[cuts]].astype(np.int32)),
+         pa.array([short[at[a:b]].tobytes() for a, b in spans], pa.binary()),
+         pa.array([short[x][hot[x]].tobytes() for x in (at[a:b] for a, b in spans)], pa.binary())],
         ["block", "bucket", "keys", "hot"])
 
 
@@ -401,7 +409,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, carry: bool = False) ->
     texts = docs.select("doc_id", "text", F.floor(F.col("doc_id") / BLOCK_DOCS).cast("long").alias("block"), *(F.col(c).alias(f"carried_{c}") for c in others))
     known = texts.where("doc_id is not null")
     keys = known.where(f"octet_length(text) >= {SIZE}").select("doc_id", "text").mapInArrow(
-        _block_keys(parts), "bucket int, block long, keys binary, twice binary")
+        _block_keys(parts), "bucket int, keys binary, twice binary, blocks binary")
     # All but the first document of each text, long enough to lose anything.
     long = known.select("doc_id", "text", "block").where(f"octet_length(text) >= {SIZE}")
     digest = store.save(long.select("doc_id", "block", F.unhex(F.sha2("text", 256)).alias("digest")))
