@@ -20,7 +20,7 @@ from .storage import Stored
 WINDOW_ROWS = 20_000
 
 
-def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataFrame:
+def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataFrame:
     """doc_id, size, text_crc32, law ('rows'), shard, slot, grown_shard (null): see the module text."""
     store = Stored(spark, "shards")
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
@@ -45,20 +45,23 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = 40, roun
 
 def _propagate(cells: DataFrame, total: int, shards: int) -> DataFrame:
     """One round: every cell asks for the fullest shard of its group that has room; requests are granted by gain."""
-    load = cells.groupBy("at").agg(F.sum("n").alias("load"))
+    held = cells.groupBy("grp", "at").agg(F.sum("n").alias("held")).withColumn("tie", F.xxhash64("grp", "at"))
+    wish = held.groupBy("grp").agg(F.max(F.struct("held", "tie", "at")).alias("wish"), F.sum("held").alias("members"))
+    load = cells.join(wish, "grp").groupBy("at").agg(
+        F.sum("n").alias("load"), F.sum(F.when(F.col("at") != F.col("wish.at"), F.col("n")).otherwise(0)).alias("leaving"))
     quota = total // shards
-    # One row per shard: a proven bound for the broadcasts below.
+    # One row per shard: a proven bound for the broadcasts below. Those who wish to leave make room for others; should
+    # they stay after all, the final filling moves what is over the quota.
     room = cells.sparkSession.range(shards).select(F.col("id").cast("int").alias("at")).join(load, "at", "left").select(
-        "at", F.greatest(F.lit(0), F.lit(quota) - F.coalesce("load", F.lit(0))).alias("room"))
-    here = cells.groupBy("grp", "at").agg(F.sum("n").alias("held")).join(F.broadcast(room), "at")
+        "at", (F.greatest(F.lit(0), F.lit(quota) - F.coalesce("load", F.lit(0))) + F.coalesce("leaving", F.lit(0))).alias("room"))
+    here = held.drop("tie").join(F.broadcast(room), "at")
     ranked = F.struct("held", F.xxhash64("grp", "at").alias("tie"), "at", "room")
     # A shard without room can still be the best place of the cells that are in it, so they stay.
     best = here.groupBy("grp").agg(F.max(ranked).alias("any"), F.max(F.when(F.col("room") > 0, ranked)).alias("free"))
-    own = here.select("grp", "at", "held", F.xxhash64("grp", "at").alias("tie"))
-    asks = cells.join(own, ["grp", "at"]).join(best, "grp")
+    asks = cells.join(held, ["grp", "at"]).join(best, "grp").join(wish.select("grp", "members"), "grp")
     better = (F.col("free.at").isNotNull() & (F.col("free.at") != F.col("at")) & (F.col("n") <= F.col("free.room"))
               & ((F.col("held") < F.col("free.held")) | ((F.col("held") == F.col("free.held")) & (F.col("tie") < F.col("free.tie")))))
-    asks = asks.select("grp", "home", "at", "n", F.when(better, F.col("free.at")).alias("to"),
+    asks = asks.select("grp", "home", "at", "n", "members", F.when(better, F.col("free.at")).alias("to"),
                        F.floor(F.log2(F.col("free.held") + 1)).cast("int").alias("gain"))
     # Demand by target and gain level: at most shards * 64 rows.
     demand = asks.where("to is not null").groupBy("to", "gain").agg(F.sum("n").alias("want"))
@@ -66,8 +69,9 @@ def _propagate(cells: DataFrame, total: int, shards: int) -> DataFrame:
     granted = (demand.withColumn("taken", F.coalesce(F.sum("want").over(before), F.lit(0)))
                .join(room.withColumnRenamed("at", "to"), "to")
                .select("to", "gain", ((F.col("room") - F.col("taken")) / F.col("want")).alias("share")))
-    # The marginal level is granted to a part of its groups, chosen by hash: all cells of a group go alike.
-    luck = F.pmod(F.xxhash64("grp", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    # The marginal level is granted to a part of its groups, chosen by hash: all cells of a group go alike, but those of
+    # a group that no shard can hold go one by one.
+    luck = F.pmod(F.xxhash64("grp", F.when(F.col("members") > quota, F.col("home")).otherwise(F.lit(-1))), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return (asks.join(F.broadcast(granted), ["to", "gain"], "left")
             .select("grp", "home", F.when(luck < F.coalesce("share", F.lit(0.0)), F.col("to")).otherwise(F.col("at")).alias("at"), "n"))
 
