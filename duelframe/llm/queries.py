@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontaminate, language, near_dedup, packing, repetition, resampling, sharding, suffix_dedup, tool_calls,
                toxicity)
 from .storage import documents
 
-_HELD_OUT = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +27,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = language.train(docs.where(~_HELD_OUT))
-    return language.predict(docs, model).select("doc_id", _HELD_OUT.alias("held_out"), "lang_pred", "score", "n_spans")
+    model = language.train(docs.where(~_held_out()))
+    return language.predict(docs, model).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score", "n_spans")
 
 
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +71,8 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~_HELD_OUT).select("doc_id", "toxic"))
-    return toxicity.score(docs, model).select("doc_id", _HELD_OUT.alias("held_out"), "score", "predicted", "n_hits")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~_held_out()).select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", _held_out().alias("held_out"), "score", "predicted", "n_hits")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
