@@ -60,9 +60,16 @@ def upsert_keep_best(master: DataFrame, new: DataFrame, keys: list[str], scored:
 
 
 def dedupe_first(df: DataFrame, page: list[str], rank: str, team: str, position: str) -> DataFrame:
-    """First row per rank and then first per team on each page, by source position."""
-    once = best_per_key(df, [*page, rank], F.asc(position))
-    return best_per_key(once, [*page, team], F.asc(position))
+    """Rows of each page in source order, without those whose rank or team an earlier kept row has.
+
+    A skipped row claims neither its rank nor its team, so the lines are folded one after another; a page is one source
+    row, so its lines fit into one.
+    """
+    lines = F.array_sort(F.collect_list(F.struct(F.col(position).alias("_at"), F.struct(*df.columns).alias("_row"))))
+    rows = F.transform("_lines", lambda x: x["_row"])
+    kept = F.aggregate(rows, F.filter(rows, lambda x: F.lit(False)), lambda seen, x: F.when(
+        F.exists(seen, lambda k: k[rank].eqNullSafe(x[rank]) | k[team].eqNullSafe(x[team])), seen).otherwise(F.concat(seen, F.array(x))))
+    return df.groupBy(*page).agg(lines.alias("_lines")).select(F.explode(kept).alias("_row")).select("_row.*")
 
 
 def game_numbers(games: DataFrame, by: list[str], week: str = "wk", kickoff: str = "kickoff",

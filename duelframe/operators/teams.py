@@ -82,12 +82,15 @@ def weekly_totals(team_rows: DataFrame, sums: dict[str, Column], by: list[str],
 
 def week_grid(weekly: DataFrame, by: list[str], week: str = "wk", team: str = "team",
               last_week: DataFrame | None = None) -> DataFrame:
-    """Every team of a season with every week up to the season's last, bye weeks included."""
+    """Every team of a season with every week up to the season's last, bye weeks included.
+
+    Weeks start at 1, or at the team's own first week if that is earlier.
+    """
     if last_week is None:
         last_week = weekly.groupBy(*by).agg(F.max(week).alias("_last"))
-    teams = weekly.select(*by, team).distinct()
+    teams = weekly.groupBy(*by, team).agg(F.min(week).alias("_first"))
     return (teams.join(calendar(last_week), by)
-            .select(*by, team, F.explode(F.sequence(F.lit(1), F.col("_last"))).alias(week)))
+            .select(*by, team, F.explode(F.sequence(F.least(F.lit(1), "_first"), F.greatest(F.lit(1), "_last"))).alias(week)))
 
 
 def to_date(weekly: DataFrame, sums: list[str], by: list[str], week: str = "wk", team: str = "team",

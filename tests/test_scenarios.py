@@ -322,3 +322,37 @@ def test_xml_and_csv_readers(spark, tmp_path):
         files.read_ratings_csv(spark, str(tmp_path / "bad.csv"))
     (tmp_path / "m.csv").write_text("Team,PF\nA b,1\nC,2\nA-B,3\n")
     assert {r.team_key: r.PF for r in files.read_metrics_csv(spark, str(tmp_path / "m.csv"), "Team STRING, PF DOUBLE").collect()} == {"ab": 3.0, "c": 2.0}
+
+
+def test_skipped_page_line_does_not_claim_its_rank(spark):
+    from duelframe.operators.ranks import dedupe_first
+
+    lines = spark.createDataFrame([("p", 1, "X", 0), ("p", 2, "X", 1), ("p", 2, "Y", 2), ("q", 1, "X", 0)], "page string, r int, t string, pos int")
+    got = dedupe_first(lines, ["page"], "r", "t", "pos").collect()
+    assert sorted((x.page, x.r, x.t) for x in got) == [("p", 1, "X"), ("p", 2, "Y"), ("q", 1, "X")]
+
+
+def test_rating_weeks_before_the_first(spark):
+    from duelframe.operators.ratings import fill_rating_weeks
+
+    ratings = spark.createDataFrame([(1, 0, "A", 5.0), (1, 4, "A", 7.0)], "season int, wk int, team string, pr double")
+    weeks = spark.createDataFrame([(1, 5)], "season int, _last int")
+    got = fill_rating_weeks(ratings, weeks, ["season"], ["pr"]).collect()
+    assert sorted((x.wk, x.rating_week) for x in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 4), (5, 4)]
+
+
+def test_grid_has_weeks_below_one(spark):
+    from duelframe.operators.teams import to_date
+
+    weekly = spark.createDataFrame([(1, 0, "A", 3), (1, 2, "A", 4), (1, 2, "B", 1)], "season int, wk int, team string, pts int")
+    got = to_date(weekly, ["pts"], ["season"]).collect()
+    assert sorted((x.team, x.wk, x.pts) for x in got) == [("A", 0, 0), ("A", 1, 3), ("A", 2, 3), ("B", 1, 0), ("B", 2, 0)]
+
+
+def test_later_metrics_file_wins(spark, tmp_path):
+    from duelframe.sources.files import read_metrics_csv
+
+    (tmp_path / "a.csv").write_text("Team,PF\nT1,1\n")
+    (tmp_path / "b.csv").write_text("Team,PF\n" + "".join(f"U{i},0\n" for i in range(500)) + "T1,2\n")
+    got = read_metrics_csv(spark, str(tmp_path), "Team string, PF int").where("Team = 'T1'").collect()
+    assert [x.PF for x in got] == [2]
