@@ -101,13 +101,13 @@ FAVORITE_TALLY = """
                sum(CASE WHEN c = 0 THEN 1 ELSE 0 END) AS p
         FROM (SELECT season, wk, team, margin + line AS c FROM team_rows WHERE margin IS NOT NULL AND line IS NOT NULL)
         GROUP BY season, wk, team),
-    tally_before AS (
-        SELECT t.season, t.team, CAST(k.wk AS INTEGER) AS wk, CAST(coalesce(sum(x.w), 0) AS BIGINT) AS w,
-               CAST(coalesce(sum(x.l), 0) AS BIGINT) AS l, CAST(coalesce(sum(x.p), 0) AS BIGINT) AS p
+    tally_before AS MATERIALIZED (
+        SELECT t.season, t.team, CAST(k.wk AS INTEGER) AS wk, CAST(coalesce(sum(x.w) OVER p, 0) AS BIGINT) AS w,
+               CAST(coalesce(sum(x.l) OVER p, 0) AS BIGINT) AS l, CAST(coalesce(sum(x.p) OVER p, 0) AS BIGINT) AS p
         FROM (SELECT DISTINCT season, team FROM tally) t JOIN season_weeks s USING (season),
              unnest(range(1, s.last_wk + 1)) AS k(wk)
-        LEFT JOIN tally x ON x.season = t.season AND x.team = t.team AND x.wk < k.wk
-        GROUP BY t.season, t.team, k.wk)"""
+        LEFT JOIN tally x ON x.season = t.season AND x.team = t.team AND x.wk = k.wk
+        WINDOW p AS (PARTITION BY t.season, t.team ORDER BY k.wk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 
 
 def favored(spark, sf) -> DataFrame:

@@ -208,14 +208,15 @@ VIEWS_SQL = {
                sum(opp_rush) AS opp_rush, sum(opp_pass) AS opp_pass, sum(opp_turnovers) AS opp_turnovers
         FROM flags GROUP BY season, team, wk"""),
     "to_date": (("grid", "weekly"), """
-        SELECT g.season, g.team, g.wk, CAST(coalesce(sum(x.gp), 0) AS BIGINT) AS gp,
-               CAST(coalesce(sum(x.rush), 0) AS BIGINT) AS rush, CAST(coalesce(sum(x.pass), 0) AS BIGINT) AS pass,
-               CAST(coalesce(sum(x.turnovers), 0) AS BIGINT) AS turnovers,
-               CAST(coalesce(sum(x.opp_rush), 0) AS BIGINT) AS opp_rush,
-               CAST(coalesce(sum(x.opp_pass), 0) AS BIGINT) AS opp_pass,
-               CAST(coalesce(sum(x.opp_turnovers), 0) AS BIGINT) AS opp_turnovers
-        FROM grid g LEFT JOIN weekly x ON x.season = g.season AND x.team = g.team AND x.wk < g.wk
-        GROUP BY g.season, g.team, g.wk"""),
+        SELECT g.season, g.team, g.wk, CAST(coalesce(sum(x.gp) OVER p, 0) AS BIGINT) AS gp,
+               CAST(coalesce(sum(x.rush) OVER p, 0) AS BIGINT) AS rush,
+               CAST(coalesce(sum(x.pass) OVER p, 0) AS BIGINT) AS pass,
+               CAST(coalesce(sum(x.turnovers) OVER p, 0) AS BIGINT) AS turnovers,
+               CAST(coalesce(sum(x.opp_rush) OVER p, 0) AS BIGINT) AS opp_rush,
+               CAST(coalesce(sum(x.opp_pass) OVER p, 0) AS BIGINT) AS opp_pass,
+               CAST(coalesce(sum(x.opp_turnovers) OVER p, 0) AS BIGINT) AS opp_turnovers
+        FROM grid g LEFT JOIN weekly x ON x.season = g.season AND x.team = g.team AND x.wk = g.wk
+        WINDOW p AS (PARTITION BY g.season, g.team ORDER BY g.wk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""),
     "per_game": (("to_date",), """
         SELECT season, team, wk, gp, CAST(rush AS DOUBLE) / nullif(gp, 0) AS ry_pg,
                CAST(pass AS DOUBLE) / nullif(gp, 0) AS py_pg, CAST(rush + pass AS DOUBLE) / nullif(gp, 0) AS ty_pg,
