@@ -163,7 +163,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     reps = member.where("doc_id = rep and n_shingles > 0").select("doc_id").distinct()
     known = store.save(marks.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).drop("digest"))
     store.drop(marks)
-    bands = known.select("doc_id", F.explode("bands").alias("band"))
+    bands = known.select("doc_id", F.posexplode("bands").alias("nth", "band"))
     crowded = bands.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
     shared = store.save(bands.join(crowded, "band"))
     score = shared.groupBy("doc_id").agg(F.sum("crowd").alias("score"))
@@ -174,7 +174,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     for last in (False, True):
         # Buckets that still hold several classes.
         held = shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+            "band", "nth", "doc_id", F.coalesce("component", "doc_id").alias("component"))
         apart = held.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
                                          F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id")).alias("lead")).where("c0 < c1")
         if not last:
@@ -182,9 +182,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b"))
         else:
             left = store.save(held.join(apart.select("band"), "band", "left_semi")
-                              .join(known.select("doc_id", "n_shingles", "sketch"), "doc_id"))
+                              .join(known.select("doc_id", "n_shingles", "bands", "sketch"), "doc_id"))
             x, y = left.alias("x"), left.alias("y")
-            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
+            # A pair meets in the first of the bands it shares only.
+            first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.nth") + 1
+            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & first
                            & screen(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.sketch"), F.col("y.sketch")))
             pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
         more = _verified(store, docs, pairs.distinct(), known)
