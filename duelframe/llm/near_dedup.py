@@ -134,11 +134,16 @@ def screen(n_a, n_b, sketch_a, sketch_b):
     return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (odd <= most)
 
 
-def _verified(store: Stored, docs: DataFrame, pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Screened and verified pairs (a, b) among candidate pairs; known has the sizes and sketches."""
+def _screened(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) that the screen lets through; known has the sizes and sketches."""
     one = known.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     two = known.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
-    likely = store.save(pairs.join(one, "a").join(two, "b").where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b"))
+    return pairs.join(one, "a").join(two, "b").where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
+
+
+def _verified(store: Stored, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The screened pairs (a, b) whose whole sets are linked."""
+    likely = store.save(pairs)
     if likely.isEmpty():
         return likely
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
@@ -169,7 +174,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     score = shared.groupBy("doc_id").agg(F.sum("crowd").alias("score"))
     lead = shared.join(score, "doc_id").groupBy("band").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("lead"))
     pairs = shared.join(lead, "band").where("doc_id <> lead").select(F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b"))
-    links = _verified(store, docs, pairs.distinct(), known)
+    links = _verified(store, docs, _screened(pairs.distinct(), known))
     found = components(spark, links, store)
     for last in (False, True):
         # Buckets that still hold several classes.
@@ -180,6 +185,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if not last:
             pairs = held.join(apart, "band").where("component <> lead.component").select(
                 F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b"))
+            pairs = _screened(pairs.distinct(), known)
         else:
             left = store.save(held.join(apart.select("band"), "band", "left_semi")
                               .join(known.select("doc_id", "n_shingles", "bands", "sketch"), "doc_id"))
@@ -189,7 +195,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
             pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & first
                            & screen(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.sketch"), F.col("y.sketch")))
             pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-        more = _verified(store, docs, pairs.distinct(), known)
+        more = _verified(store, docs, pairs)
         if not more.isEmpty():
             links = store.save(links.union(more))
             found = components(spark, links, store)
