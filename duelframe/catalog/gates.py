@@ -12,7 +12,7 @@ from ..streaming import jobs
 from ..streaming.latest import LatestTable
 from .registry import query
 from .scalar import text_of
-from .teams import BY, rated
+from .teams import BY, page_rated, rated
 
 
 def week_rows(spark, sf) -> DataFrame:
@@ -163,9 +163,9 @@ def coverage(spark, sf):
            min(r) = 1 AND max(r) = count(*) AND count(DISTINCT r) = count(*) AS ranks_ok, count(DISTINCT team) = count(*) AS names_ok,
            count(*) FILTER (WHERE team % 50 = 0 AND wk % 4 = 0) = 0 AS precision_ok,
            count(*) FILTER (WHERE team % 9 <> 0) = 0 OR count(*) FILTER (WHERE team % 9 <> 0) >= 0.9 * count(*) AS strength_ok
-    FROM (SELECT *, CASE WHEN wk % 5 = 0 AND pr_rank = 2 THEN 1 ELSE pr_rank END AS r FROM rated) GROUP BY ALL""", ["rated"])
+    FROM (SELECT *, CASE WHEN wk % 5 = 0 AND pr_rank = 2 THEN 1 ELSE pr_rank END AS r FROM page_rated) GROUP BY ALL""", ["page_rated"])
 def validate_ratings(spark, sf):
-    r = rated(spark, sf)
+    r = page_rated(spark, sf)
     spoiled = r.select(
         A.league_of().alias("league"), "season", "wk", "team", "sos_rank", F.when((F.col("wk") % 5 == 0) & (F.col("pr_rank") == 2), 1).otherwise(F.col("pr_rank")).alias("pr_rank"),
         F.when((F.col("team") % 50 == 0) & (F.col("wk") % 4 == 0), F.col("pr") + 0.125).otherwise(F.col("pr")).alias("pr"),

@@ -18,7 +18,13 @@ def team_rows(spark, sf) -> DataFrame:
 
 
 def rated(spark, sf) -> DataFrame:
-    """Ratings with ordinal ranks per league and snapshot."""
+    """Ratings with ordinal ranks over all teams of a snapshot."""
+    r = ranks.ordinal_rank(A.ratings(spark, sf), ["season", "wk"], "pr", "team", "pr_rank")
+    return ranks.ordinal_rank(r, ["season", "wk"], "sos", "team", "sos_rank")
+
+
+def page_rated(spark, sf) -> DataFrame:
+    """Ratings with ordinal ranks among the teams of one rating page."""
     by = ["league", "season", "wk"]
     r = ranks.ordinal_rank(A.ratings(spark, sf).withColumn("league", A.league_of()), by, "pr", "team", "pr_rank")
     return ranks.ordinal_rank(r, by, "sos", "team", "sos_rank").drop("league")
@@ -63,7 +69,7 @@ def season_to_date_first_kickoff(spark, sf):
     SELECT season, team, wk, gp, ry_pg, ty_pg, ry_allowed_pg, to_margin_pg, ry_pg_rank, py_pg_rank, ty_pg_rank,
            ry_allowed_pg_rank, py_allowed_pg_rank, ty_allowed_pg_rank FROM ranked""", ["ranked"])
 def dense_ranks(spark, sf):
-    return G.league_metrics(team_rows(spark, sf), BY, league=A.league_of()).select(
+    return G.league_metrics(team_rows(spark, sf), BY).select(
         "season", "team", "wk", "gp", "ry_pg", "ty_pg", "ry_allowed_pg", "to_margin_pg", "ry_pg_rank", "py_pg_rank",
         "ty_pg_rank", "ry_allowed_pg_rank", "py_allowed_pg_rank", "ty_allowed_pg_rank")
 
@@ -159,8 +165,8 @@ def roster_agg(spark, sf):
     r AS (SELECT season, team, CAST(sum(pf) AS BIGINT) AS pf_total, CAST(sum(w) AS BIGINT) AS w, CAST(sum(l) AS BIGINT) AS l, CAST(sum(t) AS BIGINT) AS t
           FROM flags WHERE pf IS NOT NULL AND (game_type = 'REG' OR game_type IS NULL) GROUP BY season, team)
     SELECT season, team, stat_games, ry_pg, ry_allowed_pg, pf_total, w, l, t,
-           CASE WHEN ry_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season ORDER BY ry_pg DESC NULLS LAST) AS INTEGER) END AS ry_pg_rank,
-           CASE WHEN ry_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season ORDER BY ry_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ry_allowed_pg_rank
+           CASE WHEN ry_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season ORDER BY ry_pg DESC NULLS LAST) AS INTEGER) END AS ry_pg_rank,
+           CASE WHEN ry_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season ORDER BY ry_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ry_allowed_pg_rank
     FROM m FULL JOIN r USING (season, team)""", ["team_rows", "flags"])
 def final_season(spark, sf):
     rows = team_rows(spark, sf)
@@ -169,8 +175,7 @@ def final_season(spark, sf):
     records = teams.season_records(rows.where("pf IS NOT NULL AND (game_type = 'REG' OR game_type IS NULL)"),
                                    ["season", "team"]).select("season", "team", "pf_total", "w", "l", "t")
     out = teams.final_season(metrics, records, BY)
-    return ranks.dense_rank_league(out.withColumn("league", A.league_of()), ["league", *BY],
-                                   {"ry_pg": True, "ry_allowed_pg": False}).drop("league")
+    return ranks.dense_rank_league(out, BY, {"ry_pg": True, "ry_allowed_pg": False})
 
 
 @query("distinct_teams", """
@@ -203,13 +208,13 @@ def ordinal_rank(spark, sf):
 
 
 @query("contiguous_rank", """
-    SELECT season, wk, team, pr_rank, CAST(row_number() OVER (PARTITION BY team // 64, season, wk ORDER BY pr_rank, team) AS INTEGER) AS class_rank
+    SELECT season, wk, team, pr_rank, CAST(row_number() OVER (PARTITION BY season, wk ORDER BY pr_rank, team) AS INTEGER) AS class_rank
     FROM rated WHERE team % 3 = 0""", ["rated"])
 def contiguous_rank(spark, sf):
     # A third of the teams is the top class.
     klass = F.when(F.col("team") % 3 == 0, "A").otherwise("AA")
-    r = rated(spark, sf).withColumns({"class": klass, "league": A.league_of()})
-    return ranks.contiguous_rank(r, ["league", "season", "wk"], F.col("class") == "A", "pr_rank", "team", "class_rank").select(
+    r = rated(spark, sf).withColumn("class", klass)
+    return ranks.contiguous_rank(r, ["season", "wk"], F.col("class") == "A", "pr_rank", "team", "class_rank").select(
         "season", "wk", "team", "pr_rank", "class_rank")
 
 

@@ -4,33 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .prefix import row_numbers
+from .prefix import _match, row_numbers
 
 
-def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool]) -> DataFrame:
-    """Dense rank per metric (True: high is better). Nulls get no rank.
+def _pool_numbers(df: DataFrame, by: list[str], value: str, tie: list[str], name: str, descending: bool = False) -> DataFrame:
+    """Number the rows of each pool 1..N by value, then ``tie``; nulls get no number.
 
-    ``df`` has one row per team and cutoff, so a partition is as long as a league has teams.
+    A pool may hold a third of all rows. Its range of values is cut into about as many buckets as the square root of its
+    rows, so neither the window over buckets nor one inside a bucket holds the pool, unless its values crowd together.
     """
-    out = []
-    for name, high in metrics.items():
-        order = F.desc_nulls_last(name) if high else F.asc_nulls_last(name)
-        rank = F.dense_rank().over(Window.partitionBy(*by).orderBy(order))
-        out.append(F.when(F.col(name).isNotNull(), rank).alias(f"{name}_rank"))
-    return df.select("*", *out)
+    v = F.col(value).cast("double")
+    finite = F.when(F.abs(v) < float("inf"), v)
+    pools = df.groupBy(*by).agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    cut = df.alias("r").join(pools.alias("p"), _match(by, "r", "p")).select("r.*", "_lo", "_hi", "_n")
+    buckets = F.ceil(F.sqrt("_n"))
+    # Infinite values fall into the outer buckets.
+    share = F.coalesce(F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    at = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * buckets)
+    # Nulls come last, in any order, spread over buckets of their own.
+    bucket = F.when(v.isNull(), buckets + 1 + F.pmod(F.xxhash64(*tie) if tie else F.lit(0), buckets)).otherwise(-at if descending else at)
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
+    out = row_numbers(cut, by, [order, *tie], bucket, "_number")
+    return out.select(*df.columns, F.when(F.col(value).isNotNull(), F.col("_number").cast("int")).alias(name))
+
+
+def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], key: tuple[str, ...] = ("team",)) -> DataFrame:
+    """Dense rank per metric (True: high is better) over the whole pool of ``by``. Nulls and NaN get no rank.
+
+    ``df`` has one row per pool and ``key``. The distinct values of a pool are numbered and joined back, for all metrics
+    together; values are compared as doubles.
+    """
+    def cell(name: str, high: bool) -> Column:
+        value = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+        # Adding zero turns a negative zero into zero.
+        return F.struct(F.lit(name).alias("_metric"), ((-value if high else value) + 0.0).alias("_v"))
+
+    cells = df.select(*by, *key, F.explode(F.array(*[cell(n, h) for n, h in metrics.items()])).alias("_c")).select(
+        *by, *key, "_c.*").where("_v IS NOT NULL")
+    pool = [*by, "_metric"]
+    numbers = _pool_numbers(cells.select(*pool, "_v").distinct(), pool, "_v", [], "_rank")
+    found = cells.alias("c").join(numbers.alias("n"), _match([*pool, "_v"], "c", "n")).select("c.*", "_rank")
+    wide = found.groupBy(*by, *key).agg(*[F.max(F.when(F.col("_metric") == n, F.col("_rank"))).alias(f"{n}_rank") for n in metrics])
+    joined = df.alias("d").join(wide.alias("w"), _match([*by, *key], "d", "w"), "left")
+    return joined.select("d.*", *[f"{n}_rank" for n in metrics])
 
 
 def ordinal_rank(df: DataFrame, by: list[str], value: str, tie: str, name: str, descending: bool = True) -> DataFrame:
-    """Rank by value with ties broken by ``tie``; nulls get no rank."""
-    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(order, F.asc(tie)))
-    return df.withColumn(name, F.when(F.col(value).isNotNull(), rank))
+    """Rank by value over the whole pool of ``by``, ties broken by ``tie``; nulls get no rank."""
+    return _pool_numbers(df, by, value, [tie], name, descending)
 
 
 def contiguous_rank(df: DataFrame, by: list[str], keep: Column, rank: str, tie: str, name: str) -> DataFrame:
-    """Keep one class of rows and number it 1..N by (rank, tie)."""
-    order = Window.partitionBy(*by).orderBy(F.asc(rank), F.asc(tie))
-    return df.where(keep).withColumn(name, F.row_number().over(order))
+    """Keep one class of ranked rows and number it 1..N by (rank, tie)."""
+    return _pool_numbers(df.where(keep), by, rank, [tie], name)
 
 
 def best_per_key(df: DataFrame, keys: list[str], *order) -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql.types import StructType
 from ..session import tune
 
 HFA = 2.5
-# Ranks are taken within a league. A league has a bounded number of teams; more data brings
-# more leagues, not larger ones.
-LEAGUE_TEAMS = 64
+# Teams of one rating page at most.
+PAGE_TEAMS = 64
 
 
 # Schemas already read, so that a plan with many scans does not open the footers again.
@@ -43,7 +42,7 @@ def week_of_year(ts: Column) -> Column:
 
 
 def league_of(team: str = "team") -> Column:
-    return F.floor(F.col(team) / LEAGUE_TEAMS)
+    return F.floor(F.col(team) / PAGE_TEAMS)
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +194,10 @@ VIEWS_SQL = {
                CAST(count(*) AS DOUBLE) AS sos
         FROM lineitem GROUP BY ALL"""),
     "rated": (("ratings",), """
+        SELECT *, CAST(row_number() OVER (PARTITION BY season, wk ORDER BY pr DESC, team) AS INTEGER) AS pr_rank,
+               CAST(row_number() OVER (PARTITION BY season, wk ORDER BY sos DESC, team) AS INTEGER) AS sos_rank
+        FROM ratings"""),
+    "page_rated": (("ratings",), """
         SELECT *, CAST(row_number() OVER (PARTITION BY team // 64, season, wk ORDER BY pr DESC, team) AS INTEGER) AS pr_rank,
                CAST(row_number() OVER (PARTITION BY team // 64, season, wk ORDER BY sos DESC, team) AS INTEGER) AS sos_rank
         FROM ratings"""),
@@ -226,12 +229,12 @@ VIEWS_SQL = {
                CAST(opp_turnovers - turnovers AS DOUBLE) / nullif(gp, 0) AS to_margin_pg
         FROM to_date"""),
     "ranked": (("per_game",), """
-        SELECT *, CASE WHEN ry_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY ry_pg DESC NULLS LAST) AS INTEGER) END AS ry_pg_rank,
-               CASE WHEN py_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY py_pg DESC NULLS LAST) AS INTEGER) END AS py_pg_rank,
-               CASE WHEN ty_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY ty_pg DESC NULLS LAST) AS INTEGER) END AS ty_pg_rank,
-               CASE WHEN ry_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY ry_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ry_allowed_pg_rank,
-               CASE WHEN py_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY py_allowed_pg ASC NULLS LAST) AS INTEGER) END AS py_allowed_pg_rank,
-               CASE WHEN ty_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY team // 64, season, wk ORDER BY ty_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ty_allowed_pg_rank
+        SELECT *, CASE WHEN ry_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY ry_pg DESC NULLS LAST) AS INTEGER) END AS ry_pg_rank,
+               CASE WHEN py_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY py_pg DESC NULLS LAST) AS INTEGER) END AS py_pg_rank,
+               CASE WHEN ty_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY ty_pg DESC NULLS LAST) AS INTEGER) END AS ty_pg_rank,
+               CASE WHEN ry_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY ry_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ry_allowed_pg_rank,
+               CASE WHEN py_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY py_allowed_pg ASC NULLS LAST) AS INTEGER) END AS py_allowed_pg_rank,
+               CASE WHEN ty_allowed_pg IS NOT NULL THEN CAST(dense_rank() OVER (PARTITION BY season, wk ORDER BY ty_allowed_pg ASC NULLS LAST) AS INTEGER) END AS ty_allowed_pg_rank
         FROM per_game"""),
     "before": (("flags",), """
         SELECT game_id, team, CAST(coalesce(sum(w) OVER p, 0) AS BIGINT) AS w_before,
