@@ -356,3 +356,21 @@ def test_later_metrics_file_wins(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Team,PF\n" + "".join(f"U{i},0\n" for i in range(500)) + "T1,2\n")
     got = read_metrics_csv(spark, str(tmp_path), "Team string, PF int").where("Team = 'T1'").collect()
     assert [x.PF for x in got] == [2]
+
+
+def test_ranks_span_a_whole_pool(spark):
+    from pyspark.sql import functions as F
+
+    from duelframe.operators import ranks
+
+    # 400 teams of one pool, a third of them with one value, some without any, two infinite.
+    inf = float("inf")
+    data = [(t, None if t % 10 == 9 else inf if t == 5 else -inf if t == 8 else 7.0 if t % 3 == 0 else (t * 37 % 101) / 4) for t in range(400)]
+    df = spark.createDataFrame(data, "team int, v double").withColumn("s", F.lit(1))
+    for high in (True, False):
+        values = sorted({v for _, v in data if v is not None}, reverse=high)
+        dense = {r.team: r.v_rank for r in ranks.dense_rank_league(df, ["s"], {"v": high}).collect()}
+        assert dense == {t: None if v is None else values.index(v) + 1 for t, v in data}
+        order = sorted((t for t, v in data if v is not None), key=lambda t: (-data[t][1] if high else data[t][1], t))
+        got = {r.team: r.n for r in ranks.ordinal_rank(df, ["s"], "v", "team", "n", high).collect()}
+        assert got == {t: order.index(t) + 1 if v is not None else None for t, v in data}
