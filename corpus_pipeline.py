@@ -42,7 +42,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens."""
-    return packing.pack(docs)
+    return packing.pack_added(docs)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup_stage), ("suffix_dedup", suffix_dedup_stage),

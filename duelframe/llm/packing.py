@@ -8,6 +8,9 @@ is the cheapest cut at most one capacity before it, which a monotone queue of ca
 A task works through its partition in stretches of STRETCH tokens and carries the last windows of each over to the next,
 so memory is bounded by a stretch and one document; nothing is shuffled.
 
+Added tokens of a tokenizer file are matched inside texts, as ``tokenizers`` does by default; without that file every
+character is plain text.
+
 Null and empty texts are one token (the end token). Repeated rows are packed each. Rows with a null doc_id are packed
 under a null id. An empty table gives no rows; other columns are ignored.
 """
@@ -15,6 +18,7 @@ under a null id. An empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -60,9 +64,14 @@ _BLANKS = re.compile(r" [ \t\n\r]")
 
 
 class Tokenizer:
-    """Byte-pair ids (little-endian uint32) of whole texts, word by word from memory where the text allows it."""
+    """Byte-pair ids (little-endian uint32) of whole texts, word by word from memory where the text allows it.
+
+    Texts are first cut at ``added`` tokens, the longest one of a place; what lies between is tokenized by itself.
+    """
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, ranks_path: str, added: dict[str, int] | None = None):
+        self.added = {a: np.array([number], np.uint32) for a, number in (added or {}).items()}
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -72,6 +81,14 @@ class Tokenizer:
         self.memory = _Memory(self.plain)
 
     def __call__(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.uint32)
+        if any(a in text for a in self.added):
+            parts = self.split.split(text)  # plain texts and added tokens in turn
+            return np.concatenate([self.added[x] if i % 2 else self._ids(x) for i, x in enumerate(parts)])
+        return self._ids(text)
+
+    def _ids(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
         if not _PLAIN.fullmatch(text):
@@ -97,6 +114,16 @@ class Tokenizer:
         return array("I", self.plain.encode_ordinary(first)).tobytes() + b"".join(map(self.memory.__getitem__, rest))
 
 
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """Added tokens of a tokenizer file and their ids; none of them may take more of a text than its own characters."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    odd = [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens with matching rules of their own: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class _Memory(dict):
     """Ids of a blank and the characters up to the next one."""
 
@@ -196,12 +223,16 @@ class Packer:
         self.parts, self.size = rest, int(len(ids) - stop)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
-    """The pieces of all documents, see SCHEMA. Sequence ids are unique: the partition's number and a count."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = None, tokenizer_path: str | None = None) -> DataFrame:
+    """The pieces of all documents, see SCHEMA. Sequence ids are unique: the partition's number and a count.
+
+    ``tokenizer_path``: the file with the added tokens to match in texts.
+    """
     path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    added = added_tokens(tokenizer_path) if tokenizer_path else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(path)
+        tokenizer = Tokenizer(path, added)
         packer = Packer(tokenizer.ends, capacity, TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -214,6 +245,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = Non
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def pack_added(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents with the ids of ``tokenizers``, which matches added tokens inside texts."""
+    return pack(docs, tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _rows(packer: Packer) -> pa.RecordBatch:
     columns = list(zip(*packer.rows)) or [[]] * 7
     packer.rows = []

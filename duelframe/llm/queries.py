@@ -51,7 +51,7 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir))
+    return packing.pack_added(documents(spark, sf_dir))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,6 +225,26 @@ def test_packing_round_trip(spark):
         assert at <= packing.CAPACITY
 
 
+def test_packing_matches_added_tokens(spark, tmp_path):
+    """The queries take the ids that the tokenizer gives by default."""
+    from corpus_pipeline import STAGES
+    from duelframe.llm.queries import QUERIES
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ODD + ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x<|endoftext|>  \n y ",
+                   "日本<|endoftext|>語\n\n", "<|endoftext|", "w " * 5000 + "<|endoftext|>" + "é " * 5000, "<|<|endoftext|>|>"]
+    assert tokenizer.encode(texts[len(ODD)], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = docs_of(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: np.array(tokenizer.encode(x or "", add_special_tokens=False).ids + [1], np.uint32) for i, x in enumerate(texts)}
+    for rows in (QUERIES["op6_packing"](spark, str(tmp_path)).collect(), dict(STAGES)["packing"](spark, docs, str(tmp_path)).collect()):
+        assert sum(r.length for r in rows) == sum(map(len, ids.values()))
+        for r in rows:
+            assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 9), st.sampled_from([0, 3, 7])), min_size=1, max_size=12))
 def test_cuts_are_the_cheapest(steps):
