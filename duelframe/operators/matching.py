@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import scratch_dir
 from .ranks import best_per_key
 from .skew import calendar, skew_join
 
@@ -147,36 +148,61 @@ def tiered_match(events: DataFrame, games: DataFrame, event_id: str = "event_id"
                  near_minutes: int = 120) -> DataFrame:
     """Four tiers of match, at most one event per game and one game per event.
 
-    Each event takes its best game by (tier, time difference, key); each game then keeps its
-    best event by (tier, time difference, event). Unmatched events carry ``why``.
+    In rounds: each event takes its best game by (tier, time difference, key); each game then keeps its best event by
+    (tier, time difference, event). Events that lose their game go on with the games still free, until no unmatched
+    event has a free game in reach. Unmatched events carry ``why``.
     """
-    slots = game_slots(games, key, kickoff, game_home, game_away, None)
-    slots = slots.select(F.col("home").alias(home), F.col("away").alias(away), F.col("kickoff").alias("_kickoff"), key)
-    near = nearest_by_pair(events, slots, near_minutes * 60, event_ts, "_kickoff", home, away)
     exact = exact_minutes * 60
 
     def tier(c: Column) -> Column:
         close = F.when(c["delta"] <= exact, 1).when(c["same_date"], 3)
         return close + c["swapped"].cast("int")
 
-    best = F.array_min(F.filter(
-        F.transform("near", lambda c: F.struct(tier(c).alias("tier"), c["delta"], c[key])),
-        lambda c: c["tier"].isNotNull()))
-    picked = near.withColumn("_best", best)
-    tagged = picked.select(*events.columns, F.col(f"_best.{key}").alias(key), F.col("_best.tier").alias("tier"),
-                           F.col("_best.delta").alias("delta"))
-    matched = tagged.where(F.col(key).isNotNull())
-    winners = best_per_key(matched, [key], "tier", "delta", event_id).select(
-        F.col(event_id), F.lit(True).alias("_won"))
-    out = tagged.join(winners, [event_id], "left")
+    def choose(asks: DataFrame, free: DataFrame) -> DataFrame:
+        slots = game_slots(free, key, kickoff, game_home, game_away, None)
+        slots = slots.select(F.col("home").alias(home), F.col("away").alias(away), F.col("kickoff").alias("_kickoff"), key)
+        near = nearest_by_pair(asks, slots, near_minutes * 60, event_ts, "_kickoff", home, away)
+        best = F.array_min(F.filter(
+            F.transform("near", lambda c: F.struct(tier(c).alias("tier"), c["delta"], c[key])),
+            lambda c: c["tier"].isNotNull()))
+        picked = near.withColumn("_best", best)
+        tagged = picked.select(*events.columns, F.col(f"_best.{key}").alias(key), F.col("_best.tier").alias("tier"),
+                               F.col("_best.delta").alias("delta"))
+        matched = tagged.where(F.col(key).isNotNull() & F.col(event_id).isNotNull())
+        winners = best_per_key(matched, [key], "tier", "delta", event_id).select(
+            F.col(event_id), F.lit(True).alias("_won"))
+        return _stored(tagged.join(winners, [event_id], "left"))
+
     won = F.col("_won").isNotNull()
+    lost = F.col(key).isNotNull() & F.col(event_id).isNotNull() & ~won
+    # Only games of sides with a losing event can still be wanted.
+    pair = [F.least(home, away).alias("_lo"), F.greatest(home, away).alias("_hi")]
+    free = games.select(key, kickoff, game_home, game_away)
+    out = choose(events, free)
+    losers = out.where(lost)
+    settled = out.where(~lost)
+    while not losers.isEmpty():
+        wanted = free.withColumns({"_lo": F.least(game_home, game_away), "_hi": F.greatest(game_home, game_away)})
+        wanted = skew_join(wanted, losers.select(*pair).distinct(), ["_lo", "_hi"], "left_semi").drop("_lo", "_hi")
+        free = _stored(skew_join(wanted, out.where(won).select(key), [key], "left_anti"))
+        out = choose(losers.select(*events.columns), free)
+        losers = out.where(lost)
+        settled = settled.unionByName(out.where(~lost))
+
     label = F.element_at(F.array(*[F.lit(t) for t in TIER_NAMES]), F.col("tier"))
     why = (F.when(won, F.lit(None).cast("string"))
            .when(F.col(home).isNull() | F.col(away).isNull(), "name_mismatch")
            .when(F.col(event_ts).isNull(), "invalid_commence_time")
            .otherwise("no_schedule_candidate"))
-    return out.select(*events.columns, F.when(won, F.col(key)).alias(key), F.when(won, label).alias("tier"),
-                      F.when(won, F.col("delta")).alias("delta"), why.alias("why"))
+    return settled.select(*events.columns, F.when(won, F.col(key)).alias(key), F.when(won, label).alias("tier"),
+                          F.when(won, F.col("delta")).alias("delta"), why.alias("why"))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once: a later round does not compute the earlier ones again."""
+    path = scratch_dir(df.sparkSession, "tiers")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def enrich_missing(games: DataFrame, odds: DataFrame, key: str = "game_id", kickoff: str = "kickoff",

@@ -119,6 +119,54 @@ def test_tiers_are_one_to_one(spark):
                    6: (None, None, "invalid_commence_time"), 7: (None, None, "name_mismatch")}
 
 
+SLOTS = "game_id long, kickoff timestamp, home_id string, away_id string"
+
+
+def test_event_that_loses_its_game_takes_a_free_one(spark):
+    g = spark.createDataFrame([(1, at("2025-09-07 12:00"), "A", "B"), (2, at("2025-09-07 13:00"), "A", "B")], SLOTS)
+    e = spark.createDataFrame([(1, at("2025-09-07 12:00"), "A", "B"), (2, at("2025-09-07 12:10"), "A", "B")], EVENTS)
+    got = {r.event_id: (r.game_id, r.tier, r.delta, r.why) for r in matching.tiered_match(e, g).collect()}
+    assert got == {1: (1, "ordered_exact", 0.0, None), 2: (2, "ordered_near", 3000.0, None)}
+
+
+def brute_tiers(evs, gs):
+    """Rounds over all pairs of unmatched events and free games."""
+    free, open_, out = list(gs), list(evs), {}
+    while True:
+        asked = {}
+        for eid, ts, home, away in open_:
+            cands = []
+            for gid, kickoff, gh, ga in free:
+                delta = abs((kickoff - ts).total_seconds())
+                if {gh, ga} == {home, away} and (delta <= 300 or delta <= 7200 and kickoff.date() == ts.date()):
+                    cands.append(((1 if delta <= 300 else 3) + (gh != home), delta, gid))
+            if cands:
+                tier, delta, gid = min(cands)
+                asked.setdefault(gid, []).append((tier, delta, eid))
+        if not asked:
+            return {eid: out.get(eid) for eid, *_ in evs}
+        for gid, asks in asked.items():
+            tier, delta, eid = min(asks)
+            out[eid] = (gid, matching.TIER_NAMES[tier - 1], delta)
+        open_, free = [x for x in open_ if x[0] not in out], [x for x in free if x[0] not in asked]
+
+
+def test_tiers_of_a_hot_pair_equal_brute_force(spark):
+    """Many games and events of one pair within hours, some games at the same time."""
+    import random
+
+    rng = random.Random(7)
+    base = at("2025-09-07 20:00")
+
+    def rows(n, step):
+        return [(i, base + dt.timedelta(minutes=rng.randrange(0, 480, step)), *(rng.sample(["A", "B"], 2) if rng.random() < 0.9 else ["C", "D"])) for i in range(n)]
+    gs, evs = rows(16, 30), rows(30, 10)
+    want = brute_tiers(evs, gs)
+    out = matching.tiered_match(spark.createDataFrame(evs, EVENTS), spark.createDataFrame(gs, SLOTS)).collect()
+    assert {r.event_id: (r.game_id, r.tier, r.delta) if r.game_id is not None else None for r in out} == want
+    assert len(out) == len(evs)
+
+
 def test_week_of_clamps_and_gaps(spark):
     g = spark.createDataFrame([(1, 2025, 1, at("2025-09-04 17:00")), (2, 2025, 2, at("2025-09-09 00:00")), (3, 2025, 4, at("2025-09-25 10:00"))],
                               "game_id long, season int, wk int, kickoff timestamp")
