@@ -262,6 +262,19 @@ def event_window(spark, sf):
         "event_id", "in_window", "is_future", "is_past")
 
 
+@query("event_window_all", """
+    , far AS (SELECT event_id, event_ts + to_days(CASE event_id % 50 WHEN 7 THEN 4000 WHEN 8 THEN -4000 ELSE 0 END) AS event_ts FROM feed),
+    b AS (SELECT min(kickoff) AS lo, max(kickoff) AS hi FROM games)
+    SELECT event_id, event_ts >= lo - INTERVAL 6 DAY AND event_ts <= hi + INTERVAL 6 DAY AS in_window,
+           event_ts > hi + INTERVAL 2 DAY AS is_future, event_ts < lo - INTERVAL 2 DAY AS is_past FROM far, b""", ["feed", "games"])
+def event_window_all(spark, sf):
+    """Bounds of all games; some events lie years outside."""
+    g, k = A.games(spark, sf), F.col("event_id") % 50
+    days = F.when(k == 7, 4000).when(k == 8, -4000).otherwise(0)
+    events = A.feed(g).withColumn("event_ts", F.col("event_ts") + F.make_dt_interval(days=days))
+    return matching.event_window_flags(events, g).select("event_id", "in_window", "is_future", "is_past")
+
+
 @query("latest_per_key", """
     SELECT game_id, market, book, strftime(fetch_ts, '%Y-%m-%d %H:%M:%S') AS fetch_ts, line_no, part, cents FROM (
         SELECT *, row_number() OVER (PARTITION BY game_id, market, book ORDER BY fetch_ts DESC, line_no, part, supp, cents) AS rn FROM odds)

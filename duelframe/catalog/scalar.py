@@ -195,6 +195,20 @@ def blank_counts(spark, sf):
         F.count_if(numbers.has_numeric(F.substring("text", 1, 1))).alias("starts_numeric"))
 
 
+@query("numeric_texts", """
+    SELECT count(*) AS rows, count(*) FILTER (WHERE TRY_CAST(text AS DOUBLE) IS NOT NULL) AS numeric_text,
+           count(*) FILTER (WHERE TRY_CAST(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN CAST(doc_id AS VARCHAR)
+               ELSE CAST(doc_id AS VARCHAR) || ' ' || text END AS DOUBLE) IS NOT NULL) AS numeric_mixed
+    FROM documents""")
+def numeric_texts(spark, sf):
+    """Whole texts, numbers, and texts that only start with a number."""
+    d, k = A.table(spark, sf, "documents"), F.col("doc_id")
+    number = k.cast("string")
+    mixed = F.when(k % 3 == 0, F.col("text")).when(k % 3 == 1, number).otherwise(F.concat(number, F.lit(" "), "text"))
+    return d.agg(F.count(F.lit(1)).alias("rows"), F.count_if(numbers.has_numeric("text")).alias("numeric_text"),
+                 F.count_if(numbers.has_numeric(mixed)).alias("numeric_mixed"))
+
+
 @query("first_present", """
     SELECT o_orderkey, coalesce(TRY_CAST(CASE WHEN o_orderkey % 3 = 0 THEN 'x' ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS DOUBLE),
            TRY_CAST(CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) END AS DOUBLE)) AS number,

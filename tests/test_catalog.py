@@ -23,6 +23,17 @@ def test_query_equals_sql(spark, con, name):
         assert compare(got, con.sql(checks[name]).to_arrow_table()) == ""
 
 
+def test_whole_queries_keep_every_game(spark):
+    games = {r[0] for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()}
+    for name in ("merge_preserving_all", "upsert_keep_best_all"):
+        assert {r.game_id for r in entry.queries()[name](spark, SF).collect()} == games
+    assert sum(r.n for r in entry.queries()["diff_rows_all"](spark, SF).collect()) == len(games)
+    flags = entry.queries()["event_window_all"](spark, SF).collect()
+    assert {(r.in_window, r.is_future, r.is_past) for r in flags} >= {(True, False, False), (False, True, False), (False, False, True)}
+    row = entry.queries()["numeric_texts"](spark, SF).first()
+    assert 0 < row.numeric_mixed < row.rows
+
+
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert df.limit(1).count() == 1
