@@ -191,9 +191,22 @@ def _in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _copies(table: pa.Table) -> np.ndarray:
-    """Documents of the block whose text an earlier document has (bucket -1)."""
-    return np.array(table.filter(pc.equal(table.column("bucket"), -1)).column("copy").to_pylist(), np.int64)
+def _copies(table: pa.Table) -> dict[int, set[bytes]]:
+    """Documents of the block whose text an earlier document has (bucket -1), with the digests of such texts."""
+    table = table.filter(pc.equal(table.column("bucket"), -1))
+    out: dict[int, set[bytes]] = {}
+    for doc, digest in zip(table.column("copy").to_pylist(), table.column("digest").to_pylist()):
+        out.setdefault(doc, set()).add(digest)
+    return out
+
+
+def _is_copy(docs: pa.Table | pa.RecordBatch, copies: dict[int, set[bytes]]) -> np.ndarray:
+    """Rows whose own text is a copy; rows that share a doc_id are told apart by their texts."""
+    ids, text = docs.column("doc_id").to_numpy(), docs.column("text")
+    out = np.isin(ids, np.array(list(copies), np.int64))
+    for i in np.flatnonzero(out).tolist():
+        out[i] = text[i].is_valid and hashlib.sha256(text[i].as_buffer()).digest() in copies[int(ids[i])]
+    return out
 
 
 def _send_stretches(parts: int):
@@ -203,7 +216,7 @@ def _send_stretches(parts: int):
     """
     def run(docs: pa.Table, keys: pa.Table) -> pa.Table:
         shared, hot = _full_keys(keys, "keys"), _full_keys(keys, "hot")
-        docs = docs.filter(pa.array(~np.isin(docs.column("doc_id").to_numpy(), _copies(keys))))
+        docs = docs.filter(pa.array(~_is_copy(docs, _copies(keys))))
         found_ = []
         for part in t.slices(iter(docs.combine_chunks().to_batches()), "text"):
             found = Stretches(*t.text_buffer(part.column("text")))
@@ -376,7 +389,7 @@ def _remove(parts: int, carried: list[str]):
                     cut = least[place] < np.repeat(ids[text[hit]], n)
                     np.add.at(gone, begin[cut], 1)
                     np.add.at(gone, begin[cut] + size[cut] + SIZE - 1, -1)
-            copy = np.flatnonzero(np.isin(ids, copies) & live & (np.diff(offsets) >= SIZE))
+            copy = np.flatnonzero(_is_copy(part, copies) & (np.diff(offsets) >= SIZE))
             np.add.at(gone, offsets[copy], 1)
             np.add.at(gone, offsets[copy + 1], -1)
             lost = np.cumsum(gone[:-1]) > 0
@@ -406,7 +419,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, carry: bool = False) ->
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = Stored(spark, "repeats")
     others = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
-    texts = docs.select("doc_id", "text", F.floor(F.col("doc_id") / BLOCK_DOCS).cast("long").alias("block"), *(F.col(c).alias(f"carried_{c}") for c in others))
+    texts = docs.select("doc_id", "text", F.expr(f"(doc_id - pmod(doc_id, {BLOCK_DOCS})) div {BLOCK_DOCS}").alias("block"), *(F.col(c).alias(f"carried_{c}") for c in others))
     known = texts.where("doc_id is not null")
     keys = known.where(f"octet_length(text) >= {SIZE}").select("doc_id", "text").mapInArrow(
         _block_keys(parts), "bucket int, keys binary, twice binary, blocks binary")
@@ -414,7 +427,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, carry: bool = False) ->
     long = known.select("doc_id", "text", "block").where(f"octet_length(text) >= {SIZE}")
     digest = store.save(long.select("doc_id", "block", F.unhex(F.sha2("text", 256)).alias("digest")))
     low = digest.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1")
-    copies = digest.join(low, "digest").where("doc_id > low").select("block", F.lit(-1).alias("bucket"), F.col("doc_id").alias("copy"))
+    copies = digest.join(low, "digest").where("doc_id > low").select("block", F.lit(-1).alias("bucket"), F.col("doc_id").alias("copy"), "digest")
     shared = store.save(keys.repartitionById(parts, F.col("bucket")).mapInArrow(
         _shared_keys, "block long, bucket int, keys binary, hot binary").unionByName(copies, allowMissingColumns=True))
     store.drop(digest)
@@ -422,11 +435,16 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, carry: bool = False) ->
         _with_docs(_send_stretches(parts)), "bucket int, block long, data binary, sizes binary, owners binary, more binary, cells binary"))
     kinds = "block long, bucket int, content binary, runs binary, lengths binary, least binary"
     answers = store.save(sent.repartitionById(parts, F.col("bucket")).mapInArrow(_match, kinds).unionByName(
-        shared.where("octet_length(hot) > 0 or bucket = -1").select("block", "bucket", "hot", "copy"), allowMissingColumns=True))
+        shared.where("octet_length(hot) > 0 or bucket = -1").select("block", "bucket", "hot", "copy", "digest"), allowMissingColumns=True))
     store.drop(shared)
     schema = T.StructType([*T.StructType.fromDDL(SCHEMA), *(T.StructField(f"carried_{c}", docs.schema[c].dataType) for c in others)])
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    left = known.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _with_docs(_remove(parts, [f"carried_{c}" for c in others])), schema)
+    # Rows without doc_id lose nothing and need no block.
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    whole = {"doc_id": F.lit(None).cast("long"), "n_bytes": F.octet_length(text).cast("long"), "n_removed": none, "n_spans": none,
+             "kept_sha256": F.sha2(text.cast("binary"), 256), "kept_text": text}
+    return left.union(texts.where("doc_id is null").select(*(whole.get(c, F.col(c)).alias(c) for c in schema.names)))
 
 
 def _with_docs(work):

@@ -189,6 +189,20 @@ def test_repeat_removal_equals_brute_force(spark, monkeypatch):
     assert suffix_dedup.remove_repeats(spark, docs_of(spark, [])).count() == 0
 
 
+def test_repeat_removal_tells_rows_of_one_id_apart(spark):
+    first, other = "".join(f"a{i} " for i in range(40)), "".join(f"b{i} " for i in range(40))
+    big = (1 << 60) + 511
+    rows = [(1, first), (2, first), (2, other), (3, other), (None, first), (None, None), (big, first), (-1, "short"), (-5, other[:60])]
+    docs = spark.createDataFrame([(i, x, "en") for i, x in rows], "doc_id long, text string, lang string")
+    out = suffix_dedup.remove_repeats(spark, docs, carry=True)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "isnull(doc_id" in plan  # rows without doc_id go round the cogroup
+    got = Counter((r.doc_id, r.n_bytes, r.kept_text, r.kept_sha256 == hashlib.sha256(r.kept_text.encode()).hexdigest(), r.carried_lang) for r in out.collect())
+    kept = [(1, first, first), (2, first, ""), (2, other, other[60:]), (3, other, ""), (None, first, first), (None, "", ""), (big, first, ""),
+            (-1, "short", "short"), (-5, other[:60], other[:60])]
+    assert got == Counter((i, len(x), y, True, "en") for i, x, y in kept)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab", min_size=1, max_size=30), min_size=1, max_size=6), st.lists(st.text("abc", min_size=1, max_size=30), min_size=1, max_size=4))
 def test_run_index_finds_smallest_owner(texts, queries):
