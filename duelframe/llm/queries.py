@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, near_dedup, packing, repetition, resampling, sharding, suffix_dedup, tool_calls,
-               toxicity)
+from . import (alignment, decontaminate, dual_tree, language, line_dedup, near_dedup, packing, repetition, resampling, sharding,
+               suffix_dedup, tool_calls, toxicity)
 from .storage import documents
 
 
@@ -75,10 +75,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", _held_out().alias("held_out"), "score", "predicted", "n_hits")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, documents(spark, sf_dir))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.rank(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(spark, documents(spark, sf_dir), with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_quality_rules, op3_language_id, op4_tool_calls, op5_suffix_array_dedup, op6_packing,
-    op7_sharding, op8_quality_classifier, op9_benchmark_decontamination, op10_toxicity)}
+    op7_sharding, op8_quality_classifier, op9_benchmark_decontamination, op10_toxicity, op11_tokenizer_alignment, op12_ranked_search,
+    op13_line_dedup)}
 
+_LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOW}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 CHECKS: dict[str, str] = {
@@ -136,4 +151,22 @@ gone AS (SELECT p.doc_id, count(*) AS n, sum(b - a) AS bytes, string_agg(substr(
   FROM pieces p JOIN h USING (doc_id) GROUP BY p.doc_id)
 SELECT h.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(bytes, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
   sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM h LEFT JOIN gone USING (doc_id)""",
+    "op12_ranked_search": f"""
+WITH d AS (SELECT doc_id, t, len(t)::BIGINT AS n FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+o AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM o, s GROUP BY term),
+p AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nd) // l))) AS p FROM o JOIN w USING (term), s),
+r AS (SELECT item_id, doc_id, sum(p)::BIGINT AS score FROM q JOIN p USING (term) GROUP BY ALL HAVING sum(p) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM r
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10""",
+    "op13_line_dedup": f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+l AS (SELECT doc_id, i, s[i] AS line, translate(trim(s[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOW}) AS key
+  FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM s)),
+shared AS (SELECT key, max(doc_id) AS last_doc FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT l.*, coalesce(l.doc_id < s.last_doc, false) AS gone FROM l LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM marked GROUP BY doc_id""",
 }
