@@ -13,8 +13,8 @@ tasks while it has at most PAIRS rows (16 bytes each); beyond that the irregular
 pair and summed by row, with the same result.
 
 Blanks that stand alone before a character that is not white space always start a token of both (no piece of B holds a
-blank after another character, which is checked), so a text is encoded by stretches between them and each worker remembers
-up to REMEMBERED short stretches.
+blank after another character, which is checked), so the different stretches between them are encoded once for some texts
+together, and each worker remembers short ones.
 
 Texts that are null or empty, or whose joined token bytes differ from the text, get zeros and an empty hash. Repeated rows
 count each. Rows without doc_id count and get their row under a null id. An empty table gives no rows. Other columns are
@@ -28,6 +28,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -38,10 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .storage import Stored
+from .textops import slices
 
 #: Rows of irregular pairs that travel with tasks at most.
 PAIRS = 1 << 20
-REMEMBERED, SHORT = 300_000, 40
+#: Stretches in each of two generations of a worker's memory, and characters of one; bytes of text encoded together.
+REMEMBERED, SHORT, SLICE = 200_000, 40, 1 << 20
 #: Bits of a B id in a pair; a regular link has A's id and this flag instead.
 _B_BITS = 15
 _REGULAR = np.uint32(1 << 31)
@@ -53,6 +56,10 @@ ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long,
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+#: Groups as text, link codes, and the number of A tokens.
+Stretch = tuple[bytes, bytes, int]
+
+
 class Aligner:
     """Encodes texts by both vocabularies and aligns the tokens."""
 
@@ -71,42 +78,79 @@ class Aligner:
                         for i, p in enumerate(pieces)]
         # The identity map; of B ids with the same bytes the last one, a piece rather than a single byte.
         by_bytes = {token: number for number, token in enumerate(self.b_bytes)}
-        self.same = {number: by_bytes[token] for number, token in self.a_bytes.items() if token in by_bytes}
-        self.memory: dict[str, tuple[bytes, bytes, int] | None] = {}
-
-    def stretch(self, text: str) -> tuple[bytes, bytes, int] | None:
-        """Groups, link codes and number of A tokens of a space and ``text``; None if the bytes are not kept."""
-        data = (" " + text).encode()
-        ids_a, ids_b = self.a.encode_ordinary(" " + text), self.b.encode(text)
-        parts_a, parts_b = [self.a_bytes[i] for i in ids_a], [self.b_bytes[i] for i in ids_b]
-        if b"".join(parts_a) != data or b"".join(parts_b) != data:
-            return None
-        groups, codes = [], []
-        i = j = 0
-        while i < len(ids_a):
-            first, second, pairs = i, j, []
-            end_a, end_b = len(parts_a[i]), len(parts_b[j])
-            pairs.append((ids_a[i], ids_b[j]))
-            while end_a != end_b:
-                if end_a < end_b:
-                    i += 1
-                    end_a += len(parts_a[i])
-                else:
-                    j += 1
-                    end_b += len(parts_b[j])
-                pairs.append((ids_a[i], ids_b[j]))
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, ids_a[first:i])) + "|" + ",".join(map(str, ids_b[second:j])))
-            if len(pairs) == 1 and self.same.get(ids_a[first]) == ids_b[second]:
-                codes.append(ids_a[first] | int(_REGULAR))
+        self.same = np.full(max(self.a_bytes) + 1, -1, np.int64)
+        self.a_size = np.zeros(len(self.same), np.int64)
+        for number, token in self.a_bytes.items():
+            self.same[number] = by_bytes.get(token, -1)
+            self.a_size[number] = len(token)
+        self.b_size = np.array([len(token) for token in self.b_bytes])
+        # Two generations of stretches: what the older one does not lend to the younger is forgotten with it.
+        self.young: dict[str, Stretch | None] = {}
+        self.old: dict[str, Stretch | None] = {}
+
+    def align(self, parts: list[str]) -> list[Stretch | None]:
+        """Each part (after its blank) by itself; None if its bytes are not kept. All are encoded in one call."""
+        if not parts:
+            return []
+        text = " " + " ".join(parts)
+        ids_a = np.array(self.a.encode_ordinary(text), np.int64)
+        ids_b = np.array(list(chain.from_iterable(self.b.encode(parts, num_threads=1))), np.int64)
+        data = text.encode()
+        if (b"".join(map(self.a_bytes.__getitem__, ids_a.tolist())) != data
+                or b"".join(map(self.b_bytes.__getitem__, ids_b.tolist())) != data):
+            half = len(parts) // 2
+            return self.align(parts[:half]) + self.align(parts[half:]) if half else [None]
+        ends = np.cumsum([len(part.encode()) + 1 for part in parts])
+        end_a, end_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        # The stretches between neighbouring token ends are the links: each lies in one token of A and one of B.
+        at = np.union1d(end_a, end_b)
+        i, j = np.searchsorted(end_a, at), np.searchsorted(end_b, at)
+        last = np.flatnonzero((end_a[i] == at) & (end_b[j] == at))
+        first = np.append(0, last[:-1] + 1)
+        group = np.repeat(np.arange(len(last)), last - first + 1)
+        a, b = ids_a[i], ids_b[j]
+        regular = (last == first)[group] & (self.same[a] == b)
+        codes = np.where(regular, a | int(_REGULAR), a << _B_BITS | b).astype(np.uint32).tobytes()
+        names_a, names_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        groups = [names_a[p] + "|" + names_b[r] if p == q and r == s else ",".join(names_a[p:q + 1]) + "|" + ",".join(names_b[r:s + 1])
+                  for p, q, r, s in zip(i[first].tolist(), i[last].tolist(), j[first].tolist(), j[last].tolist())]
+        g, c, t = (np.searchsorted(x, ends, side="right") for x in (at[last], at, end_a))
+        if (at[last][g - 1] != ends).any():
+            raise ValueError("a token goes over the blank before a stretch")
+        return [(";".join(groups[g0:g1]).encode(), codes[4 * c0:4 * c1], t1 - t0) for g0, g1, c0, c1, t0, t1 in
+                zip(*(x.tolist() for v in (g, c, t) for x in (np.append(0, v[:-1]), v)))]
+
+    def _stretches(self, parts: set[str]) -> dict[str, Stretch | None]:
+        found, new = {}, []
+        for part in parts:
+            if part in self.young:
+                found[part] = self.young[part]
+            elif part in self.old:
+                found[part] = self.young[part] = self.old[part]
+            elif _SPACE_PIECE in part:
+                found[part] = None  # B takes it for a blank
             else:
-                codes += [a << _B_BITS | b for a, b in pairs]
-        return ";".join(groups).encode(), np.array(codes, np.uint32).tobytes(), len(ids_a)
-
-    def __call__(self, text: str) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray] | None:
-        """Counts of A and B tokens, groups and links, the groups' hash, distinct link codes and how often each occurs."""
-        first, *rest = _STARTS.split(" " + text)
-        parts = [self._known(part) for part in ([first[1:]] if first else []) + rest]
+                new.append(part)
+        # Only a part that begins with a character other than white space may follow another one.
+        free = [part for part in new if not part or part[0].isspace()]
+        inner = [part for part in new if part and not part[0].isspace()]
+        made = dict(zip(inner, self.align(inner))) | {part: self.align([part])[0] for part in free}
+        self.young |= {part: stretch for part, stretch in made.items() if len(part) <= SHORT}
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        return found | made
+
+    def __call__(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray] | None]:
+        """Of each text: counts of A and B tokens, groups and links, the groups' hash, distinct link codes and how often each occurs."""
+        split = []
+        for text in texts:
+            first, *rest = _STARTS.split(" " + text)
+            split.append(([first[1:]] if first else []) + rest)
+        found = self._stretches(set(chain.from_iterable(split)))
+        return [self._text([found[part] for part in parts]) for parts in split]
+
+    @staticmethod
+    def _text(parts: list[Stretch | None]) -> tuple | None:
         if None in parts:
             return None
         groups, codes, n_a = zip(*parts)
@@ -117,15 +161,6 @@ class Aligner:
         return (n_a, len(codes) + n_groups - n_a, n_groups, len(codes), hashlib.sha256(joined).hexdigest(),
                 *np.unique(codes, return_counts=True))
 
-    def _known(self, text: str) -> tuple[bytes, bytes, int] | None:
-        if len(text) > SHORT:
-            return self.stretch(text)
-        if text not in self.memory:
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[text] = self.stretch(text)
-        return self.memory[text]
-
 
 @cache
 def aligner(ranks_path: str, model_path: str) -> Aligner:
@@ -146,11 +181,10 @@ def encode(docs: DataFrame, ranks_path: str | None = None, model_path: str | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = aligner(*paths)
-        for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                found = align(text.as_py()) if text.is_valid and text.as_py() else None
-                rows.append(found or (0, 0, 0, 0, "", nothing, nothing))
+        for batch in slices(batches, "text", SLICE):
+            texts = batch.column("text").to_pylist()
+            found = iter(align([text for text in texts if text]))
+            rows = [(next(found) if text else None) or (0, 0, 0, 0, "", nothing, nothing) for text in texts]
             n_a, n_b, n_groups, n_links, digest, codes, counts = zip(*rows) if rows else ((),) * 7
             regular = [c >= _REGULAR for c in codes]
             lists = [_lists([x[r] for x, r in zip(values, which)]) for which in (regular, [~r for r in regular])
@@ -203,13 +237,11 @@ def align(spark: SparkSession, docs: DataFrame, ranks_path: str | None = None, m
     store = Stored(spark, "alignment")
     rows = store.save(encode(docs, ranks_path, model_path))
     names = aligner(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), model_path or public_tokenizers.path("piece_bpe_32k.model"))
-    size = max(names.a_bytes) + 1
-    same = np.full(size, -1, np.int64)
-    same[list(names.same)] = list(names.same.values())
+    size = len(names.same)
     # Pairs that occur in both kinds of groups add up; there are at most as many regular ones as A has ids.
     vector = regular_counts(rows, size)
     a = np.flatnonzero(vector)
-    regular = spark.createDataFrame([(int(i), int(i) << _B_BITS | int(same[i]), int(vector[i])) for i in a], "a int, pair int, n long")
+    regular = spark.createDataFrame([(int(i), int(i) << _B_BITS | int(names.same[i]), int(vector[i])) for i in a], "a int, pair int, n long")
     both = irregular_counts(rows).unionByName(regular.select("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
     both = store.save(both)
     b = F.col("pair").bitwiseAND((1 << _B_BITS) - 1)

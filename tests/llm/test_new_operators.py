@@ -103,7 +103,7 @@ def test_alignment_equals_brute_force(spark, encoders, max_pairs):
 def test_stretches_equal_whole_texts(encoders, text):
     align = alignment.aligner(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
     if text:
-        found, whole = align(text), tokens(encoders, text)
+        found, whole = align([text])[0], tokens(encoders, text)
         assert (found is None) == (whole is None)
         if found:
             (ids_a, ends_a, _), (ids_b, ends_b, _) = whole
