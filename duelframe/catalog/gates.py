@@ -10,6 +10,8 @@ from ..plans import adapters as A
 from ..session import scratch_dir
 from ..streaming import jobs
 from ..streaming.latest import LatestTable
+from ..streaming.versions import VersionedTable
+from ..streaming.weeks import OpenWeeks
 from .registry import query
 from .scalar import text_of
 from .teams import BY, page_rated, rated
@@ -279,6 +281,21 @@ def stream_odds(spark, sf):
     return table.read(spark).select("game_id", "market", "book", text_of("fetch_ts").alias("fetch_ts"), "line_no", "part", "cents")
 
 
+@query("stream_quotes", """
+    SELECT game_id, market, book, strftime(fetch_ts, '%Y-%m-%d %H:%M:%S') AS fetch_ts, qty, price, line_no, part, supp, cents FROM (
+        SELECT *, row_number() OVER (PARTITION BY game_id, market, book ORDER BY fetch_ts DESC, line_no, part, supp, cents) AS rn FROM odds)
+    WHERE rn = 1""", ["odds"])
+def stream_quotes_compact(spark, sf):
+    """Quotes arrive in five files by their line number, the first of them twice; each run continues the one before."""
+    root, quotes_in = scratch_dir(spark, "stream_quotes"), A.odds(spark, sf)
+    table = VersionedTable(f"{root}/table", ["game_id", "market", "book"], "fetch_ts", A.QUOTE_TIES, every=3)
+    for chunk in (0, 1, 0, 2, 3, 4):
+        quotes_in.where(F.col("line_no") % 5 == chunk).write.mode("append").parquet(f"{root}/feed")
+        feed = spark.readStream.schema(quotes_in.schema).parquet(f"{root}/feed")
+        jobs.stream_quotes(feed.select("*", F.col("_metadata.file_modification_time").alias("arrived_at")), table, f"{root}/checkpoint", "arrived_at")
+    return table.read(spark).withColumn("fetch_ts", text_of("fetch_ts"))
+
+
 WEEK_COUNTS = """
     SELECT strftime(time_bucket(INTERVAL 7 DAY, fetch_ts, TIMESTAMP '2000-01-04'), '%Y-%m-%d %H:%M:%S') AS week_start, market, book, count(*) AS n
     FROM odds GROUP BY 1, 2, 3"""
@@ -334,3 +351,26 @@ def late_scores(spark, sf):
     late = spark.read.option("basePath", f"{root}/late").parquet(f"{root}/late/batch_id=*").withColumn("is_late", F.lit(True))
     cols = ["game_id", "home_score", "away_score", "is_late"]
     return on_time.select(*cols).unionByName(late.select(*cols))
+
+
+@query("late_finals", """
+    , finals AS (SELECT game_id, home_score, away_score, kickoff, kickoff + to_days(CAST(game_id % 40 AS INTEGER)) AS reported_at FROM games WHERE home_score IS NOT NULL),
+    chunks AS (SELECT year(reported_at) AS chunk, max(kickoff) AS newest FROM finals GROUP BY 1),
+    marks AS (SELECT chunk, max(newest) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 14 DAY AS mark FROM chunks)
+    SELECT game_id, home_score, away_score, coalesce(kickoff < mark, false) AS is_late,
+           NOT coalesce(kickoff < mark, false) AND coalesce(time_bucket(INTERVAL 7 DAY, kickoff, TIMESTAMP '2000-01-04') + INTERVAL 7 DAY
+               <= (SELECT max(mark) FROM marks), false) AS is_closed
+    FROM finals JOIN marks ON chunk = year(reported_at)""", ["games"])
+def late_finals(spark, sf):
+    """The finals reported in a year arrive together; each run continues the one before."""
+    root = scratch_dir(spark, "late_finals")
+    finals = A.games(spark, sf).where("home_score IS NOT NULL").select(
+        "game_id", "home_score", "away_score", "kickoff",
+        (F.col("kickoff") + F.make_dt_interval(days=(F.col("game_id") % 40).cast("int"))).alias("reported_at"))
+    weeks, year = OpenWeeks(root, ["game_id"]), F.year("reported_at")
+    for chunk in [r[0] for r in finals.select(year.alias("y")).distinct().orderBy("y").collect()]:
+        finals.where(year == chunk).write.mode("append").parquet(f"{root}/feed")
+        jobs.stream_finals(spark.readStream.schema(finals.schema).parquet(f"{root}/feed"), weeks, f"{root}/checkpoint")
+    cols = ["game_id", "home_score", "away_score", "is_late", "is_closed"]
+    late = weeks.late(spark).withColumns({"is_late": F.lit(True), "is_closed": F.lit(False)})
+    return weeks.read(spark).withColumn("is_late", F.lit(False)).select(*cols).unionByName(late.select(*cols))

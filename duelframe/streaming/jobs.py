@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.times import tuesday_start
 from ..operators.matching import pin_events
 from .latest import LatestTable, newest_version, run_available
+from .versions import VersionedTable
+from .weeks import OpenWeeks, batch_watermark
 
 
 def stream_odds(quotes: DataFrame, table: LatestTable, checkpoint: str) -> None:
@@ -14,6 +16,18 @@ def stream_odds(quotes: DataFrame, table: LatestTable, checkpoint: str) -> None:
     run_available(quotes.writeStream.foreachBatch(lambda df, n: table.write_batch(df, n)), checkpoint)
 
 
+def stream_quotes(quotes: DataFrame, table: VersionedTable, checkpoint: str, arrived: str, delay: str = "14 days") -> None:
+    """Keep the newest quote per key, with bounded state and a bounded number of folders.
+
+    Rows that were seen within ``delay`` of their first arrival, as in a file that is sent again, are dropped before they are
+    written. ``arrived`` is the time of arrival and not the quote's own time: a quote of long ago that arrives now is no
+    late row, so none is lost. A repetition after ``delay`` passes and changes nothing, since the rule is a maximum.
+    """
+    columns = [c for c in quotes.columns if c != arrived]
+    fresh = quotes.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(columns).drop(arrived)
+    run_available(fresh.writeStream.foreachBatch(table.write_batch), checkpoint)
+
+
 def week_window(ts: str):
     """Seven-day windows from Tuesday 00:00 UTC (the epoch began on a Thursday)."""
     return F.window(F.col(ts), "7 days", "7 days", "5 days")
@@ -72,3 +86,11 @@ def stream_late_scores(finals: DataFrame, path: str, checkpoint: str, keys: list
         marked.where("is_late").drop("is_late").write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
 
     run_available(finals.writeStream.foreachBatch(write), checkpoint)
+
+
+def stream_finals(finals: DataFrame, weeks: OpenWeeks, checkpoint: str, lookback: str = "14 days") -> None:
+    """Finals into their weeks behind an event-time watermark on the kickoff; late ones go to a table of their own."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        weeks.write_batch(batch, batch_id, batch_watermark(batch.sparkSession, checkpoint, batch_id))
+
+    run_available(finals.withWatermark(weeks.kickoff, lookback).writeStream.foreachBatch(write), checkpoint)
