@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import joins, ranks, teams
 from ..plans import adapters as A, game_view as G
+from ..session import written
 from .registry import query
 from .scalar import text_of
 
@@ -18,16 +19,14 @@ def team_rows(spark, sf) -> DataFrame:
 
 
 def rated(spark, sf) -> DataFrame:
-    """Ratings with ordinal ranks over all teams of a snapshot."""
-    r = ranks.ordinal_rank(A.ratings(spark, sf), ["season", "wk"], "pr", "team", "pr_rank")
-    return ranks.ordinal_rank(r, ["season", "wk"], "sos", "team", "sos_rank")
+    """Ratings with ordinal ranks over all teams of a snapshot; written, since views join it to both sides."""
+    return written(ranks.ordinal_ranks(A.ratings(spark, sf), ["season", "wk"], {"pr": True, "sos": True}, "team"), "rated")
 
 
 def page_rated(spark, sf) -> DataFrame:
     """Ratings with ordinal ranks among the teams of one rating page."""
-    by = ["league", "season", "wk"]
-    r = ranks.ordinal_rank(A.ratings(spark, sf).withColumn("league", A.league_of()), by, "pr", "team", "pr_rank")
-    return ranks.ordinal_rank(r, by, "sos", "team", "sos_rank").drop("league")
+    r = A.ratings(spark, sf).withColumn("league", A.league_of())
+    return ranks.ordinal_ranks(r, ["league", "season", "wk"], {"pr": True, "sos": True}, "team").drop("league")
 
 
 @query("team_rows", "SELECT game_id, season, wk, team, opp, site, pf, pa, margin, line, rush, opp_rush, turnovers FROM team_rows",

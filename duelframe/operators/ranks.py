@@ -4,59 +4,158 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import written
 from .prefix import _match, row_numbers
 
 
-def _pool_numbers(df: DataFrame, by: list[str], value: str, tie: list[str], name: str, descending: bool = False) -> DataFrame:
-    """Number the rows of each pool 1..N by value, then ``tie``; nulls get no number.
+#: Rows of a pool that one task may sort. Pools with more are dealt by ranges; both ways give the same numbers.
+POOL_ROWS = 100_000
+#: Rows of range starts that travel with every task; more of them are joined by a shuffle.
+STARTS = 100_000
 
-    A pool may hold a third of all rows. Its range of values is cut into about as many buckets as the square root of its
-    rows, so neither the window over buckets nor one inside a bucket holds the pool, unless its values crowd together.
+
+def _dealt(df: DataFrame, pool: list[str], order: list[Column]) -> DataFrame:
+    """Rows dealt by ranges of (pool, order), with the range's number.
+
+    Spark draws the split points from the data, so a pool with a third of all rows and one with a far outlier lie in as
+    many ranges as their rows need.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(ranges, *[F.col(c) for c in pool], *order).withColumn("_range", F.spark_partition_id())
+
+
+def _from_starts(rows: DataFrame, pool: list[str], parts: DataFrame, start: Column) -> DataFrame:
+    """``rows`` with ``_start`` of their pool's part in their range; ``parts`` has one row for each, numbered along the pool."""
+    starts = written(parts.select(*pool, "_range", start.alias("_start")), "starts")
+    if starts.count() <= STARTS:
+        starts = F.broadcast(starts)
+    return rows.alias("r").join(starts.alias("s"), _match([*pool, "_range"], "r", "s")).select("r.*", "_start")
+
+
+def _by_size(df: DataFrame, by: list[str], small, large) -> DataFrame:
+    """``small`` of the pools that one task may sort and ``large`` of the others; ``df`` is written once."""
+    df = written(df, "ranked")
+    big = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > POOL_ROWS).select(*by)
+    if big.isEmpty():
+        return small(df)
+    rows, hot = df.alias("r"), _match(by, "r", "b")
+    return small(rows.join(big.alias("b"), hot, "left_anti")).unionByName(large(rows.join(big.alias("b"), hot, "left_semi")))
+
+
+def pool_numbers(df: DataFrame, pool: list[str], order: list[Column], name: str) -> DataFrame:
+    """Number the rows of each pool 1..N in ``order``; ``df`` is read once.
+
+    The sorted ranges are written; a row's number is its place in its range plus the rows of its pool in earlier ranges,
+    which are counted range by range.
+    """
+    dealt = _dealt(df, pool, order).sortWithinPartitions(*[F.col(c) for c in pool], *order)
+    rows = written(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    parts = rows.groupBy(*pool, "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*pool).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    out = _from_starts(rows, pool, parts, start)
+    return out.select(*df.columns, (F.col("_place") + F.col("_start")).cast("int").alias(name))
+
+
+def pool_dense_numbers(df: DataFrame, pool: list[str], value: str, spread: list[str], name: str) -> DataFrame:
+    """Number the distinct values of each pool 1..N, ascending; ``df`` is read once.
+
+    Equal values may lie in several ranges, split by ``spread``: a range that begins with the value that the one before
+    ends with counts it once only.
     """
-    v = F.col(value).cast("double")
-    finite = F.when(F.abs(v) < float("inf"), v)
-    pools = df.groupBy(*by).agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    cut = df.alias("r").join(pools.alias("p"), _match(by, "r", "p")).select("r.*", "_lo", "_hi", "_n")
-    buckets = F.ceil(F.sqrt("_n"))
-    # Infinite values fall into the outer buckets.
-    share = F.coalesce(F.try_divide(v - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    at = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * buckets)
-    # Nulls come last, in any order, spread over buckets of their own.
-    bucket = F.when(v.isNull(), buckets + 1 + F.pmod(F.xxhash64(*tie) if tie else F.lit(0), buckets)).otherwise(-at if descending else at)
-    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
-    out = row_numbers(cut, by, [order, *tie], bucket, "_number")
-    return out.select(*df.columns, F.when(F.col(value).isNotNull(), F.col("_number").cast("int")).alias(name))
+    inside = Window.partitionBy(*pool, "_range").orderBy(value)
+    rows = written(_dealt(df, pool, [F.col(c) for c in [value, *spread]]).withColumn("_in", F.dense_rank().over(inside)), "ranges")
+    parts = rows.groupBy(*pool, "_range").agg(F.max("_in").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+    along = Window.partitionBy(*pool).orderBy("_range")
+    parts = parts.withColumn("_again", F.coalesce((F.lag("_high").over(along) == F.col("_low")).cast("int"), F.lit(0)))
+    start = F.coalesce(F.sum(F.col("_n") - F.col("_again")).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_again")
+    out = _from_starts(rows, pool, parts, start)
+    return out.select(*df.columns, (F.col("_in") + F.col("_start")).cast("int").alias(name))
+
+
+def _sortable(name: str, high: bool) -> tuple[Column, Column]:
+    """Class and value of a metric, so that ascending order is rank order; True: high is better.
+
+    NaN counts as the highest value. The class puts it first or last and nulls last. Adding zero turns a negative zero
+    into zero.
+    """
+    v = F.col(name).cast("double")
+    kind = F.when(v.isNull(), 2).when(F.isnan(v), 0 if high else 1).otherwise(1 if high else 0)
+    return kind, (-v if high else v) + 0.0
+
+
+def _cells(metrics: dict[str, bool]) -> Column:
+    """(metric, class, value) of every metric."""
+    return F.array(*[F.struct(F.lit(n).alias("_metric"), *[c.alias(x) for c, x in zip(_sortable(n, h), ("_class", "_v"))])
+                     for n, h in metrics.items()])
+
+
+def _wide(ranked: DataFrame, keys: list[str], metrics: dict[str, bool], carried: list[str] = ()) -> DataFrame:
+    return ranked.groupBy(*keys).agg(*[F.any_value(c, True).alias(c) for c in carried],
+                                     *[F.max(F.when(F.col("_metric") == n, F.col("_rank"))).alias(f"{n}_rank") for n in metrics])
 
 
 def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], key: tuple[str, ...] = ("team",)) -> DataFrame:
     """Dense rank per metric (True: high is better) over the whole pool of ``by``. Nulls and NaN get no rank.
 
-    ``df`` has one row per pool and ``key``. The distinct values of a pool are numbered and joined back, for all metrics
-    together; values are compared as doubles.
+    ``df`` has one row per pool and ``key``. Values are compared as doubles.
     """
-    def cell(name: str, high: bool) -> Column:
-        value = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
-        # Adding zero turns a negative zero into zero.
-        return F.struct(F.lit(name).alias("_metric"), ((-value if high else value) + 0.0).alias("_v"))
+    def small(rows: DataFrame) -> DataFrame:
+        out = []
+        for name, high in metrics.items():
+            value = F.nanvl(_sortable(name, high)[1], F.lit(None).cast("double"))
+            order = Window.partitionBy(*by).orderBy(F.asc_nulls_last(value))
+            out.append(F.when(value.isNotNull(), F.dense_rank().over(order)).alias(f"{name}_rank"))
+        return rows.select("*", *out)
+
+    def large(rows: DataFrame) -> DataFrame:
+        cells = rows.select(*by, *key, F.explode(_cells(metrics)).alias("_c")).select(*by, *key, "_c._metric", "_c._v").where(
+            "_v IS NOT NULL AND NOT isnan(_v)")
+        wide = _wide(pool_dense_numbers(cells, ["_metric", *by], "_v", list(key), "_rank"), [*by, *key], metrics)
+        joined = rows.alias("d").join(wide.alias("w"), _match([*by, *key], "d", "w"), "left")
+        return joined.select("d.*", *[f"{n}_rank" for n in metrics])
+
+    return _by_size(df, by, small, large)
 
-    cells = df.select(*by, *key, F.explode(F.array(*[cell(n, h) for n, h in metrics.items()])).alias("_c")).select(
-        *by, *key, "_c.*").where("_v IS NOT NULL")
-    pool = [*by, "_metric"]
-    numbers = _pool_numbers(cells.select(*pool, "_v").distinct(), pool, "_v", [], "_rank")
-    found = cells.alias("c").join(numbers.alias("n"), _match([*pool, "_v"], "c", "n")).select("c.*", "_rank")
-    wide = found.groupBy(*by, *key).agg(*[F.max(F.when(F.col("_metric") == n, F.col("_rank"))).alias(f"{n}_rank") for n in metrics])
-    joined = df.alias("d").join(wide.alias("w"), _match([*by, *key], "d", "w"), "left")
-    return joined.select("d.*", *[f"{n}_rank" for n in metrics])
+
+def ordinal_ranks(df: DataFrame, by: list[str], metrics: dict[str, bool], tie: str) -> DataFrame:
+    """``<metric>_rank`` by value (True: high is better) over the whole pool of ``by``, ties broken by ``tie``; nulls get none.
+
+    ``df`` has one row per pool and ``tie``. Values are compared as doubles.
+    """
+    def small(rows: DataFrame) -> DataFrame:
+        out = []
+        for name, high in metrics.items():
+            order = Window.partitionBy(*by).orderBy(*_sortable(name, high), tie)
+            out.append(F.when(F.col(name).isNotNull(), F.row_number().over(order)).alias(f"{name}_rank"))
+        return rows.select("*", *out)
+
+    def large(rows: DataFrame) -> DataFrame:
+        # All metrics are ranked together; a row's other columns travel with the first.
+        first, rest = next(iter(metrics)), [c for c in df.columns if c not in (*by, tie)]
+        cells = rows.select("*", F.explode(_cells(metrics)).alias("_c")).select(
+            *by, tie, "_c.*", *[F.when(F.col("_c._metric") == first, F.col(c)).alias(c) for c in rest])
+        numbered = pool_numbers(cells, ["_metric", *by], [F.col("_class"), F.col("_v"), F.col(tie)], "_rank")
+        ranked = numbered.withColumn("_rank", F.when(F.col("_v").isNotNull(), F.col("_rank")))
+        return _wide(ranked, [*by, tie], metrics, rest).select(*df.columns, *[f"{n}_rank" for n in metrics])
+
+    return _by_size(df, by, small, large)
 
 
 def ordinal_rank(df: DataFrame, by: list[str], value: str, tie: str, name: str, descending: bool = True) -> DataFrame:
     """Rank by value over the whole pool of ``by``, ties broken by ``tie``; nulls get no rank."""
-    return _pool_numbers(df, by, value, [tie], name, descending)
+    order = [F.desc_nulls_last(value) if descending else F.asc_nulls_last(value), F.col(tie)]
+
+    def kept(rows: DataFrame, number: Column) -> DataFrame:
+        return rows.select(*df.columns, F.when(F.col(value).isNotNull(), number).alias(name))
+
+    return _by_size(df, by, lambda rows: kept(rows, F.row_number().over(Window.partitionBy(*by).orderBy(*order))),
+                    lambda rows: kept(pool_numbers(rows, by, order, "_number"), F.col("_number")))
 
 
 def contiguous_rank(df: DataFrame, by: list[str], keep: Column, rank: str, tie: str, name: str) -> DataFrame:
     """Keep one class of ranked rows and number it 1..N by (rank, tie)."""
-    return _pool_numbers(df.where(keep), by, rank, [tie], name)
+    return ordinal_rank(df.where(keep), by, rank, tie, name, descending=False)
 
 
 def best_per_key(df: DataFrame, keys: list[str], *order) -> DataFrame:

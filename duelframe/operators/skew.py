@@ -2,56 +2,23 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, functions as F
 
 
-# Longest array that is exploded on the way to a joined table: the weeks of a season.
-MAX_EXPLODED = 64
-BROADCAST_LIMIT = 10 << 20
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Upper bound of a plan's size from Catalyst's estimate, None if unknown.
-
-    The analysed plan costs no optimizer run, and its estimate is not lowered by filters or
-    pruned columns; joins count as the product of their sides. Only explode() can make a
-    table larger than estimated, so each one multiplies the bound.
-    """
-    try:
-        plan = df._jdf.logicalPlan()
-        size = int(str(plan.stats().sizeInBytes()))
-        explodes = len(re.findall(r"\bGenerate\b", plan.toString()))
-    except Exception:
-        return None
-    return size * MAX_EXPLODED ** explodes
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= BROADCAST_LIMIT
-
-
 def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-              spread_by: list[str] | None = None, salts: int = 16) -> DataFrame:
+              spread_by: list[str] | None = None, salts: int = 1) -> DataFrame:
     """Equi-join that keeps a hot key of ``big`` off a single task.
 
-    * A small side whose size bound is below the limit is broadcast: no shuffle, so no skew.
-    * A small side whose ``salts`` copies together stay below the big side is repeated, and
-      rows of one key are spread over as many sub-keys by a hash of ``spread_by``.
-    * Otherwise both sides shuffle once. Adaptive execution then broadcasts the small side if
-      its measured size allows, or splits a skewed partition (``session.tune`` switches that
-      on, also where the split costs another shuffle).
+    Adaptive execution looks at the finished shuffle files: it broadcasts the small side if its measured size allows and
+    splits a skewed partition of the big one otherwise (``session.tune`` switches that on, also where the split costs
+    another shuffle). With ``salts``, the small side is repeated that often and rows of one key are spread over as many
+    sub-keys by a hash of ``spread_by``: for a session without adaptive execution.
 
     ``how``: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"only the big side may be kept whole, not a {how} join")
-    if fits_broadcast(small):
-        return big.join(F.broadcast(small), on, how)
-    small_size, big_size = plan_bytes(small), plan_bytes(big)
-    if small_size is None or big_size is None or small_size * salts > big_size:
+    if salts == 1:
         return big.join(small, on, how)
     spread_by = spread_by or [c for c in big.columns if c not in on]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
