@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import lines
-from ..operators import joins, merge, nested, quality, quotes, ranks
-from ..plans import adapters as A
-from ..session import scratch_dir
+from ..operators import deltas, joins, merge, nested, quality, quotes, ranks, teams
+from ..plans import adapters as A, timelines
+from ..session import scratch_dir, written
 from ..streaming import jobs
 from ..streaming.latest import LatestTable
 from ..streaming.versions import VersionedTable
@@ -164,6 +164,38 @@ def backfill_scores(spark, sf):
     return out.select("game_id", "home_score", "score_status")
 
 
+def _summed(flag: str) -> str:
+    return ", ".join(f"CAST(coalesce(sum(CASE WHEN {flag} THEN {f} ELSE 0 END) OVER p, 0) AS BIGINT) AS {f}_before" for f in FLAGS)
+
+
+FLAGS = ["w", "l", "t", "ats_w", "ats_l", "ats_p"]
+
+
+@query("backfill_records", f"""
+    , cur AS (SELECT season, max(wk) AS wk FROM games GROUP BY season),
+    f AS (SELECT x.*, game_id % 7 <> 0 AS stored, game_id % 7 <> 0 OR (x.wk < c.wk AND x.wk >= c.wk - 2) AS known FROM flags x JOIN cur c USING (season)),
+    old AS (SELECT game_id, team, {_summed("stored")} FROM f
+            WINDOW p AS (PARTITION BY season, team ORDER BY epoch_us(kickoff) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    new AS (SELECT game_id, season, team, {_summed("known")} FROM f
+            WINDOW p AS (PARTITION BY season, team ORDER BY epoch_us(kickoff) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT n.*, {" OR ".join(f"n.{f}_before <> o.{f}_before" for f in FLAGS)} AS changed FROM new n JOIN old o USING (game_id, team)""", ["flags"])
+def backfill_records(spark, sf):
+    """Scores of every seventh game are missing; those of the two weeks before a season's last one come in late."""
+    g = A.games(spark, sf)
+    late = F.col("game_id") % 7 == 0
+    stored = g.withColumns({c: F.when(~late, F.col(c)) for c in ("home_score", "away_score")})
+    root = scratch_dir(spark, "records")
+    rows = teams.to_team_rows(stored, ["game_id", "season", "kickoff"])
+    teams.record_before(rows, BY).select("game_id", "season", "team", "kickoff", *[f"{f}_before" for f in FLAGS]).write.partitionBy(
+        "season").parquet(root)
+    records = spark.read.parquet(root)
+    current = g.groupBy("season").agg(F.max("wk").alias("wk"))
+    filled = merge.backfill_scores(stored, g, current, BY, ["game_id"], weeks_back=2).where("score_status = 'updated'").drop("score_status")
+    changes = deltas.record_changes(stored.join(filled.select("game_id"), "game_id", "left_semi"), filled, BY)
+    updates = deltas.updated_records(records, changes, BY)
+    return deltas.patched(records, updates, ["game_id", "team"]).drop("kickoff")
+
+
 @query("backfill_ats", """
     , closing AS (SELECT * FROM (SELECT game_id, book, spread_home_relative AS line, row_number() OVER (PARTITION BY game_id ORDER BY fetch_ts DESC, book, line_no, part, supp, cents) AS rn
                   FROM per_book WHERE early AND market = 'spreads') WHERE rn = 1)
@@ -182,6 +214,34 @@ def backfill_ats(spark, sf):
     return out.select("game_id", "team", "book", "filled", "ats", "first_record")
 
 
+@query("backfill_timeline", """
+    , closing AS (SELECT * FROM (SELECT game_id, spread_home_relative AS line, row_number() OVER (PARTITION BY game_id ORDER BY fetch_ts DESC, book, line_no, part, supp, cents) AS rn
+                  FROM per_book WHERE early AND market = 'spreads') WHERE rn = 1),
+    f AS (SELECT t.season, t.team, CASE WHEN t.game_id % 3 = 0 THEN 'W' END AS stored, t.margin + CASE WHEN t.site = 'H' THEN c.line ELSE -c.line END AS cover
+          FROM team_rows t LEFT JOIN closing c USING (game_id)),
+    e AS (SELECT season, team, coalesce(stored, CASE WHEN cover > 0 THEN 'W' WHEN cover < 0 THEN 'L' WHEN cover = 0 THEN 'P' END) AS ats,
+                 CASE WHEN stored IS NOT NULL THEN 1.5 ELSE cover END AS m, stored IS NULL AND cover IS NOT NULL AS filled FROM f),
+    r AS (SELECT season, team, count(*) FILTER (WHERE ats = 'W') AS w, count(*) FILTER (WHERE ats = 'L') AS l, count(*) FILTER (WHERE ats = 'P') AS p, count(*) AS games,
+                 CAST(coalesce(sum(m), 0) AS DOUBLE) AS margin_sum, count(m) AS margin_n, count(*) FILTER (WHERE filled) AS filled FROM e GROUP BY season, team)
+    SELECT season, team, w, l, p, games, margin_sum, margin_n, w || '-' || l || '-' || p AS record, filled FROM r""", ["per_book", "team_rows"])
+def backfill_timeline(spark, sf):
+    """Outcome of the closing line, entry of the timeline, record of the team: stored entries of every third game are not blank."""
+    from ..plans.backfill import backfill_ats as run
+
+    g = A.games(spark, sf)
+    stored = F.when(F.col("game_id") % 3 == 0, "W")
+    rows = teams.to_team_rows(g, ["game_id", "season", "wk", "kickoff"]).withColumns(
+        {"ats": stored, "to_margin": F.when(F.col("game_id") % 3 == 0, 1.5)})
+    chunks = written(timelines.timeline_chunks(rows, BY, ["opp", "pf", "pa", "ats", "to_margin"]), "chunks")
+    index = written(timelines.chunk_index(chunks, BY), "chunk-index")
+    closing = quotes.closing_line(g, [("pinned", A.lines(spark, sf).where("market = 'spreads'"))], ties=A.QUOTE_TIES)
+    outcomes = run(g.withColumns({"home_ats": stored, "away_ats": stored}), closing).where("filled")
+    patched = timelines.patch_chunks(chunks, index, outcomes, BY)
+    filled = F.size(F.filter("entries", lambda e: e["ats"].isNotNull() & (e["tie"] % 3 != 0)))
+    counts = patched.groupBy("season", "team").agg(F.sum(filled).alias("filled"))
+    return timelines.chunk_records(patched, BY).join(counts, ["season", "team"])
+
+
 @query("key_setops", """
     SELECT coalesce(a.game_id, b.game_id) AS game_id, CASE WHEN b.game_id IS NULL THEN 'left_only' WHEN a.game_id IS NULL THEN 'right_only' ELSE 'both' END AS found
     FROM (SELECT DISTINCT game_id FROM games WHERE spread IS NOT NULL) a FULL JOIN (SELECT DISTINCT game_id FROM odds) b ON a.game_id = b.game_id""", ["games", "odds"])

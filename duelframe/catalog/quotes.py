@@ -176,8 +176,16 @@ TIERED = """
         FROM near_feed f JOIN games g ON (f.home = g.home_id AND f.away = g.away_id) OR (f.home = g.away_id AND f.away = g.home_id)
         WHERE abs(epoch(g.kickoff) - epoch(f.event_ts)) <= 300
            OR (abs(epoch(g.kickoff) - epoch(f.event_ts)) <= 7200 AND CAST(g.kickoff AS DATE) = CAST(f.event_ts AS DATE))),
-    tbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY tier, delta, game_id) AS rn FROM tcand) WHERE rn = 1),
-    twin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY tier, delta, event_id) AS gn FROM tbest) WHERE gn = 1)"""
+    open0 AS (SELECT * FROM tcand)"""
+# Each round settles a game of every losing event, so as many rounds as an event has games in reach are enough; with a pair's
+# games on at most three slots a day they are few.
+ROUNDS = 6
+for _n in range(1, ROUNDS + 1):
+    TIERED += f""",
+    best{_n} AS (SELECT * FROM open{_n - 1} QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY tier, delta, game_id) = 1),
+    won{_n} AS (SELECT * FROM best{_n} QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY tier, delta, event_id) = 1),
+    open{_n} AS (SELECT * FROM open{_n - 1} WHERE event_id NOT IN (SELECT event_id FROM won{_n}) AND game_id NOT IN (SELECT game_id FROM won{_n}))"""
+TIERED += ",\n    twin AS (" + " UNION ALL ".join(f"SELECT * FROM won{_n}" for _n in range(1, ROUNDS + 1)) + ")"
 
 
 def near_feed(spark, sf) -> DataFrame:

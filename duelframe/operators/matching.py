@@ -150,7 +150,9 @@ def tiered_match(events: DataFrame, games: DataFrame, event_id: str = "event_id"
 
     In rounds: each event takes its best game by (tier, time difference, key); each game then keeps its best event by
     (tier, time difference, event). Events that lose their game go on with the games still free, until no unmatched
-    event has a free game in reach. Unmatched events carry ``why``.
+    event has a free game in reach. In each round every losing event sees one of its games go for good, so there are at most
+    as many rounds as one event has games of its sides within ``near_minutes``, whatever the size of the tables. Unmatched
+    events carry ``why``.
     """
     exact = exact_minutes * 60
 

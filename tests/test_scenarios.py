@@ -1,11 +1,12 @@
 """Situations the operators must decide: ties, swaps, late and future quotes, byes, blanks."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from duelframe.operators import joins, matching, merge, nested, quality, quotes, ranks, ratings, skew, teams
+from duelframe.operators import deltas, joins, matching, merge, nested, quality, quotes, ranks, ratings, skew, teams
 from duelframe.sources import files
 
 
@@ -452,3 +453,61 @@ def test_an_outlier_does_not_fill_one_range(spark):
     # The same with one value for all: the tie splits it.
     same = ranks._dealt(df.withColumn("v", F.lit(1.0)), ["s"], [F.col("v"), F.col("team")]).groupBy("_range").count().collect()
     assert max(r["count"] for r in same) <= 2 * 200_000 / len(same)
+
+
+GAMES = "game_id long, season int, kickoff timestamp, home_id int, away_id int, home_score int, away_score int, spread double"
+
+
+def test_late_scores_move_only_later_records(spark, tmp_path):
+    """Random seasons; a third of all games are one team's. Scores come late, change and go: equal to a new calculation."""
+    import random
+
+    rng = random.Random(5)
+    base = dt.datetime(2024, 9, 1)
+    games = [(i, 2020 + i % 3, base + dt.timedelta(hours=6 * rng.randrange(0, 200)), 1 if i % 3 == 0 else rng.randrange(2, 9), rng.randrange(10, 19),
+              None if i % 4 == 0 else rng.randrange(0, 5), rng.randrange(0, 5), rng.choice([None, -1.0, 0.0, 2.5])) for i in range(300)]
+    # Season 2022 stays as it is.
+    after = [(*g[:5], rng.randrange(0, 5) if g[5] is None else None if g[0] % 25 == 1 else g[5], *g[6:]) if g[1] != 2022 and g[0] % 5 < 3 else g for g in games]
+    old, new = (spark.createDataFrame(x, GAMES) for x in (games, after))
+    keep = ["game_id", "season", "kickoff"]
+
+    def records(df):
+        flags = [f"{f}_before" for f in teams.outcome_flags()]
+        return teams.record_before(teams.to_team_rows(df, keep), ["season"]).select("game_id", "season", "team", "kickoff", *flags)
+
+    records(old).write.partitionBy("season").parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    moved = new.join(old.select("game_id", F.col("home_score").alias("h")), "game_id").where("NOT home_score <=> h").drop("h")
+    changes = deltas.record_changes(old.join(moved.select("game_id"), "game_id", "left_semi"), moved, ["season"])
+    updates = deltas.updated_records(stored, changes, ["season"])
+    got = deltas.patched(stored, updates, ["game_id", "team"])
+    want = sorted(map(tuple, records(new).select(*stored.columns).collect()))
+    assert sorted(tuple(r)[:-1] for r in got.collect()) == want
+    before = {tuple(r) for r in stored.collect()}
+    assert {tuple(r) for r in updates.collect()} == set(want) - before
+    # Only the files of the changed seasons are read.
+    text = updates._sc._jvm.PythonSQLUtils.explainString(updates._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[[^\]]*season#\d+ IN \(2020,2021\)", text)
+
+
+def test_patches_reach_single_entries(spark):
+    """Chunks of two entries; blanks are filled, other entries and chunks stay."""
+    from duelframe.plans import timelines
+
+    base = dt.datetime(2024, 9, 1)
+    rows = [(i, 2024, 1 + i // 2, base + dt.timedelta(days=i), "a" if i % 3 else "b", None if i % 2 else "L", float("nan") if i % 4 == 1 else None if i % 2 else 1.0)
+            for i in range(12)]
+    df = spark.createDataFrame(rows, "game_id long, season int, wk int, kickoff timestamp, team string, ats string, to_margin double")
+    chunks = timelines.timeline_chunks(df, ["season"], ["ats", "to_margin"], chunk=2)
+    index = timelines.chunk_index(chunks, ["season"])
+    assert {(r.team, r.game_id) for r in index.collect()} == {(x[4], x[0]) for x in rows}
+    outcomes = spark.createDataFrame([("a", 1, "W", 2.004), ("a", 2, "W", 9.0), ("b", 3, "P", 0.0), ("a", 99, "W", 1.0), ("b", 3, "P", 0.0)],
+                                     "team string, game_id long, ats string, to_margin double")
+    out = timelines.patch_chunks(chunks, index, outcomes, ["season"])
+    got = {(r.team, e.tie): (e.ats, e.to_margin) for r in out.collect() for e in r.entries}
+    want = {(x[4], x[0]): (x[5], x[6]) for x in rows} | {("a", 1): ("W", 2.0), ("b", 3): ("P", 0.0)}
+    assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in want.items()}
+    assert sum(r.is_patched for r in out.collect()) == 2
+    record = {r.team: (r.w, r.l, r.p, r.games, r.record) for r in timelines.chunk_records(out, ["season"]).collect()}
+    assert record == {"a": (1, 4, 0, 8, "1-4-0"), "b": (0, 2, 1, 4, "0-2-1")}
+    assert timelines.patch_chunks(chunks, index, outcomes.where("false"), ["season"]).where("is_patched").count() == 0
