@@ -209,7 +209,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
             spans = np.bincount(words.doc[change], minlength=n)
             names, scores = [], []
             for i, text in enumerate(part.column("text").to_pylist()):
-                if not model.langs or text is None or (total[i] == 0 and not any(map(str.isalpha, text))):
+                if not model.langs or text is None or not any(map(str.isalpha, text)):
                     names.append("und")
                     scores.append(0.0)
                 else:

@@ -8,11 +8,12 @@ with a large part of all rows is never gathered in one task. Status of a call, t
 * ``duplicate_id``: an earlier call (by turn) of the conversation has the id; it links to nothing;
 * ``bad_parent``: the parent does not exist;
 * ``cycle``: the parents lead back to the call, or to a cycle;
-* ``invalid_arguments``: not JSON, or against the schema of the tool, or the tool is unknown;
+* ``invalid_arguments``: not JSON, or against the schema of the tool, or the tool is unknown. NaN, infinities and numbers
+  beyond a double's range, lone surrogates, and nesting beyond what Python's parser takes are not JSON here;
 * ``missing_result``: no result has its id;
 * ``ok``.
 
-Null ids never match: such a call has status missing_result at best, and results without a call are left out of the
+Null ids never match: such a call, with a parent or without, has status missing_result at best, and results without a call are left out of the
 result (``orphan_results`` lists them). If several results have an id, the first by turn counts, then the smallest
 text. Ties in turn go by the arguments' text. Empty tables give empty results. Other columns are ignored.
 """
@@ -20,6 +21,7 @@ text. Ties in turn go by the arguments' text. Empty tables give empty results. O
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -42,7 +44,7 @@ def valid(value: Any, schema: dict) -> bool:
             return False
     elif kind and not isinstance(value, _KINDS[kind]):
         return False
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(same(value, x) for x in schema["enum"]):
         return False
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -64,6 +66,37 @@ def valid(value: Any, schema: dict) -> bool:
     return True
 
 
+def same(a: Any, b: Any) -> bool:
+    """Equal as JSON: true is no number."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
+    return a == b
+
+
+def _no_number(text: str) -> float:
+    raise ValueError(f"{text} is no JSON number")
+
+
+def _real(text: str) -> float:
+    value = float(text)
+    return value if math.isfinite(value) else _no_number(text)
+
+
+def parsed(raw: str) -> tuple[Any, str]:
+    """The JSON value and its canonical text; ValueError if it is not JSON."""
+    try:
+        value = json.loads(raw, parse_constant=_no_number, parse_float=_real)
+        text = canonical(value)
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    text.encode()  # a lone surrogate is a UnicodeEncodeError, which is a ValueError
+    return value, text
+
+
 def canonical(value: Any) -> str:
     """Keys sorted, no blanks, characters as they are."""
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
@@ -75,9 +108,9 @@ def _check(schemas: dict[str, dict]):
             good, text = [], []
             for name, raw in zip(batch.column("name").to_pylist(), batch.column("arguments").to_pylist()):
                 try:
-                    value = json.loads(raw) if raw is not None else None
+                    value, form = parsed("null" if raw is None else raw)
                     good.append(name in schemas and raw is not None and valid(value, schemas[name]))
-                    text.append(canonical(value))
+                    text.append(form)
                 except ValueError:
                     good.append(False)
                     text.append(canonical(raw))
@@ -107,8 +140,13 @@ def link_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, schema
     answer = results.where("call_id is not null").groupBy(F.col("conv_id").cast("long"), "call_id").agg(
         F.min(F.struct("turn", F.col("content"))).alias("result"))
     lone = (F.col("call_id").isNull() | F.col("conv_id").isNull()) & F.col("parent_id").isNull()
-    joined = (rows.join(depths, ["conv_id", "call_id"], "left").join(answer, ["conv_id", "call_id"], "left")
-              .withColumn("depth", F.when(F.col("nth") > 1, None).when(lone, 0).otherwise(F.col("depth"))))
+    # A call without id is one step below its parent.
+    above = depths.select(F.col("conv_id").alias("up_conv"), F.col("call_id").alias("up_id"), (F.col("depth") + 1).alias("up_depth"),
+                          F.col("looped").alias("up_looped"))
+    below = F.col("call_id").isNull() & (F.col("conv_id") == F.col("up_conv")) & (F.col("parent_id") == F.col("up_id"))
+    joined = (rows.join(depths, ["conv_id", "call_id"], "left").join(answer, ["conv_id", "call_id"], "left").join(above, below, "left")
+              .withColumns({"depth": F.when(F.col("nth") > 1, None).when(lone, 0).otherwise(F.coalesce("depth", "up_depth")),
+                            "looped": F.coalesce("looped", "up_looped")}).drop("up_conv", "up_id", "up_depth", "up_looped"))
     status = (F.when(F.col("nth") > 1, "duplicate_id")
               .when(F.col("depth").isNull() & ~F.coalesce("looped", F.lit(False)), "bad_parent")
               .when(F.col("depth").isNull(), "cycle").when(~F.col("good"), "invalid_arguments")
@@ -150,8 +188,9 @@ def _positions(rows: DataFrame) -> DataFrame:
     sums = counts.groupBy("conv_id", "block_").agg(F.sum("n").alias("n"))
     ahead = Window.partitionBy("conv_id").orderBy("block_").rowsBetween(Window.unboundedPreceding, -1)
     inner = Window.partitionBy("conv_id", "block_").orderBy("order_", "slot_").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(F.col("conv_id").alias("conv_"), F.col("block_").alias("before_"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start_"))
     starts = counts.withColumn("inner_", F.coalesce(F.sum("n").over(inner), F.lit(0))).drop("n").join(
-        sums.select("conv_id", "block_", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start_")), ["conv_id", "block_"])
+        before, F.col("conv_id").eqNullSafe(F.col("conv_")) & (F.col("block_") == F.col("before_"))).drop("conv_", "before_")
     ranked = keyed.withColumn("nth_", F.row_number().over(within))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("conv_id", "block_", "order_", "slot_")]
     return (ranked.alias("r").join(starts.alias("s"), same)
@@ -166,12 +205,13 @@ def _messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for call, parent, name, arguments, content, status in zip(*(batch.column(c).to_pylist() for c in (
                 "call_id", "parent_id", "name", "arguments", "content", "status"))):
-            message: dict[str, Any] = {"arguments": json.loads(arguments), "id": call, "name": name}
+            message: dict[str, Any] = {"id": call, "name": name}
             if parent is not None:
                 message["parent"] = parent
             if status == "ok":
                 message["result"] = content
-            out.append(canonical(message))
+            # The arguments are canonical already, and their key comes first.
+            out.append(f'{{"arguments":{arguments},{canonical(message)[1:]}')
         keep = ["conv_id", "call_id", "turn", "depth", "position", "status"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "message"])
 

@@ -6,7 +6,7 @@ than others; a word counts once, with its heaviest entry. Exception phrases (two
 texts) void the hits inside them. The weights of a text are normalised by its length and turned into a probability.
 
 Null and empty texts have no hits and get the score of a text without hits. Without both labels among the training rows
-all scores are 0. Repeated training rows count once per text. Columns other than those named are ignored.
+all scores are 0. Labels other than 0 and 1 count as null. Repeated training rows count once per text. Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows used for the fit, drawn by hash (about that many).
 TRAIN_ROWS = 20_000
-#: Entries of the lexicon at most, heaviest evidence first; the same bound holds for exception phrases.
-LEXICON = 5_000
-#: Toxic training texts that an entry needs: this many, and this share of them.
+#: Toxic training texts that an entry needs: this many, and this share of them. A text of n different words and beginnings
+#: supports n entries, so there are at most n / SUPPORT_SHARE entries, n averaged over the drawn toxic texts.
 SUPPORT, SUPPORT_SHARE = 4, 0.004
 #: Least weight of an entry, in nats of odds.
 LEAST_WEIGHT = 2.0
@@ -105,12 +104,13 @@ def _features(total: float, n_words: int) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on docs(doc_id, text) and labelled(doc_id, toxic); null labels are left out.
+    """Fit on docs(doc_id, text) and labelled(doc_id, toxic); labels other than 0 and 1 are left out.
 
-    Three of four drawn texts give the lexicon and exceptions, the rest the probability. The driver gets at most
-    2 * LEXICON entries and one pair of numbers for each row of the last part.
+    Three of four drawn texts give the lexicon and exceptions, the rest the probability. The driver gets the
+    entries and phrases with enough support among the drawn rows and one pair of numbers for each row of the last part.
     """
-    known = labelled.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = labelled.where("toxic in (0, 1) and doc_id is not null").withColumn("toxic", F.col("toxic").cast("int"))
+    known = labelled.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = known.count()
     if total > rows:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < int((1 << 20) * rows / total))
@@ -141,7 +141,7 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model
     odds = F.log((F.col("toxic") + 0.5) / (base.toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (base.clean + 1.0))
     weight = odds * F.col("toxic") / (F.col("toxic") + 3.0)
     best = (counted.where("entry <> ''").select("entry", weight.alias("weight"), (weight * F.col("toxic")).alias("evidence"))
-            .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= SUPPORT_SHARE * base.toxic)).orderBy(F.desc("evidence"), "entry").limit(LEXICON).collect())
+            .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= SUPPORT_SHARE * base.toxic)).orderBy(F.desc("evidence"), "entry").collect())
     counted.unpersist()
     model = Model({r.entry: float(r.weight) for r in best}, [], (0.0, 0.0, 0.0))
 
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model
 
     if model.entries:
         rare = (first.mapInArrow(phrases, schema).groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-                .where("clean >= 3 and clean >= 20 * toxic").orderBy(F.desc("clean"), "entry").limit(LEXICON).collect())
+                .where("clean >= 3 and clean >= 20 * toxic").orderBy(F.desc("clean"), "entry").collect())
         model.exceptions = [r.entry for r in rare]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -350,3 +350,51 @@ def test_pipeline(spark):
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0
     pieces = corpus_pipeline.packing_stage(spark, docs, sf)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+# Inputs that once ended a job or gave a wrong answer.
+def test_odd_arguments_are_invalid(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    bad = ['{"a": 1e400}', '{"a": Infinity}', '{"a": -Infinity}', '{"a": NaN}', '{"a": "\\ud800"}', f'{{"a": {deep}}}', '{"a": true}', '{"a": 1.5}', "[]", "", None]
+    good = ['{"a": 1}', '{"a": 1.0}', '{"a": 3}']
+    rows = [(1, f"c{i:02d}", None, "f", x, i) for i, x in enumerate(bad + good)]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, parent_id string, name string, arguments string, turn long")
+    results = spark.createDataFrame([(1, r[1], "r", 99) for r in rows], "conv_id long, call_id string, content string, turn long")
+    schema = {"f": {"type": "object", "properties": {"a": {"type": "integer", "enum": [1, 3, [True, {"x": 1}]]}}}}
+    got = {r.call_id: r for r in tool_calls.link_calls(spark, calls, results, schema).collect()}
+    assert [got[r[1]].status for r in rows] == ["invalid_arguments"] * len(bad) + ["ok"] * len(good)
+
+    def strict(x):
+        raise AssertionError(x)
+
+    for r in got.values():
+        message = json.loads(r.message, parse_constant=strict)
+        assert list(message) == sorted(message) and message["id"] == r.call_id
+    assert tool_calls.same([1, {"a": 2.0}], [1.0, {"a": 2}]) and not tool_calls.same([1], [True]) and not tool_calls.same(0, False)
+
+
+def test_calls_without_id_follow_their_parent(spark):
+    schema = "conv_id long, call_id string, parent_id string, name string, arguments string, turn long"
+    calls = spark.createDataFrame([(1, "a", None, "f", "{}", 0), (1, "b", "a", "f", "{}", 1), (1, None, "b", "f", "{}", 2), (1, None, "nobody", "f", "{}", 3),
+                                   (1, None, None, "f", "{}", 4), (1, "x", "y", "f", "{}", 5), (1, "y", "x", "f", "{}", 6), (1, None, "x", "f", "{}", 7),
+                                   (None, None, "a", "f", "{}", 8)], schema)
+    results = spark.createDataFrame([], "conv_id long, call_id string, content string, turn long")
+    got = {r.turn: (r.status, r.depth) for r in tool_calls.link_calls(spark, calls, results, {"f": {}}).collect()}
+    assert got == {0: ("missing_result", 0), 1: ("missing_result", 1), 2: ("missing_result", 2), 3: ("bad_parent", None), 4: ("missing_result", 0),
+                   5: ("cycle", None), 6: ("cycle", None), 7: ("cycle", None), 8: ("bad_parent", None)}
+
+
+def test_texts_without_letters_have_no_language(spark):
+    texts = ["×", "÷ ÷", "。。。", "٣٤٥", "12 + 3", "", None, "é", "漢", "le chat"]
+    model = language.train(spark.createDataFrame([("the cat is here", "en"), ("le chat est là", "fr")], "text string, lang string"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs_of(spark, texts), model).collect()}
+    assert [got[i][0] == "und" for i in range(len(texts))] == [True] * 7 + [False] * 3
+    assert all(got[i][1] == 0.0 for i in range(7))
+
+
+def test_other_label_values_are_left_out(spark):
+    docs = docs_of(spark, [f"clean words number {i} here" for i in range(60)] + [f"vile filth number {i} here" for i in range(60)] + ["more"] * 3)
+    labels = [(i, int(i >= 60)) for i in range(120)]
+    odd = [(120, 2), (121, -1), (122, None), (None, 1)]
+    models = [toxicity.train(docs, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, labels + odd)]
+    assert models[0] == models[1] and " viie " in models[0].entries  # l and i fold alike
