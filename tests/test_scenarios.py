@@ -455,7 +455,7 @@ def test_an_outlier_does_not_fill_one_range(spark):
     assert max(r["count"] for r in same) <= 2 * 200_000 / len(same)
 
 
-GAMES = "game_id long, season int, kickoff timestamp, home_id int, away_id int, home_score int, away_score int, spread double"
+LATE_GAMES = "game_id long, season int, kickoff timestamp, home_id int, away_id int, home_score int, away_score int, spread double"
 
 
 def test_late_scores_move_only_later_records(spark, tmp_path):
@@ -468,7 +468,7 @@ def test_late_scores_move_only_later_records(spark, tmp_path):
               None if i % 4 == 0 else rng.randrange(0, 5), rng.randrange(0, 5), rng.choice([None, -1.0, 0.0, 2.5])) for i in range(300)]
     # Season 2022 stays as it is.
     after = [(*g[:5], rng.randrange(0, 5) if g[5] is None else None if g[0] % 25 == 1 else g[5], *g[6:]) if g[1] != 2022 and g[0] % 5 < 3 else g for g in games]
-    old, new = (spark.createDataFrame(x, GAMES) for x in (games, after))
+    old, new = (spark.createDataFrame(x, LATE_GAMES) for x in (games, after))
     keep = ["game_id", "season", "kickoff"]
 
     def records(df):
