@@ -109,6 +109,21 @@ def diff_samples(spark, sf):
             .orderBy("game_id").limit(10))
 
 
+@query("bag_difference", """
+    , a AS (SELECT game_id, market, book, CASE WHEN part % 7 <> 0 THEN qty END AS qty FROM odds),
+    b AS (SELECT game_id, market, book, CASE WHEN part % 7 <> 0 THEN qty END AS qty FROM odds WHERE line_no <> 3
+          UNION ALL SELECT game_id, market, book, CASE WHEN part % 7 <> 0 THEN qty END FROM odds WHERE line_no = 2)
+    SELECT game_id, market, book, qty, CAST(sum(l) AS BIGINT) AS only_left, CAST(sum(r) AS BIGINT) AS only_right FROM (
+        SELECT *, 1 AS l, 0 AS r FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+        UNION ALL SELECT *, 0, 1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) GROUP BY ALL""", ["odds"])
+def bag_difference(spark, sf):
+    """All quotes against those without third lines and with second lines twice."""
+    qty = F.when(F.col("part") % 7 != 0, F.col("qty")).alias("qty")
+    q, columns = A.odds(spark, sf), ["game_id", "market", "book", "qty"]
+    rows = lambda df: df.select("game_id", "market", "book", qty)
+    return merge.bag_difference(rows(q), rows(q.where("line_no <> 3")).unionAll(rows(q.where("line_no = 2"))), columns)
+
+
 @query("upsert_keep_best", """
     , m AS (SELECT game_id, season, wk, CASE WHEN game_id % 4 <> 0 THEN home_score END AS home_score, 'old' AS source FROM games WHERE game_id % 5 <> 1),
     n AS (SELECT game_id, season, wk, CASE WHEN game_id % 3 <> 0 THEN home_score END AS home_score, CASE game_id % 2 WHEN 0 THEN 'feed' ELSE 'manual' END AS source FROM games WHERE game_id % 6 <> 2),

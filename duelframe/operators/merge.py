@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import has_value
 from .skew import calendar
@@ -138,3 +138,27 @@ def backfill_scores(games: DataFrame, master: DataFrame, current: DataFrame, by:
     return joined.select(*rest, F.when(update, F.col("_h")).otherwise(F.col("home_score")).alias("home_score"),
                          F.when(update, F.col("_a")).otherwise(F.col("away_score")).alias("away_score"),
                          status.alias("score_status"))
+
+
+def bag_difference(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that one table has more often than the other: ``only_left`` and ``only_right`` tell how often, as EXCEPT ALL would.
+
+    Both tables go through one count, so a row that is repeated a million times is one row of each task before the shuffle, and no
+    join is needed. Nulls are equal to nulls. Equal tables give no rows.
+    """
+    both = left.select(*columns, F.lit(1).alias("_n")).unionByName(right.select(*columns, F.lit(-1).alias("_n")))
+    more = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return more.select(*columns, F.greatest("_n", F.lit(0)).cast("long").alias("only_left"),
+                       F.greatest(-F.col("_n"), F.lit(0)).cast("long").alias("only_right"))
+
+
+def bag_samples(difference: DataFrame, columns: list[str], samples: int = 5) -> DataFrame:
+    """Per status (only_left, only_right): rows, repetitions, and the first few rows by value. The limit is the report's."""
+    status = F.when(F.col("only_left") > 0, "only_left").otherwise("only_right")
+    marked = difference.select(*columns, status.alias("status"), (F.col("only_left") + F.col("only_right")).alias("times"))
+    totals = marked.groupBy("status").agg(F.count(F.lit(1)).alias("rows"), F.sum("times").alias("times"))
+    # Window group limit keeps a few rows of each status per task before the shuffle.
+    first = Window.partitionBy("status").orderBy(*columns)
+    shown = marked.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= samples)
+    lists = shown.groupBy("status").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("sample"))
+    return totals.join(lists, "status")

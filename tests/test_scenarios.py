@@ -511,3 +511,18 @@ def test_patches_reach_single_entries(spark):
     record = {r.team: (r.w, r.l, r.p, r.games, r.record) for r in timelines.chunk_records(out, ["season"]).collect()}
     assert record == {"a": (1, 4, 0, 8, "1-4-0"), "b": (0, 2, 1, 4, "0-2-1")}
     assert timelines.patch_chunks(chunks, index, outcomes.where("false"), ["season"]).where("is_patched").count() == 0
+
+
+def test_bag_difference_counts_repeated_rows(spark):
+    schema = "k int, v string"
+    left = [(1, "a")] * 3 + [(2, None)] * 2 + [(3, "c"), (4, "d")] + [(i, "x") for i in range(10, 20)]
+    right = [(1, "a"), (2, None), (2, None), (3, "c"), (3, "c"), (5, None)]
+    a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = merge.bag_difference(a, b, ["k", "v"])
+    expanded = lambda side: sorted(((r.k, r.v) for r in got.collect() for _ in range(r[side])), key=repr)
+    assert expanded("only_left") == sorted(map(tuple, a.exceptAll(b).collect()), key=repr)
+    assert expanded("only_right") == sorted(map(tuple, b.exceptAll(a).collect()), key=repr)
+    report = {r.status: r for r in merge.bag_samples(got, ["k", "v"], 3).collect()}
+    assert (report["only_left"].rows, report["only_left"].times) == (12, 13) and [x.k for x in report["only_left"].sample] == [1, 4, 10]
+    assert (report["only_right"].rows, report["only_right"].times, len(report["only_right"].sample)) == (2, 2, 2)
+    assert merge.bag_difference(a, a.orderBy(F.desc("k")), ["k", "v"]).count() == 0
