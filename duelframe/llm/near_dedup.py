@@ -11,7 +11,7 @@ a large group of copies costs comparisons in proportion to its size.
 
 Words, shingles and links are those of the op1 contract: A-Z lower-cased, words without white space, five-word shingles
 (one shorter shingle for fewer words), a link from 75 percent of the union. Null, empty and blank texts have no shingles
-and no links. Equal rows form a class. Documents with a null doc_id are left out. Other columns are ignored.
+and no links. Equal rows form a class. Rows that share a doc_id, or have none, count by their own texts. Other columns are ignored.
 With 32 bands of 4 samples a pair at exactly 0.75 is missed once in 200,000 times, a pair at 0.8 once in 10 million.
 """
 
@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as t
-from .storage import Stored, components
+from .storage import Stored, components, spread_join
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -36,7 +36,7 @@ SAMPLES, SKETCH_BITS = 1024, 4096
 SCREEN = 0.67
 PERCENT = 75
 
-#: Identifiers of candidates that are sent to all tasks at most (8 bytes each); more of them meet the texts in a shuffle.
+#: Keys of candidates that are sent to all tasks at most (8 bytes each); more of them meet the texts in a shuffle.
 SENT_IDS = 2_000_000
 
 _RNG = np.random.default_rng(75)
@@ -82,35 +82,45 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _row_keys(docs: DataFrame) -> DataFrame:
+    """docs with two 64-bit hashes: key of doc_id and text, check of the text alone."""
+    return docs.select("*", F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit("row"), "text").alias("check"))
+
+
+def _digests(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.array([hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() if b > a else None
+                     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the shingle set (null without shingles), bands, sketch."""
+    """doc_id, key, check, n_shingles, digest of the shingle set (null without shingles), bands, sketch: one row per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in t.slices(batches, "text"):
             values, bounds = shingle_sets(*t.text_buffer(part.column("text")))
             samples = min_hashes(values, bounds)
-            digest = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() if b > a else None
-                      for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             n = part.num_rows
             keys, sketch = band_keys(samples), odd_sketches(samples)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digest, pa.binary()),
+                [part.column("doc_id"), part.column("key"), part.column("check"), pa.array(np.diff(bounds)), _digests(values, bounds),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel())),
                  pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * sketch.shape[1]), pa.array(sketch.ravel()))],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                ["doc_id", "key", "check", "n_shingles", "digest", "bands", "sketch"])
 
-    return (docs.select("doc_id", "text").where("doc_id is not null")
-            .mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"))
+    return _row_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(
+        run, "doc_id long, key long, check long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
+    """digest and shingle hashes of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in t.slices(batches, "text"):
             values, bounds = shingle_sets(*t.text_buffer(part.column("text")))
             raw = values.tobytes()
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([raw[8 * a:8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
-                                             ["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays(
+                [_digests(values, bounds), pa.array([raw[8 * a:8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
+                ["digest", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, items binary")
+    return docs.select("text").mapInArrow(run, "digest binary, items binary")
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,81 +146,119 @@ def screen(n_a, n_b, sketch_a, sketch_b):
 
 def _screened(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The candidate pairs (a, b) that the screen lets through; known has the sizes and sketches."""
-    one = known.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
-    two = known.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+    one = known.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
+    two = known.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
     return pairs.join(one, "a").join(two, "b").where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
 
 
-def _verified(store: Stored, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The screened pairs (a, b) whose whole sets are linked."""
+def _verified(store: Stored, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The screened pairs (a, b) of classes whose whole sets are linked.
+
+    The text of a class is fetched by the key of its first row; texts of other classes that share the key have another digest.
+    """
     likely = store.save(pairs)
     if likely.isEmpty():
         return likely
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    wanted = store.save(wanted)
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    wanted = store.save(classes.select("node", "digest", F.col("first.key").alias("key")).join(nodes, "node"))
+    keys = wanted.select("key")
     if wanted.count() <= SENT_IDS:
-        wanted = F.broadcast(wanted)
-    sets = store.save(_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
-    links = store.save(likely.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-                       .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+        keys = F.broadcast(keys)
+    texts = _row_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(keys, "key", "left_semi")
+    sets = store.save(_sets(texts).join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "items"))
+    links = store.save(likely.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
+                       .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
                        .select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"))
-    store.drop(likely, sets)
+    store.drop(likely, sets, wanted)
     return links
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
-    store = Stored(spark, "near")
-    marks = store.save(signatures(docs))
-    classes = marks.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member = store.save(marks.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-                        .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
-    reps = member.where("doc_id = rep and n_shingles > 0").select("doc_id").distinct()
-    known = store.save(marks.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).drop("digest"))
-    store.drop(marks)
-    bands = known.select("doc_id", F.posexplode("bands").alias("nth", "band"))
+def _components(spark: SparkSession, store: Stored, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component) of the classes that are linked with others; classes has node, n_shingles, bands and sketch."""
+    known = classes.select("node", "n_shingles", "bands", "sketch")
+    bands = known.select("node", F.posexplode("bands").alias("nth", "band"))
     crowded = bands.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
     shared = store.save(bands.join(crowded, "band"))
-    score = shared.groupBy("doc_id").agg(F.sum("crowd").alias("score"))
-    lead = shared.join(score, "doc_id").groupBy("band").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("lead"))
-    pairs = shared.join(lead, "band").where("doc_id <> lead").select(F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b"))
-    links = _verified(store, docs, _screened(pairs.distinct(), known))
+    score = shared.groupBy("node").agg(F.sum("crowd").alias("score"))
+    lead = shared.join(score, "node").groupBy("band").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("lead"))
+    pairs = shared.join(lead, "band").where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    links = _verified(store, docs, classes, _screened(pairs.distinct(), known))
     found = components(spark, links, store)
     for last in (False, True):
-        # Buckets that still hold several classes.
-        held = shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "band", "nth", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        # Buckets that still hold several components.
+        held = shared.join(found, "node", "left").select("band", "nth", "node", F.coalesce("component", "node").alias("component"))
         apart = held.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                         F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id")).alias("lead")).where("c0 < c1")
+                                         F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("lead")).where("c0 < c1")
         if not last:
             pairs = held.join(apart, "band").where("component <> lead.component").select(
-                F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b"))
+                F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
             pairs = _screened(pairs.distinct(), known)
         else:
-            left = store.save(held.join(apart.select("band"), "band", "left_semi")
-                              .join(known.select("doc_id", "n_shingles", "bands", "sketch"), "doc_id"))
+            left = store.save(held.join(apart.select("band"), "band", "left_semi").join(known, "node"))
             x, y = left.alias("x"), left.alias("y")
             # A pair meets in the first of the bands it shares only.
             first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.nth") + 1
             pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & first
                            & screen(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.sketch"), F.col("y.sketch")))
-            pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-        more = _verified(store, docs, pairs)
+            pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        more = _verified(store, docs, classes, pairs)
         if not more.isEmpty():
             links = store.save(links.union(more))
             found = components(spark, links, store)
-    store.drop(shared, known)
-    return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    store.drop(shared)
+    return found
+
+
+def _grouped(spark: SparkSession, store: Stored, docs: DataFrame) -> DataFrame:
+    """One row per row of docs: doc_id, key, check, n_shingles, and first, the first row (nameless, doc_id, key, check) of its group.
+
+    first is null without shingles. Rows with equal shingle sets are one class; classes are numbered as they are written.
+    """
+    marks = store.save(signatures(docs))
+    rows = store.save(marks.select("doc_id", "key", "check", "n_shingles", "digest"))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "check")).alias("first")
+    classes = store.save(marks.where("digest is not null").groupBy("digest")
+                         .agg(head, F.count("*").alias("n_rows"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")))
+                         .withColumn("node", F.monotonically_increasing_id()))
+    store.drop(marks)
+    found = _components(spark, store, docs, classes)
+    narrow = classes.select("node", "digest", "n_rows", "first")
+    linked = store.save(narrow.select("node", "first").join(found, "node"))
+    groups = linked.groupBy("component").agg(F.min("first").alias("group_first"), F.count("*").alias("n_classes"))
+    linked = spread_join(linked.select("node", "component"), store.save(groups), "component", "n_classes").select("node", "group_first")
+    table = store.save(narrow.join(linked, "node", "left").select("digest", "n_rows", F.coalesce("group_first", "first").alias("first")))
+    store.drop(classes)
+    named = spread_join(rows.where("digest is not null"), table, "digest", "n_rows")
+    lone = rows.where("digest is null").withColumn("first", F.lit(None).cast(table.schema["first"].dataType))
+    return named.unionByName(lone)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of docs.
+
+    Rows that share a doc_id are told apart by their texts. component_id is null where the whole group has no doc_id; such
+    rows are kept, other rows without doc_id are not.
+    """
+    rows = _grouped(spark, Stored(spark, "near"), docs)
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay when each class keeps the document with the smallest doc_id.
+    """The rows of docs that stay when each group keeps one row, that with the smallest doc_id (none: last).
 
-    Of rows that share a doc_id one stays; rows without doc_id all stay.
+    Of rows with equal doc_id and text in a group any one stays. Rows without shingles are in no group and stay.
+    Columns may have any name and type.
     """
-    gone = near_duplicates(spark, docs).where("not kept").select("doc_id")
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn("nth_row_", F.row_number().over(first))
-    return named.where("nth_row_ = 1").drop("nth_row_").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    store = Stored(spark, "keep")
+    rows = _grouped(spark, store, docs).where("first is not null")
+    gone = (F.col("key") != F.col("first.key")) | (F.col("check") != F.col("first.check"))
+    fate = store.save(rows.groupBy("key", "check").agg(F.max(gone).alias("gone"), F.count("*").alias("n_rows")).where("gone or n_rows > 1"))
+    # The columns travel in one struct, so that no name can clash.
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"), F.xxhash64(F.lit("row"), "text").alias("check"))
+    met = spread_join(held, fate, ["key", "check"], "n_rows")
+    stay = met.where("gone is null").select("row")
+    once = met.where("not gone").dropDuplicates(["key", "check"]).select("row")
+    return stay.union(once).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

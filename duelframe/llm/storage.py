@@ -50,6 +50,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: A key is heavy if it holds more than one row in HEAVY, so there are fewer heavy keys than this.
+HEAVY = 1024
+
+
+def spread_join(rows: DataFrame, table: DataFrame, on: str | list[str], count: str) -> DataFrame:
+    """Left join of rows with the written table, whose keys are unique, leaving the table's column ``count`` out.
+
+    ``count`` is the number of rows with the key. Heavy keys are sent to the rows, the others meet them in a shuffle, in which
+    no key has more than one row in HEAVY. Rows with a null key should go round the join.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    heavy = F.col(count) * HEAVY > total
+    few, rest = table.where(heavy).drop(count), table.where(~heavy).drop(count)
+    on = [on] if isinstance(on, str) else on
+    if few.isEmpty():
+        return rows.join(rest, on, "left")
+    columns = [*rows.columns, *(c for c in few.columns if c not in on)]
+    return (rows.join(F.broadcast(few), on).select(*columns)
+            .union(rows.join(F.broadcast(few.select(*on)), on, "left_anti").join(rest, on, "left").select(*columns)))
+
+
 def components(spark: SparkSession, edges: DataFrame, store: Stored) -> DataFrame:
     """(node, component) of every node of the undirected edges (a, b); component is its smallest reachable node.
 

@@ -11,6 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 pytest.importorskip("duelframe.llm")
 
 from duelframe.llm import (decontaminate, language, near_dedup, packing, repetition, resampling, sharding,  # noqa: E402
@@ -68,6 +70,39 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(spark, docs_of(spark, [])).count() == 0
 
 
+def test_near_duplicates_tell_rows_of_one_id_apart(spark):
+    rng = np.random.default_rng(11)
+    say = lambda n: [f"z{rng.integers(10**6)}" for _ in range(n)]
+    one, two, three, four = (say(60) for _ in range(4))
+    near = " ".join(["other", *two[1:]])
+    one, two, three, four = (" ".join(x) for x in (one, two, three, four))
+    rows = [(1, one), (1, two), (2, two), (3, near), (None, two), (None, three), (None, three), (None, near.upper()), (4, four), (4, four),
+            (4, four + " "), (5, one), (None, None), (None, ""), (6, None), (6, "")]
+    docs = spark.createDataFrame([(i, x, {"a": 1}, 1, 2) for i, x in rows], "doc_id long, text string, extra map<string,int>, nth_row_ int, key int")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(spark, docs).collect()), key=str)
+    want = [(1, 56, 1, True), (1, 56, 1, True), (2, 56, 1, False), (3, 56, 1, False), (None, 56, 1, False), (None, 56, None, True), (None, 56, None, True),
+            (None, 56, 1, False), (4, 56, 4, True), (4, 56, 4, True), (4, 56, 4, True), (5, 56, 1, False), (None, 0, None, True), (None, 0, None, True),
+            (6, 0, 6, True), (6, 0, 6, True)]
+    assert got == sorted(want, key=str)
+    kept = near_dedup.keep_one(spark, docs)
+    assert kept.schema == docs.schema
+    left = Counter((r.doc_id, (r.text or "").strip()) for r in kept.collect())
+    assert left == Counter([(1, one), (1, two), (None, three), (4, four), (None, ""), (None, ""), (6, ""), (6, "")])
+
+
+def test_heavy_keys_join_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"k{0 if i % 3 else i}", None) for i in range(300)], "i int, k string, x int")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("low")).where("k <> 'k9'")
+    want = None
+    for heavy in (10**6, 100, 2, 0):
+        monkeypatch.setattr(storage, "HEAVY", heavy)
+        got = storage.spread_join(rows, table, "k", "n")
+        assert sorted(got.columns) == ["i", "k", "low", "x"]
+        got = sorted((r.i, r.k, str(r.low)) for r in got.collect())
+        want = want or got
+        assert got == want and len(got) == 300
+
+
 def test_odd_sketch_estimates_similarity():
     a = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     b = np.concatenate([a[:900], a[:100] + np.uint64(1)])
