@@ -17,13 +17,13 @@ from .scalar import text_of
 from .teams import BY, page_rated, rated
 
 
-def week_rows(spark, sf, whole: bool = False) -> DataFrame:
-    """Stored rows: scores missing on some games, lines blank on others, one game in nine absent.
+def week_rows(spark, sf) -> DataFrame:
+    """Stored rows: scores missing on some games, lines blank on others, some games only in the rebuilt rows.
 
-    ``whole``: games that the rebuilt rows lack stay.
+    Every game is in the stored or the rebuilt rows.
     """
     k = F.col("game_id")
-    g = A.games(spark, sf).where((k % 9 != 4) | (k % 11 == 3) if whole else k % 9 != 4)
+    g = A.games(spark, sf).where((k % 9 != 4) | (k % 11 == 3))
     return g.select(
         "game_id", "season", "wk", "kickoff", F.when(k % 7 != 0, F.col("home_score")).alias("home_score"),
         F.when(k % 7 != 0, F.col("away_score")).alias("away_score"),
@@ -48,7 +48,7 @@ MERGE_SQL = """
     , old AS (SELECT game_id, season, wk, kickoff, CASE WHEN game_id % 7 <> 0 THEN home_score END AS home_score, CASE WHEN game_id % 7 <> 0 THEN away_score END AS away_score,
                      CASE WHEN game_id % 4 <> 0 THEN spread END AS sp, CASE WHEN game_id % 6 = 0 THEN ' ' WHEN game_id % 6 < 4 THEN 'book1' END AS src,
                      CASE WHEN game_id % 10 BETWEEN 1 AND 7 THEN CAST(game_id % 15 AS DOUBLE) END AS rvo, CASE WHEN game_id % 3 = 0 THEN game_id END AS oid, game_id AS sid
-              FROM games WHERE game_id % 9 <> 4),
+              FROM games WHERE game_id % 9 <> 4 OR game_id % 11 = 3),
     new AS (SELECT game_id, season, wk, kickoff, home_score, away_score, CASE WHEN game_id % 5 <> 0 THEN CAST(game_id % 8 AS DOUBLE) END AS sp, 'book2' AS src,
                    CASE WHEN game_id % 3 <> 0 THEN CAST(game_id % 5 AS DOUBLE) END AS rvo, CASE WHEN game_id % 2 = 0 THEN -game_id END AS oid, game_id + 1 AS sid
             FROM games WHERE game_id % 11 <> 3),
@@ -59,41 +59,43 @@ MERGE_SQL = """
                FROM old o FULL JOIN new n ON n.game_id = o.game_id)"""
 
 
-# Every game is on one side at least.
-MERGE_ALL_SQL = MERGE_SQL.replace("WHERE game_id % 9 <> 4)", "WHERE game_id % 9 <> 4 OR game_id % 11 = 3)")
+PRESERVED_SQL = MERGE_SQL + """
+    SELECT game_id, home_score, sp AS spread_home_relative, src AS odds_source, rvo AS rating_vs_odds, oid AS odds_id, sid AS schedule_id FROM merged"""
 
 
-@query("merge_preserving_all", MERGE_ALL_SQL + """
-    SELECT game_id, home_score, sp AS spread_home_relative, src AS odds_source, rvo AS rating_vs_odds, oid AS odds_id, sid AS schedule_id FROM merged""", ["games"])
-def merge_preserving_all(spark, sf):
-    return merge_preserving(spark, sf, whole=True)
-
-
-@query("merge_preserving", MERGE_SQL + """
-    SELECT game_id, home_score, sp AS spread_home_relative, src AS odds_source, rvo AS rating_vs_odds, oid AS odds_id, sid AS schedule_id FROM merged""", ["games"])
-def merge_preserving(spark, sf, whole=False):
-    out = merge.merge_preserving(week_rows(spark, sf, whole), new_rows(spark, sf), ["game_id"])
+@query("merge_preserving_all", PRESERVED_SQL, ["games"])
+@query("merge_preserving", PRESERVED_SQL, ["games"])
+def merge_preserving(spark, sf):
+    out = merge.merge_preserving(week_rows(spark, sf), new_rows(spark, sf), ["game_id"])
     return out.select("game_id", "home_score", "spread_home_relative", "odds_source",
                       F.nanvl("rating_vs_odds", F.lit(None).cast("double")).alias("rating_vs_odds"),
                       F.col("raw_sources.odds_row.id").alias("odds_id"), F.col("raw_sources.schedule_row").alias("schedule_id"))
 
 
-@query("preservation", MERGE_SQL + """
+PRESERVATION_SQL = MERGE_SQL + """
     SELECT count(*) FILTER (WHERE in_old AND (osp IS NOT NULL OR trim(osrc) <> '') AND (osp IS NULL OR sp = osp)
                AND (coalesce(trim(osrc), '') = '' OR src = osrc)) AS preserved_odds,
-           count(*) FILTER (WHERE in_old AND orvo IS NOT NULL AND rvo = orvo) AS preserved_rvo FROM merged""", ["games"])
-def preservation(spark, sf, whole=False):
-    old = week_rows(spark, sf, whole)
+           count(*) FILTER (WHERE in_old AND orvo IS NOT NULL AND rvo = orvo) AS preserved_rvo FROM merged"""
+
+
+@query("preservation_all", PRESERVATION_SQL, ["games"])
+@query("preservation", PRESERVATION_SQL, ["games"])
+def preservation(spark, sf):
+    old = week_rows(spark, sf)
     return merge.preservation(old, merge.merge_preserving(old, new_rows(spark, sf), ["game_id"]), ["game_id"])
 
 
-@query("diff_rows", MERGE_SQL + """
+DIFF_ROWS_SQL = MERGE_SQL + """
     SELECT CASE WHEN n.game_id IS NULL THEN 'left_only' WHEN o.game_id IS NULL THEN 'right_only'
                 WHEN o.home_score IS NOT DISTINCT FROM n.home_score AND o.away_score IS NOT DISTINCT FROM n.away_score AND o.sp IS NOT DISTINCT FROM n.sp
                 THEN 'equal' ELSE 'mismatched' END AS status, count(*) AS n
-    FROM old o FULL JOIN new n ON n.game_id = o.game_id GROUP BY 1""", ["games"])
-def diff_rows(spark, sf, whole=False):
-    return merge.diff_rows(week_rows(spark, sf, whole), new_rows(spark, sf), ["game_id"],
+    FROM old o FULL JOIN new n ON n.game_id = o.game_id GROUP BY 1"""
+
+
+@query("diff_rows_all", DIFF_ROWS_SQL, ["games"])
+@query("diff_rows", DIFF_ROWS_SQL, ["games"])
+def diff_rows(spark, sf):
+    return merge.diff_rows(week_rows(spark, sf), new_rows(spark, sf), ["game_id"],
                            ignore=("odds_source", "rating_vs_odds", "raw_sources"))
 
 
@@ -124,58 +126,35 @@ def bag_difference(spark, sf):
     return merge.bag_difference(rows(q), rows(q.where("line_no <> 3")).unionAll(rows(q.where("line_no = 2"))), columns)
 
 
-@query("upsert_keep_best", """
-    , m AS (SELECT game_id, season, wk, CASE WHEN game_id % 4 <> 0 THEN home_score END AS home_score, 'old' AS source FROM games WHERE game_id % 5 <> 1),
+UPSERT_KEEP_BEST_SQL = """
+    , m AS (SELECT game_id, season, wk, CASE WHEN game_id % 4 <> 0 THEN home_score END AS home_score, 'old' AS source FROM games WHERE game_id % 5 <> 1 OR game_id % 6 = 2),
     n AS (SELECT game_id, season, wk, CASE WHEN game_id % 3 <> 0 THEN home_score END AS home_score, CASE game_id % 2 WHEN 0 THEN 'feed' ELSE 'manual' END AS source FROM games WHERE game_id % 6 <> 2),
     u AS (SELECT *, 0 AS is_new FROM m UNION ALL SELECT *, 1 FROM n)
     SELECT game_id, season, wk, home_score, source FROM (SELECT *, row_number() OVER (PARTITION BY season, wk, game_id
-        ORDER BY CASE WHEN home_score IS NOT NULL THEN 0 ELSE 1 END, CASE source WHEN 'manual' THEN 1 ELSE 2 END, is_new DESC) AS rn FROM u) WHERE rn = 1""", ["games"])
-def upsert_keep_best(spark, sf, whole=False):
+        ORDER BY CASE WHEN home_score IS NOT NULL THEN 0 ELSE 1 END, CASE source WHEN 'manual' THEN 1 ELSE 2 END, is_new DESC) AS rn FROM u) WHERE rn = 1"""
+
+
+@query("upsert_keep_best_all", UPSERT_KEEP_BEST_SQL, ["games"])
+@query("upsert_keep_best", UPSERT_KEEP_BEST_SQL, ["games"])
+def upsert_keep_best(spark, sf):
     g, k = A.games(spark, sf), F.col("game_id")
-    old = g.where((k % 5 != 1) | (k % 6 == 2) if whole else k % 5 != 1).select("game_id", "season", "wk", F.when(k % 4 != 0, F.col("home_score")).alias("home_score"), F.lit("old").alias("source"))
+    old = g.where((k % 5 != 1) | (k % 6 == 2)).select("game_id", "season", "wk", F.when(k % 4 != 0, F.col("home_score")).alias("home_score"), F.lit("old").alias("source"))
     new = g.where(k % 6 != 2).select("game_id", "season", "wk", F.when(k % 3 != 0, F.col("home_score")).alias("home_score"),
                                      F.when(k % 2 == 0, "feed").otherwise("manual").alias("source"))
     return ranks.upsert_keep_best(old, new, ["season", "wk", "game_id"], F.col("home_score").isNotNull(),
                                   F.when(F.col("source") == "manual", 1).otherwise(2), ["source"])
 
 
-@query("preservation_all", MERGE_ALL_SQL + """
-    SELECT count(*) FILTER (WHERE in_old AND (osp IS NOT NULL OR trim(osrc) <> '') AND (osp IS NULL OR sp = osp)
-               AND (coalesce(trim(osrc), '') = '' OR src = osrc)) AS preserved_odds,
-           count(*) FILTER (WHERE in_old AND orvo IS NOT NULL AND rvo = orvo) AS preserved_rvo FROM merged""", ["games"])
-def preservation_all(spark, sf):
-    return preservation(spark, sf, whole=True)
-
-
-@query("diff_rows_all", MERGE_ALL_SQL + """
-    SELECT CASE WHEN n.game_id IS NULL THEN 'left_only' WHEN o.game_id IS NULL THEN 'right_only'
-                WHEN o.home_score IS NOT DISTINCT FROM n.home_score AND o.away_score IS NOT DISTINCT FROM n.away_score AND o.sp IS NOT DISTINCT FROM n.sp
-                THEN 'equal' ELSE 'mismatched' END AS status, count(*) AS n
-    FROM old o FULL JOIN new n ON n.game_id = o.game_id GROUP BY 1""", ["games"])
-def diff_rows_all(spark, sf):
-    return diff_rows(spark, sf, whole=True)
-
-
-@query("upsert_keep_best_all", """
-    , m AS (SELECT game_id, season, wk, CASE WHEN game_id % 4 <> 0 THEN home_score END AS home_score, 'old' AS source FROM games WHERE game_id % 5 <> 1 OR game_id % 6 = 2),
-    n AS (SELECT game_id, season, wk, CASE WHEN game_id % 3 <> 0 THEN home_score END AS home_score, CASE game_id % 2 WHEN 0 THEN 'feed' ELSE 'manual' END AS source FROM games WHERE game_id % 6 <> 2),
-    u AS (SELECT *, 0 AS is_new FROM m UNION ALL SELECT *, 1 FROM n)
-    SELECT game_id, season, wk, home_score, source FROM (SELECT *, row_number() OVER (PARTITION BY season, wk, game_id
-        ORDER BY CASE WHEN home_score IS NOT NULL THEN 0 ELSE 1 END, CASE source WHEN 'manual' THEN 1 ELSE 2 END, is_new DESC) AS rn FROM u) WHERE rn = 1""", ["games"])
-def upsert_keep_best_all(spark, sf):
-    return upsert_keep_best(spark, sf, whole=True)
-
-
 @query("backfill_scores", MERGE_SQL + """
     , cur AS (SELECT season, max(wk) AS wk FROM games GROUP BY season)
     SELECT o.game_id, CASE WHEN (o.home_score IS NULL OR o.away_score IS NULL) AND f.game_id IS NOT NULL THEN f.home_score ELSE o.home_score END AS home_score,
            CASE WHEN o.home_score IS NULL OR o.away_score IS NULL THEN CASE WHEN f.game_id IS NOT NULL THEN 'updated' ELSE 'skipped' END ELSE 'kept' END AS score_status
     FROM old o JOIN cur c USING (season) LEFT JOIN (SELECT * FROM games WHERE home_score IS NOT NULL AND away_score IS NOT NULL) f ON f.game_id = o.game_id
-    WHERE o.wk < c.wk AND o.wk >= c.wk - 20""", ["games"])
+    WHERE o.wk < c.wk AND o.wk >= c.wk - 2""", ["games"])
 def backfill_scores(spark, sf):
     g = A.games(spark, sf)
     current = g.groupBy("season").agg(F.max("wk").alias("wk"))
-    out = merge.backfill_scores(week_rows(spark, sf), g, current, BY, ["game_id"], weeks_back=20)
+    out = merge.backfill_scores(week_rows(spark, sf), g, current, BY, ["game_id"], weeks_back=2)
     return out.select("game_id", "home_score", "score_status")
 
 

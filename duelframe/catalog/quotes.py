@@ -261,12 +261,12 @@ def week_of_ts(spark, sf):
 
 
 @query("event_window", """
-    , b AS (SELECT min(kickoff) AS lo, max(kickoff) AS hi FROM games WHERE season = 1998)
+    , b AS (SELECT min(kickoff) AS lo, max(kickoff) AS hi FROM games)
     SELECT event_id, event_ts >= lo - INTERVAL 6 DAY AND event_ts <= hi + INTERVAL 6 DAY AS in_window,
            event_ts > hi + INTERVAL 2 DAY AS is_future, event_ts < lo - INTERVAL 2 DAY AS is_past FROM feed, b""", ["feed", "games"])
 def event_window(spark, sf):
     g = A.games(spark, sf)
-    return matching.event_window_flags(A.feed(g), g.where("season = 1998")).select(
+    return matching.event_window_flags(A.feed(g), g).select(
         "event_id", "in_window", "is_future", "is_past")
 
 

@@ -179,12 +179,13 @@ def tolerant_cast(spark, sf):
            count(*) FILTER (WHERE coalesce(trim(CASE WHEN doc_id % 4 = 0 THEN '  ' ELSE lang END), '') = '') AS blank_lang,
            count(*) FILTER (WHERE len(CASE WHEN doc_id % 3 > 0 THEN [source] ELSE [] END) > 0) AS with_tags,
            count(*) FILTER (WHERE doc_id % 6 <> 0) AS with_ratio,
-           count(*) FILTER (WHERE TRY_CAST(substr(text, 1, 1) AS DOUBLE) IS NOT NULL) AS starts_numeric
+           count(*) FILTER (WHERE TRY_CAST(text AS DOUBLE) IS NOT NULL) AS numeric_text,
+           count(*) FILTER (WHERE TRY_CAST(n_chars AS DOUBLE) IS NOT NULL) AS numeric_size
     FROM documents""")
 def blank_counts(spark, sf):
     d = A.table(spark, sf, "documents")
     k = F.col("doc_id")
-    d = d.select("text", F.when(k % 4 == 0, "  ").otherwise(F.col("lang")).alias("lang"),
+    d = d.select("text", "n_chars", F.when(k % 4 == 0, "  ").otherwise(F.col("lang")).alias("lang"),
                  F.when(k % 3 > 0, F.array("source")).otherwise(F.array().cast("array<string>")).alias("tags"),
                  F.when(k % 6 == 0, F.lit(float("nan"))).otherwise(1.0).alias("ratio"))
     return d.agg(
@@ -192,7 +193,8 @@ def blank_counts(spark, sf):
         F.count_if(numbers.is_blank("lang")).alias("blank_lang"),
         F.count_if(numbers.has_value("tags", "array<string>")).alias("with_tags"),
         F.count_if(numbers.has_value("ratio", "double")).alias("with_ratio"),
-        F.count_if(numbers.has_numeric(F.substring("text", 1, 1))).alias("starts_numeric"))
+        F.count_if(numbers.has_numeric("text")).alias("numeric_text"),
+        F.count_if(numbers.has_numeric("n_chars")).alias("numeric_size"))
 
 
 @query("numeric_texts", """
