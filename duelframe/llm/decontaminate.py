@@ -8,8 +8,8 @@ text: question (all but the last sentence) and answer (the last sentence) must e
 shingles with it. Words are lower-cased (A-Z) runs without white space and ASCII punctuation, so marks around a passage
 do not hide it. Items of fewer than five words must appear whole.
 
-The index of one group of at most GROUP items travels with the tasks; more items are searched group after group, each a
-pass over the texts. Null or empty texts and items match nothing, repeated rows match alike, equal items are each
+The index of one group of about GROUP items travels with the tasks; more items are searched group after group, each a
+pass over the texts. Document frequencies, number and mean length are those of all items, so that grouping changes no score. Null or empty texts and items match nothing, repeated rows match alike, equal items are each
 reported, and other columns are ignored.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as t
+from .storage import Stored
 
 WINDOW, STEP = 128, 64
 #: Share of an item's own score that a passage has to reach, for the part of the item that fits a step.
@@ -70,7 +71,17 @@ def _words(text: str) -> tuple[list[bytes], np.ndarray, int]:
     return tokens, t.RangeHash(buf)(words.starts, words.ends), int(np.searchsorted(words.starts, ends[-1])) if ends else 0
 
 
-def build_index(rows: list[tuple[int, str | None]]) -> Index:
+@dataclass
+class Statistics:
+    """What BM25 takes from all items with words."""
+    n: int
+    mean_length: float
+    term: np.ndarray  # sorted term hashes, those of the items to index at least
+    df: np.ndarray
+
+
+def build_index(rows: list[tuple[int, str | None]], whole: Statistics | None = None) -> Index:
+    """Index of the rows; without ``whole`` they are all items there are."""
     items, terms, lengths = [], [], []
     for item_id, text in rows:
         tokens, hashes, cut = _words(text or "")
@@ -94,9 +105,11 @@ def build_index(rows: list[tuple[int, str | None]]) -> Index:
     tf = np.concatenate([x[1] for x in terms]).astype(np.float64)
     owner = np.repeat(np.arange(n), [len(x[0]) for x in terms])
     vocabulary, term = np.unique(term, return_inverse=True)
-    df = np.bincount(term)
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / lengths.mean()))
+    if whole is None:
+        whole = Statistics(n, lengths.mean(), vocabulary, np.bincount(term))
+    df = whole.df[np.searchsorted(whole.term, vocabulary)]
+    idf = np.log(1 + (whole.n - df + 0.5) / (df + 0.5))
+    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[owner] / whole.mean_length))
     own = np.bincount(owner, weights=impact, minlength=n)
     threshold = THRESHOLD * own * np.minimum(1, STEP / lengths)
     slot = term * blocks + owner // BLOCK
@@ -195,13 +208,36 @@ def matches(index: Index, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[in
     return out
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """part, term (hash) and number of words of every item; a term once per item, length on its first row only."""
+    for batch in batches:
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist()):
+            hashes = _words(text or "")[1]
+            if len(hashes):
+                term = np.unique(hashes)
+                length = np.zeros(len(term), np.int64)
+                length[0] = len(hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(term), part, np.int64)), pa.array(term.view(np.int64)), pa.array(length)],
+                                                 ["part", "term", "length"])
+
+
 def _groups(spark: SparkSession, items: DataFrame) -> Iterator[Index]:
-    """Indexes of groups of about GROUP items, fetched one after another."""
-    items = items.select("item_id", "text")
-    parts = -(-items.count() // GROUP)
+    """Indexes of groups of about GROUP items, fetched one after another, with the statistics of all items."""
+    items = items.where("item_id is not null").select("item_id", "text")
+    parts = max(1, -(-items.count() // GROUP))
+    store = Stored(spark, "items")
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    terms = store.save(items.mapInArrow(_item_terms, "part long, term long, length long"))
+    n, words = terms.agg(F.count_if(F.col("length") > 0), F.sum("length")).first()
+    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    df = store.save(terms.select("part", "term").distinct().join(df, "term"))
     for k in range(parts):
-        mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) if parts > 1 else items
-        yield build_index(sorted(((r[0], r[1]) for r in mine.collect() if r[0] is not None), key=lambda r: (r[0], r[1] or "")))
+        mine = items.where(F.col("part") == k).collect()
+        found = df.where(F.col("part") == k).select("term", "df").toArrow()
+        term = found.column("term").to_numpy().view(t.U64)
+        order = np.argsort(term)
+        whole = Statistics(n, (words or 0) / max(n, 1), term[order], found.column("df").to_numpy()[order])
+        yield build_index(sorted(((r[0], r[1]) for r in mine), key=lambda r: (r[0], r[1] or "")), whole)
 
 
 def find(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:

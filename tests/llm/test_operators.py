@@ -350,6 +350,54 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.find(spark, docs_of(spark, texts), bench.limit(0)).count() == 0
 
 
+def plain_bm25(texts, items):
+    """(text, item) to its best passage score, and the items' thresholds, item by item and passage by passage."""
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    words = lambda x: re.findall(r"[^\x00-\x20!-/:-@\[-`{-~\x7f]+", (x or "").translate(low))
+    bags = [Counter(words(x)) for x in items]
+    n, mean = sum(bool(b) for b in bags), sum(b.total() for b in bags) / max(1, sum(bool(b) for b in bags))
+    df = Counter(w for b in bags for w in b)
+    impact = [{w: np.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * b.total() / mean)) for w, tf in b.items()} for b in bags]
+    least = [0.6 * sum(i.values()) * min(1, 64 / max(1, b.total())) for i, b in zip(impact, bags)]
+    best = {}
+    for d, x in enumerate(texts):
+        w = words(x)
+        for p in range(0, len(w), 64):
+            passage = set(w[p:p + 128])
+            for k, i in enumerate(impact):
+                score = sum(v for term, v in i.items() if term in passage)
+                if i and score >= least[k]:
+                    best[d, k] = max(best.get((d, k), 0.0), score)
+    return best
+
+
+def test_retrieval_equals_exhaustive_bm25_in_any_grouping(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    vocabulary = np.array([f"v{i}" for i in range(400)])
+    weight = 1 / np.arange(1, 401)
+    say = lambda n: rng.choice(vocabulary, n, p=weight / weight.sum()).tolist()
+    items = [" ".join(say(rng.integers(3, 90))) for _ in range(60)] + [None, "", "v1 v1 v2"]
+    texts = []
+    for k in range(60):  # items with a part of their words replaced, between other words
+        edited = [w if rng.random() > 0.3 * (k % 3) else f"new{rng.integers(99)}" for w in items[k].split()]
+        texts.append(" ".join(say(int(rng.integers(0, 200))) + edited + say(int(rng.integers(0, 200)))))
+    texts += [None, "", "v1"]
+    want = plain_bm25(texts, items)
+    bench = spark.createDataFrame([*enumerate(items), (None, "v5 v6 v7")], "item_id long, text string")
+    raw = [(x or "").encode() for x in texts]
+    low = decontaminate.t.LOWER[np.frombuffer(b"".join(raw), np.uint8)]
+    words = decontaminate.t.Words(low, np.concatenate([[0], np.cumsum([len(x) for x in raw])]), decontaminate.t.IS_MARK)
+    hashes = decontaminate.t.RangeHash(low)(words.starts, words.ends)
+    assert len(want) > 100
+    for group in (4096, 7):
+        monkeypatch.setattr(decontaminate, "GROUP", group)
+        got = {}
+        for index in decontaminate._groups(spark, bench):
+            got |= {(d, index.items[k].item_id): x for (d, k), x in decontaminate.search(index, hashes, words.bounds).items()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-3 * want[k] for k in want)
+
+
 # op10
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
