@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where the setting is absent (tests)."""
+    """The folder named by spark.checkpoint.dir; without the setting a local session takes the temp folder, a cluster fails."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (base or f"{tempfile.gettempdir()}/duelframe-llm").rstrip("/")
 
 
