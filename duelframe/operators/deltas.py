@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .prefix import _match, day_bucket, running_sums
+from .prefix import running_sums
+from .ranges import same_keys
 from .teams import outcome_flags, to_team_rows
 
 
@@ -21,7 +22,7 @@ def record_changes(before: DataFrame, after: DataFrame, by: list[str], key: str
         return to_team_rows(games, keep).select(*keep, "team", "site", *[c.alias(n) for n, c in flags.items()])
 
     new, old = side_rows(after).alias("n"), side_rows(before).alias("o")
-    joined = new.join(old, _match([key, "site"], "n", "o"), "left")
+    joined = new.join(old, same_keys([key, "site"], "n", "o"), "left")
     diff = [(F.col(f"n.{f}") - F.coalesce(F.col(f"o.{f}"), F.lit(0))).alias(f) for f in flags]
     out = joined.select(*[F.col(f"n.{c}") for c in [*keep, "team"]], *diff)
     return out.where(" OR ".join(f"{f} <> 0" for f in flags))
@@ -32,7 +33,7 @@ def updated_records(records: DataFrame, changes: DataFrame, by: list[str], key:
 
     A change counts from the games that begin later than its own. Only the seasons of the changes are read (their number is
     bounded by the calendar; a table stored by season skips the others' files), and only teams that have a change.
-    Rows without a season have no record to change. The changes and the stored games of a team lie on one time line, cut into days like every running total here.
+    Rows without a season have no record to change. The changes and the stored games of a team lie on one time line.
     """
     season = by[-1]
     seasons = sorted(r[0] for r in changes.select(season).where(F.col(season).isNotNull()).distinct().collect())
@@ -42,7 +43,7 @@ def updated_records(records: DataFrame, changes: DataFrame, by: list[str], key:
     line = stored.select(*by, "team", kickoff, F.struct(*stored.columns).alias("_row"), *[F.lit(0).alias(f) for f in flags]).unionByName(
         changes.select(*by, "team", kickoff, *flags), allowMissingColumns=True)
     timed = line.withColumn("_at", F.unix_micros(F.col(kickoff)))
-    moved = running_sums(timed, [*by, "team"], ["_at"], day_bucket(kickoff), {f"_d_{f}": F.col(f) for f in flags}, "before")
+    moved = running_sums(timed, [*by, "team"], ["_at"], {f"_d_{f}": F.col(f) for f in flags}, "before")
     rows = moved.where("_row IS NOT NULL").where(" OR ".join(f"_d_{f} <> 0" for f in flags))
     new = {f"{f}_before": (F.col(f"_row.{f}_before") + F.col(f"_d_{f}")).alias(f"{f}_before") for f in flags}
     return rows.select(*[new.get(c, F.col(f"_row.{c}").alias(c)) for c in records.columns])

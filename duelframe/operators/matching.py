@@ -1,16 +1,17 @@
 """Pin feed events to scheduled games by sides and time, without forming candidate pairs.
 
-Events and games of one pair of sides are laid on a common time line, cut into days. For
-each event only the nearest game before and the nearest after, per orientation, can win;
-both come from one running window per direction. Cost is linear in events plus games even
-when one pair of sides holds a third of all rows.
+Events and games of one pair of sides are laid on a common time line. For each event only the
+nearest game before and the nearest after, per orientation, can win; both are carried along the
+line, once per direction. Cost is linear in events plus games; a pair of sides with a third of
+all rows, even on one day, is dealt by ranges that follow its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import scratch_dir
+from .ranges import by_size, ranged_last, spread, window_last
 from .ranks import best_per_key
 from .skew import calendar, skew_join
 
@@ -26,48 +27,52 @@ def nearest_by_pair(probes: DataFrame, points: DataFrame, reach_seconds: int, pr
     time keep an empty array.
     """
     lo, hi = F.least(home, away), F.greatest(home, away)
-    pad = F.expr(f"INTERVAL {int(reach_seconds)} SECONDS")
-    slots = points.where(F.col(home).isNotNull() & F.col(away).isNotNull() & F.col(point_at).isNotNull()).select(
-        lo.alias("_lo"), hi.alias("_hi"),
-        F.explode(F.sequence(F.to_date(F.col(point_at) - pad), F.to_date(F.col(point_at) + pad))).alias("_day"),
-        F.unix_micros(F.col(point_at)).alias("_at"), F.lit(0).alias("_kind"), F.lit(0).alias("_salt"),
-        (F.col(home) == lo).alias("_fwd"), F.struct(*points.columns).alias("_point"),
-        F.lit(None).alias("_probe"))
+    point_known = F.col(home).isNotNull() & F.col(away).isNotNull() & F.col(point_at).isNotNull()
     usable = F.col(probe_at).isNotNull() & F.col(home).isNotNull() & F.col(away).isNotNull()
-    asks = probes.select(
-        F.when(usable, lo).alias("_lo"), F.when(usable, hi).alias("_hi"),
-        F.when(usable, F.to_date(probe_at)).alias("_day"), F.unix_micros(F.col(probe_at)).alias("_at"),
-        F.lit(1).alias("_kind"),
-        # Unusable probes share null keys: spread them by content.
-        F.when(usable, 0).otherwise(F.pmod(F.xxhash64(*probes.columns), F.lit(997)).cast("int")).alias("_salt"),
-        (F.col(home) == lo).alias("_fwd"), F.lit(None).alias("_point"),
-        F.struct(*probes.columns).alias("_probe"))
-    line = slots.unionByName(asks)
-
-    part = Window.partitionBy("_lo", "_hi", "_day", "_salt")
-    back = part.orderBy(F.asc("_at"), F.asc("_kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # "Nearest after" also runs over preceding rows, of the reversed order: a frame that
-    # reaches forward would be rebuilt for every row.
-    ahead = part.orderBy(F.desc("_at"), F.asc("_kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slots = points.where(point_known).select(
+        lo.alias("_lo"), hi.alias("_hi"), F.unix_micros(F.col(point_at)).alias("_at"), F.lit(0).alias("_kind"),
+        (F.col(home) == lo).alias("_fwd"), F.struct(*points.columns).alias("_point"), F.lit(None).alias("_probe"),
+        F.lit(0).cast("long").alias("_spread"))
+    asks = probes.where(usable).select(
+        lo.alias("_lo"), hi.alias("_hi"), F.unix_micros(F.col(probe_at)).alias("_at"), F.lit(1).alias("_kind"),
+        (F.col(home) == lo).alias("_fwd"), F.lit(None).alias("_point"), F.struct(*probes.columns).alias("_probe"),
+        spread(probes).alias("_spread"))
     tagged = F.struct(F.col("_at").alias("at"), F.col("_fwd").alias("fwd"), F.col("_point").alias("point"))
     is_slot = F.col("_kind") == 0
-    seen = line
-    for name, window in (("_b", back), ("_a", ahead)):
-        for fwd in (True, False):
-            hit = F.when(is_slot & (F.col("_fwd") == F.lit(fwd)), tagged)
-            seen = seen.withColumn(f"{name}{int(fwd)}", F.last(hit, ignorenulls=True).over(window))
+    line = slots.unionByName(asks).select(
+        "_lo", "_hi", "_at", "_kind", "_fwd", "_probe", "_spread",
+        *[F.when(is_slot & (F.col("_fwd") == F.lit(fwd)), tagged).alias(f"{name}{int(fwd)}")
+          for name in ("_b", "_a") for fwd in (True, False)])
+
+    pair = ["_lo", "_hi"]
+    # "Nearest after" also runs over preceding rows, of the reversed order: a frame that
+    # reaches forward would be rebuilt for every row.
+    passes = [([F.asc("_at"), F.asc("_kind"), F.asc("_spread")], ["_b1", "_b0"]),
+              ([F.desc("_at"), F.asc("_kind"), F.asc("_spread")], ["_a1", "_a0"])]
+
+    def both(step):
+        def run(rows: DataFrame) -> DataFrame:
+            for order, names in passes:
+                rows = step(rows, pair, order, names)
+            return rows
+        return run
+
+    seen = by_size(line, pair, both(window_last), both(ranged_last))
     reach = int(reach_seconds) * MICROS
     found = F.array("_b1", "_b0", "_a1", "_a0")
     # A game at the event's own instant is both "before" and "after": keep one of them.
     near = F.array_distinct(F.filter(found, lambda c: c.isNotNull() & (F.abs(c["at"] - F.col("_at")) <= reach)))
-    fields = [(c, F.lit(c)) for c in points.columns]
+    day = F.to_date(F.timestamp_micros("_at"))
     shaped = F.transform(near, lambda c: F.struct(
-        *[c["point"][name].alias(name) for name, _ in fields],
+        *[c["point"][name].alias(name) for name in points.columns],
         (c["fwd"] != F.col("_fwd")).alias("swapped"),
         (F.abs(c["at"] - F.col("_at")) / F.lit(float(MICROS))).alias("delta"),
-        (F.to_date(F.timestamp_micros(c["at"])) == F.col("_day")).alias("same_date"),
-        F.abs(F.datediff(F.to_date(F.timestamp_micros(c["at"])), F.col("_day"))).alias("days")))
-    return seen.where("_kind = 1").select("_probe.*", shaped.alias("near"))
+        (F.to_date(F.timestamp_micros(c["at"])) == day).alias("same_date"),
+        F.abs(F.datediff(F.to_date(F.timestamp_micros(c["at"])), day)).alias("days")))
+    out = seen.where("_kind = 1").select("_probe.*", shaped.alias("near"))
+    # Probes without sides or time share no key with anything: they go round the time line.
+    alone = probes.where(~usable).select("*", F.array().cast(out.schema["near"].dataType).alias("near"))
+    return out.unionByName(alone)
 
 
 def game_slots(games: DataFrame, key: str, kickoff: str, home: str, away: str, neutral: str | None,

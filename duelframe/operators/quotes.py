@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import lines
 from ..functions.numbers import parse_number, to_number
 from ..functions.names import compact_key
 from ..functions.times import parse_utc
-from .prefix import day_bucket
+from .ranges import by_size, ranged_last, spread, window_last
 from .skew import skew_join
 
 
@@ -37,33 +37,29 @@ def asof_history(left: DataFrame, right: DataFrame, by: list[str], cutoff: str,
                  ties: list[str], prefix: str = "asof_") -> DataFrame:
     """As-of join for many cutoffs per key and long histories: no pairs are formed.
 
-    Both sides are laid on one time line per (key, day). Inside a day the last quote seen is
-    carried forward; a second, small pass carries each day's closing quote to later days.
+    Both sides are laid on one time line per key and the last quote seen is carried forward. A key with more rows than one
+    task may sort is dealt by ranges, also where they lie on one day or at one instant. Left rows without key or cutoff
+    find nothing and go round the time line; quotes without key or time are no quotes.
     """
     pay = F.struct(*[F.col(c).alias(f"{prefix}{c}") for c in payload])
-    quotes = right.where(F.col(ts).isNotNull()).select(
-        *by, F.unix_micros(F.col(ts)).alias("_at"), day_bucket(F.col(ts)).alias("_day"), F.lit(0).alias("_kind"),
-        newest_first(ts, ties).alias("_order"), pay.alias("_quote"), F.lit(None).alias("_row"))
-    probes = left.select(
-        *by, F.unix_micros(F.col(cutoff)).alias("_at"), day_bucket(F.col(cutoff)).alias("_day"),
-        F.lit(1).alias("_kind"), F.lit(None).alias("_order"), F.lit(None).alias("_quote"),
-        F.struct(*left.columns).alias("_row"))
-    line = quotes.unionByName(probes)
+    usable = F.col(cutoff).isNotNull()
+    known = F.col(ts).isNotNull()
+    for key in by:
+        usable, known = usable & F.col(key).isNotNull(), known & F.col(key).isNotNull()
+    quotes = right.where(known).select(
+        *by, F.unix_micros(F.col(ts)).alias("_at"), F.lit(0).alias("_kind"), newest_first(ts, ties).alias("_order"),
+        pay.alias("_quote"), F.lit(None).alias("_row"), F.lit(0).cast("long").alias("_spread"))
+    probes = left.where(usable).select(
+        *by, F.unix_micros(F.col(cutoff)).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).alias("_order"),
+        F.lit(None).alias("_quote"), F.struct(*left.columns).alias("_row"), spread(left).alias("_spread"))
     # Within one instant the best quote must come last, and probes after all quotes.
-    day = (Window.partitionBy(*by, "_day").orderBy(F.asc("_at"), F.asc("_kind"), F.desc("_order"))
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = (line.withColumn("_seen", F.last("_quote", ignorenulls=True).over(day))
-              .where("_kind = 1").select(*by, "_day", "_row", "_seen"))
-
-    # Probes whose key has no earlier quote on the same day take the closing quote of the
-    # last earlier day; a (key, day) table is small next to the quotes.
-    closes = quotes.groupBy(*by, "_day").agg(F.min_by("_quote", "_order").alias("_close"))
-    days = probes.select(*by, "_day").distinct().join(closes, [*by, "_day"], "full_outer")
-    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select(*by, "_day", F.last("_close", ignorenulls=True).over(before).alias("_carried"))
-    joined = within.join(carried, [*by, "_day"], "left")
-    return (joined.select("_row.*", F.coalesce("_seen", "_carried").alias("_best"))
-            .select(*left.columns, *[f"_best.{prefix}{c}" for c in payload]))
+    order = [F.asc("_at"), F.asc("_kind"), F.desc("_order"), F.asc("_spread")]
+    seen = by_size(quotes.unionByName(probes), by, lambda rows: window_last(rows, by, order, ["_quote"]),
+                   lambda rows: ranged_last(rows, by, order, ["_quote"]))
+    found = seen.where("_kind = 1").select("_row.*", *[F.col(f"_quote.{prefix}{c}") for c in payload])
+    alone = left.where(~usable)
+    types = {f.name: f.dataType for f in found.schema.fields}
+    return found.unionByName(alone.select(*left.columns, *[F.lit(None).cast(types[f"{prefix}{c}"]).alias(f"{prefix}{c}") for c in payload]))
 
 
 LINE_FIELDS = ["spread_home_relative", "total_points", "moneyline_home", "moneyline_away"]

@@ -5,41 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
-from .prefix import _match, row_numbers
+from .prefix import row_numbers
+from .ranges import by_size, dealt, same_keys
 
 
-#: Rows of a pool that one task may sort. Pools with more are dealt by ranges; both ways give the same numbers.
-POOL_ROWS = 100_000
 #: Rows of range starts that travel with every task; more of them are joined by a shuffle.
 STARTS = 100_000
 
 
-def _dealt(df: DataFrame, pool: list[str], order: list[Column]) -> DataFrame:
-    """Rows dealt by ranges of (pool, order), with the range's number.
-
-    Spark draws the split points from the data, so a pool with a third of all rows and one with a far outlier lie in as
-    many ranges as their rows need.
-    """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(ranges, *[F.col(c) for c in pool], *order).withColumn("_range", F.spark_partition_id())
-
-
 def _from_starts(rows: DataFrame, pool: list[str], parts: DataFrame, start: Column) -> DataFrame:
     """``rows`` with ``_start`` of their pool's part in their range; ``parts`` has one row for each, numbered along the pool."""
     starts = written(parts.select(*pool, "_range", start.alias("_start")), "starts")
     if starts.count() <= STARTS:
         starts = F.broadcast(starts)
-    return rows.alias("r").join(starts.alias("s"), _match([*pool, "_range"], "r", "s")).select("r.*", "_start")
-
-
-def _by_size(df: DataFrame, by: list[str], small, large) -> DataFrame:
-    """``small`` of the pools that one task may sort and ``large`` of the others; ``df`` is written once."""
-    df = written(df, "ranked")
-    big = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > POOL_ROWS).select(*by)
-    if big.isEmpty():
-        return small(df)
-    rows, hot = df.alias("r"), _match(by, "r", "b")
-    return small(rows.join(big.alias("b"), hot, "left_anti")).unionByName(large(rows.join(big.alias("b"), hot, "left_semi")))
+    return rows.alias("r").join(starts.alias("s"), same_keys([*pool, "_range"], "r", "s")).select("r.*", "_start")
 
 
 def pool_numbers(df: DataFrame, pool: list[str], order: list[Column], name: str) -> DataFrame:
@@ -48,8 +27,8 @@ def pool_numbers(df: DataFrame, pool: list[str], order: list[Column], name: str)
     The sorted ranges are written; a row's number is its place in its range plus the rows of its pool in earlier ranges,
     which are counted range by range.
     """
-    dealt = _dealt(df, pool, order).sortWithinPartitions(*[F.col(c) for c in pool], *order)
-    rows = written(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    placed = dealt(df, pool, order).sortWithinPartitions(*[F.col(c) for c in pool], *order)
+    rows = written(placed.withColumn("_place", F.monotonically_increasing_id()), "ranges")
     parts = rows.groupBy(*pool, "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*pool).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
@@ -64,7 +43,7 @@ def pool_dense_numbers(df: DataFrame, pool: list[str], value: str, spread: list[
     ends with counts it once only.
     """
     inside = Window.partitionBy(*pool, "_range").orderBy(value)
-    rows = written(_dealt(df, pool, [F.col(c) for c in [value, *spread]]).withColumn("_in", F.dense_rank().over(inside)), "ranges")
+    rows = written(dealt(df, pool, [F.col(c) for c in [value, *spread]]).withColumn("_in", F.dense_rank().over(inside)), "ranges")
     parts = rows.groupBy(*pool, "_range").agg(F.max("_in").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"))
     along = Window.partitionBy(*pool).orderBy("_range")
     parts = parts.withColumn("_again", F.coalesce((F.lag("_high").over(along) == F.col("_low")).cast("int"), F.lit(0)))
@@ -112,10 +91,10 @@ def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], ke
         cells = rows.select(*by, *key, F.explode(_cells(metrics)).alias("_c")).select(*by, *key, "_c._metric", "_c._v").where(
             "_v IS NOT NULL AND NOT isnan(_v)")
         wide = _wide(pool_dense_numbers(cells, ["_metric", *by], "_v", list(key), "_rank"), [*by, *key], metrics)
-        joined = rows.alias("d").join(wide.alias("w"), _match([*by, *key], "d", "w"), "left")
+        joined = rows.alias("d").join(wide.alias("w"), same_keys([*by, *key], "d", "w"), "left")
         return joined.select("d.*", *[f"{n}_rank" for n in metrics])
 
-    return _by_size(df, by, small, large)
+    return by_size(df, by, small, large, store=True)
 
 
 def ordinal_ranks(df: DataFrame, by: list[str], metrics: dict[str, bool], tie: str) -> DataFrame:
@@ -139,7 +118,7 @@ def ordinal_ranks(df: DataFrame, by: list[str], metrics: dict[str, bool], tie: s
         ranked = numbered.withColumn("_rank", F.when(F.col("_v").isNotNull(), F.col("_rank")))
         return _wide(ranked, [*by, tie], metrics, rest).select(*df.columns, *[f"{n}_rank" for n in metrics])
 
-    return _by_size(df, by, small, large)
+    return by_size(df, by, small, large, store=True)
 
 
 def ordinal_rank(df: DataFrame, by: list[str], value: str, tie: str, name: str, descending: bool = True) -> DataFrame:
@@ -149,8 +128,8 @@ def ordinal_rank(df: DataFrame, by: list[str], value: str, tie: str, name: str,
     def kept(rows: DataFrame, number: Column) -> DataFrame:
         return rows.select(*df.columns, F.when(F.col(value).isNotNull(), number).alias(name))
 
-    return _by_size(df, by, lambda rows: kept(rows, F.row_number().over(Window.partitionBy(*by).orderBy(*order))),
-                    lambda rows: kept(pool_numbers(rows, by, order, "_number"), F.col("_number")))
+    return by_size(df, by, lambda rows: kept(rows, F.row_number().over(Window.partitionBy(*by).orderBy(*order))),
+                   lambda rows: kept(pool_numbers(rows, by, order, "_number"), F.col("_number")), store=True)
 
 
 def contiguous_rank(df: DataFrame, by: list[str], keep: Column, rank: str, tie: str, name: str) -> DataFrame:
@@ -197,27 +176,18 @@ def dedupe_first(df: DataFrame, page: list[str], rank: str, team: str, position:
     return df.groupBy(*page).agg(lines.alias("_lines")).select(F.explode(kept).alias("_row")).select("_row.*")
 
 
-def game_numbers(games: DataFrame, by: list[str], week: str = "wk", kickoff: str = "kickoff",
-                 key: str = "game_id", key_block: int = 65536) -> DataFrame:
-    """Ordinal within the week by kickoff and its display number, week then two digits.
-
-    A week may hold a third of all games: the ordinal is split at every kickoff and at
-    blocks of the (numeric) key.
-    """
-    bucket = F.struct(F.col(kickoff), F.floor(F.col(key) / key_block).alias("block"))
-    out = row_numbers(games, [*by, week], [kickoff, key], bucket, "ordinal")
+def game_numbers(games: DataFrame, by: list[str], week: str = "wk", kickoff: str = "kickoff", key: str = "game_id") -> DataFrame:
+    """Ordinal within the week by kickoff and its display number, week then two digits. A week may hold a third of all games."""
+    out = row_numbers(games, [*by, week], [kickoff, key], "ordinal")
     digits = F.when(F.col("ordinal") < 100, F.lpad(F.col("ordinal").cast("string"), 2, "0")).otherwise(
         F.col("ordinal").cast("string"))
     return out.withColumn("game_number", F.concat(F.col(week).cast("string"), digits))
 
 
-def team_numbers(teams: DataFrame, name: str, by: list[str], prefix: int = 4) -> DataFrame:
-    """Alphabetical number of each distinct name within its league or season.
-
-    Names are split by their first characters, which never decrease along the alphabet.
-    """
+def team_numbers(teams: DataFrame, name: str, by: list[str]) -> DataFrame:
+    """Alphabetical number of each distinct name within its league or season."""
     distinct = teams.select(*by, name).where(F.col(name).isNotNull()).distinct()
-    return row_numbers(distinct, by, [name], F.substring(name, 1, prefix), "team_number")
+    return row_numbers(distinct, by, [name], "team_number")
 
 
 def sorted_output(df: DataFrame, *cols: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import lines
-from .prefix import day_bucket, running_sums
+from .prefix import running_sums
 from .skew import calendar
 
 
@@ -158,7 +158,7 @@ def running_record(team_rows: DataFrame, by: list[str], team: str = "team", kick
     """W-L-T after each scored game, in kickoff order."""
     flags = outcome_flags()
     scored = team_rows.where(F.col("pf").isNotNull() & F.col("pa").isNotNull())
-    return running_sums(scored, [*by, team], [kickoff, tie], day_bucket(kickoff),
+    return running_sums(scored, [*by, team], [kickoff, tie],
                         {"run_w": flags["w"], "run_l": flags["l"], "run_t": flags["t"]}, "through")
 
 
@@ -166,7 +166,7 @@ def record_before(team_rows: DataFrame, by: list[str], team: str = "team", kicko
     """Straight-up and line record before each kickoff; games of the same instant are not seen."""
     flags = outcome_flags()
     timed = team_rows.withColumn("_at", F.unix_micros(F.col(kickoff)))
-    out = running_sums(timed, [*by, team], ["_at"], day_bucket(kickoff),
+    out = running_sums(timed, [*by, team], ["_at"],
                        {f"{n}_before": c for n, c in flags.items()}, "before")
     return out.drop("_at")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import lines
 from ..operators import quotes, ranks, teams
-from ..operators.prefix import day_bucket, running_sums
+from ..operators.prefix import running_sums
 from ..operators.skew import skew_join
 
 METRIC_RANKS = {"ry_pg": True, "py_pg": True, "ty_pg": True, "ry_allowed_pg": False, "py_allowed_pg": False,
@@ -53,7 +53,7 @@ def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str
         flags = {n: F.when(regular, c).otherwise(0) for n, c in flags.items()}
     timed = team_rows.select(key, "site", *by, week, "team", "kickoff", F.unix_micros("kickoff").alias("_at"),
                              *[c.alias(f"_{n}") for n, c in flags.items()])
-    before = running_sums(timed, [*by, "team"], ["_at"], day_bucket("kickoff"),
+    before = running_sums(timed, [*by, "team"], ["_at"],
                           {n: F.col(f"_{n}") for n in flags}, "before")
     rows = before.select(key, "site", *by, week, "team",
                          lines.format_record("w", "l", "t", "su").alias("su"),

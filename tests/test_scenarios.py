@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from duelframe.operators import deltas, joins, matching, merge, nested, quality, quotes, ranks, ratings, skew, teams
+from duelframe.operators import deltas, joins, matching, merge, nested, quality, quotes, ranges, ranks, ratings, skew, teams
 from duelframe.sources import files
 
 
@@ -411,7 +411,7 @@ def test_ranks_span_a_whole_pool(spark, monkeypatch, pool_rows):
 
     from duelframe.operators import ranks
 
-    monkeypatch.setattr(ranks, "POOL_ROWS", pool_rows)
+    monkeypatch.setattr(ranges, "POOL_ROWS", pool_rows)
     # 400 teams of one pool, a third of them with one value, some without any, two infinite.
     inf = float("inf")
     data = [(t, None if t % 10 == 9 else inf if t == 5 else -inf if t == 8 else 7.0 if t % 3 == 0 else (t * 37 % 101) / 4) for t in range(400)]
@@ -436,7 +436,7 @@ def test_a_hot_pool_beside_small_ones(spark, monkeypatch):
     df = spark.createDataFrame(rows, "s int, team int, v double, u int")
     out = []
     for pool_rows in (1000, 60, 0):
-        monkeypatch.setattr(ranks, "POOL_ROWS", pool_rows)
+        monkeypatch.setattr(ranges, "POOL_ROWS", pool_rows)
         dense = ranks.dense_rank_league(df, ["s"], {"v": True, "u": False})
         out.append([sorted(map(repr, x.collect())) for x in (dense, ranks.ordinal_ranks(df, ["s"], {"v": True, "u": False}, "team"),
                                                             ranks.contiguous_rank(df, ["s"], F.col("u") > 3, "u", "team", "n"))])
@@ -448,10 +448,10 @@ def test_an_outlier_does_not_fill_one_range(spark):
 
     df = spark.range(200_000).select(F.lit(1).alias("s"), F.col("id").alias("team"),
                                      F.when(F.col("id") == 0, 1e12).otherwise(F.rand(3)).alias("v"))
-    sizes = [r["count"] for r in ranks._dealt(df, ["s"], [F.col("v"), F.col("team")]).groupBy("_range").count().collect()]
+    sizes = [r["count"] for r in ranges.dealt(df, ["s"], [F.col("v"), F.col("team")]).groupBy("_range").count().collect()]
     assert sum(sizes) == 200_000 and max(sizes) <= 2 * 200_000 / len(sizes) and len(sizes) >= 7
     # The same with one value for all: the tie splits it.
-    same = ranks._dealt(df.withColumn("v", F.lit(1.0)), ["s"], [F.col("v"), F.col("team")]).groupBy("_range").count().collect()
+    same = ranges.dealt(df.withColumn("v", F.lit(1.0)), ["s"], [F.col("v"), F.col("team")]).groupBy("_range").count().collect()
     assert max(r["count"] for r in same) <= 2 * 200_000 / len(same)
 
 
