@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load_catalog():
     from . import registry
-    from . import gates, quotes, scalar, teams, views  # noqa: F401
+    from . import gates, quotes, scalar, tables, teams, views  # noqa: F401
 
     return registry.QUERIES, registry.CHECKS

@@ -188,8 +188,3 @@ def team_numbers(teams: DataFrame, name: str, by: list[str]) -> DataFrame:
     """Alphabetical number of each distinct name within its league or season."""
     distinct = teams.select(*by, name).where(F.col(name).isNotNull()).distinct()
     return row_numbers(distinct, by, [name], "team_number")
-
-
-def sorted_output(df: DataFrame, *cols: str) -> DataFrame:
-    """Stable file order: sorted inside each output partition, no global sort."""
-    return df.sortWithinPartitions(*cols)

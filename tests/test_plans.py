@@ -10,7 +10,7 @@ from duelframe.plans import adapters as A
 
 SF = "/root/testdata/sf0.001"
 # Queries that write or stream run when they are built; the rest only plan.
-SINKS = {"scan_games", "week_partitions", "week_sink", "staging_append", "timeline_sink", "stream_odds", "stream_quotes",
+SINKS = {"scan_games", "week_partitions", "week_sink", "staging_append", "timeline_sink", "changed_weeks", "sorted_output", "stream_odds", "stream_quotes",
          "stream_week_windows", "stream_pin", "late_scores", "late_finals"}
 
 
