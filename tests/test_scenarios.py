@@ -313,6 +313,18 @@ def test_backfill_only_touches_the_lookback(spark):
     assert over[3] == (7, "updated")
 
 
+def test_backfill_scores_query_looks_twenty_weeks_back(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    # One game a week from Monday 2024-01-01; the scores of all are missing in the stored rows.
+    spark.sql("""SELECT 7L * w AS o_orderkey, 8L AS o_custkey, to_timestamp(date_add(DATE'2024-01-01', 7 * (w - 1))) AS o_orderdate, 'F' AS o_orderstatus,
+                        CAST(100 AS DECIMAL(15, 2)) AS o_totalprice, '1-URGENT' AS o_orderpriority FROM (SELECT explode(sequence(1, 50)) AS w)"""
+              ).write.parquet(f"{tmp_path}/orders.parquet")
+    out = {r.game_id // 7: r.score_status for r in entry.queries()["backfill_scores"](spark, str(tmp_path)).collect()}
+    # Games with a key of 4 modulo 9 and other than 3 modulo 11 are only in the rebuilt rows.
+    assert out == {w: "updated" for w in range(30, 50) if 7 * w % 9 != 4 or 7 * w % 11 == 3}
+
+
 def test_one_to_one_join_fails_on_duplicates(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     good = spark.createDataFrame([(1, "a")], "k int, v string")
