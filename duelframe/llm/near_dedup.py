@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as t
-from .storage import Stored, components, spread_join
+from .storage import Stored, components, few_tasks, spread_join
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -39,6 +39,9 @@ PERCENT = 75
 #: Keys of candidates that are sent to all tasks at most (8 bytes each); more of them meet the texts in a shuffle.
 SENT_IDS = 2_000_000
 
+#: Rows of a task that carry sketches or whole shingle sets.
+WIDE_ROWS = 4_000
+
 _RNG = np.random.default_rng(75)
 _XOR = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 _ODD = _RNG.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -144,11 +147,11 @@ def screen(n_a, n_b, sketch_a, sketch_b):
     return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (odd <= most)
 
 
-def _screened(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) that the screen lets through; known has the sizes and sketches."""
+def _screened(pairs: DataFrame, known: DataFrame, rows: int) -> DataFrame:
+    """The candidate pairs (a, b), about ``rows``, that the screen lets through; known has the sizes and sketches."""
     one = known.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     two = known.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
-    return pairs.join(one, "a").join(two, "b").where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
+    return few_tasks(few_tasks(pairs.join(one, "a"), rows, WIDE_ROWS).join(two, "b"), rows, WIDE_ROWS).where(screen(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
 
 
 def _verified(store: Stored, docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -157,18 +160,20 @@ def _verified(store: Stored, docs: DataFrame, classes: DataFrame, pairs: DataFra
     The text of a class is fetched by the key of its first row; texts of other classes that share the key have another digest.
     """
     likely = store.save(pairs)
-    if likely.isEmpty():
+    n_pairs = likely.count()
+    if not n_pairs:
         return likely
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    wanted = store.save(classes.select("node", "digest", F.col("first.key").alias("key")).join(nodes, "node"))
-    keys = wanted.select("key")
-    if wanted.count() <= SENT_IDS:
+    nodes = few_tasks(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), 2 * n_pairs)
+    wanted = store.save(few_tasks(classes.select("node", "digest", F.col("first.key").alias("key")).join(nodes, "node"), 2 * n_pairs))
+    keys, n_wanted = wanted.select("key"), wanted.count()
+    if n_wanted <= SENT_IDS:
         keys = F.broadcast(keys)
     texts = _row_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(keys, "key", "left_semi")
-    sets = store.save(_sets(texts).join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "items"))
-    links = store.save(likely.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-                       .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-                       .select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"))
+    found = few_tasks(_sets(texts).join(wanted.select("node", "digest"), "digest"), n_wanted, WIDE_ROWS)
+    sets = store.save(few_tasks(found.dropDuplicates(["node"]), n_wanted, WIDE_ROWS).select("node", "items"))
+    left = few_tasks(likely.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a"), n_pairs, WIDE_ROWS)
+    both = few_tasks(left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"), n_pairs, WIDE_ROWS)
+    links = store.save(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"))
     store.drop(likely, sets, wanted)
     return links
 
@@ -177,30 +182,39 @@ def _components(spark: SparkSession, store: Stored, docs: DataFrame, classes: Da
     """(node, component) of the classes that are linked with others; classes has node, n_shingles, bands and sketch."""
     known = classes.select("node", "n_shingles", "bands", "sketch")
     bands = known.select("node", F.posexplode("bands").alias("nth", "band"))
-    crowded = bands.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    shared = store.save(bands.join(crowded, "band"))
-    score = shared.groupBy("node").agg(F.sum("crowd").alias("score"))
-    lead = shared.join(score, "node").groupBy("band").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("lead"))
-    pairs = shared.join(lead, "band").where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
-    links = _verified(store, docs, classes, _screened(pairs.distinct(), known))
+    n_classes = known.count()
+    crowded = few_tasks(bands.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1"), BANDS * n_classes)
+    shared = store.save(few_tasks(bands.join(crowded, "band"), BANDS * n_classes))
+    n_shared = shared.count()
+    score = few_tasks(shared.groupBy("node").agg(F.sum("crowd").alias("score")), n_shared)
+    scored = few_tasks(shared.join(score, "node"), n_shared)
+    lead = few_tasks(scored.groupBy("band").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("lead")), n_shared)
+    pairs = few_tasks(shared.join(lead, "band"), n_shared).where("node <> lead").select(
+        F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    # Each class meets few leaders, mostly that of all its bands.
+    links = _verified(store, docs, classes, _screened(few_tasks(pairs.distinct(), n_shared), known, 2 * n_classes))
     found = components(spark, links, store)
     for last in (False, True):
         # Buckets that still hold several components.
-        held = shared.join(found, "node", "left").select("band", "nth", "node", F.coalesce("component", "node").alias("component"))
-        apart = held.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                         F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("lead")).where("c0 < c1")
+        held = few_tasks(shared.join(found, "node", "left"), n_shared).select(
+            "band", "nth", "node", F.coalesce("component", "node").alias("component"))
+        apart = few_tasks(held.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by(
+            F.struct("node", "component"), F.xxhash64("node")).alias("lead")).where("c0 < c1"), n_shared)
         if not last:
-            pairs = held.join(apart, "band").where("component <> lead.component").select(
+            pairs = few_tasks(held.join(apart, "band"), n_shared).where("component <> lead.component").select(
                 F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
-            pairs = _screened(pairs.distinct(), known)
+            pairs = _screened(few_tasks(pairs.distinct(), n_shared), known, 2 * n_classes)
         else:
-            left = store.save(held.join(apart.select("band"), "band", "left_semi").join(known, "node"))
+            open_ = store.save(few_tasks(held.join(apart.select("band"), "band", "left_semi"), n_shared))
+            n_open = open_.count()
+            left = store.save(few_tasks(open_.join(known, "node"), n_open, WIDE_ROWS))
+            store.drop(open_)
             x, y = left.alias("x"), left.alias("y")
             # A pair meets in the first of the bands it shares only.
             first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.nth") + 1
             pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component")) & first
                            & screen(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.sketch"), F.col("y.sketch")))
-            pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+            pairs = few_tasks(pairs, n_open, WIDE_ROWS).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         more = _verified(store, docs, classes, pairs)
         if not more.isEmpty():
             links = store.save(links.union(more))
@@ -217,9 +231,9 @@ def _grouped(spark: SparkSession, store: Stored, docs: DataFrame) -> DataFrame:
     marks = store.save(signatures(docs))
     rows = store.save(marks.select("doc_id", "key", "check", "n_shingles", "digest"))
     head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "check")).alias("first")
-    classes = store.save(marks.where("digest is not null").groupBy("digest")
-                         .agg(head, F.count("*").alias("n_rows"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")))
-                         .withColumn("node", F.monotonically_increasing_id()))
+    sets = marks.where("digest is not null").groupBy("digest").agg(
+        head, F.count("*").alias("n_rows"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")))
+    classes = store.save(few_tasks(sets, rows.count(), WIDE_ROWS).withColumn("node", F.monotonically_increasing_id()))
     store.drop(marks)
     found = _components(spark, store, docs, classes)
     narrow = classes.select("node", "digest", "n_rows", "first")

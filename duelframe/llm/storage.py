@@ -48,6 +48,19 @@ class Stored:
         jvm.System.gc()
 
 
+#: Narrow rows of a task; tables with fewer rows than tasks of this size take fewer tasks.
+TASK_ROWS = 50_000
+
+
+def few_tasks(df: DataFrame, rows: int, per: int = TASK_ROWS) -> DataFrame:
+    """df, which comes out of a shuffle of about ``rows`` rows, in tasks of ``per`` rows, four at least.
+
+    Larger tables, which would take as many tasks as there are shuffle partitions, stay as they are. All rows stay in any case.
+    """
+    tasks = max(4, -(-rows // per))
+    return df.coalesce(tasks) if tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -77,24 +90,26 @@ def components(spark: SparkSession, edges: DataFrame, store: Stored) -> DataFram
     """(node, component) of every node of the undirected edges (a, b); component is its smallest reachable node.
 
     Alternates the large-star and small-star steps until the edges are stars; each step is a grouped minimum and a join,
-    and the edges of each round are written. Empty edges give an empty table.
+    and the edges of each round are written. A round takes tasks in proportion to the written edges, which are counted first.
+    Empty edges give an empty table.
     """
-    current = store.save(edges.select("a", "b").where("a <> b").distinct())
+    n = edges.count()
+    current = store.save(few_tasks(edges.select("a", "b").where("a <> b").distinct(), n))
     seen = None
     while True:
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).union(current.select("b", "a"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = (down.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        low = few_tasks(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), 2 * n)
+        large = few_tasks(both.where("v > u").join(low, "u"), 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        down = few_tasks(large.distinct(), n).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+        least = few_tasks(down.groupBy("u").agg(F.min("v").alias("m")), n)
+        small = (few_tasks(down.join(least, "u"), n).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
                  .union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
-        after = store.save(small)
+        after = store.save(few_tasks(small, n))
         now = after.agg(F.count("*"), F.sum(F.hash("a", "b"))).first()
         store.drop(current)
         current = after
         if now == seen:
             break
-        seen = now
+        seen, n = now, now[0]
     stars = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return stars.union(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

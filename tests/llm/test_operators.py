@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -420,6 +422,31 @@ def test_components(spark):
     assert {(r.node, r.component) for r in got} == {(i, 0) for i in range(31)} | {(i, 100) for i in (100, 101, 102)}
 
 
+def test_components_of_small_tables_take_few_tasks(spark):
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    files = []
+
+    class Watched(storage.Stored):
+        def save(self, df):
+            out = super().save(df)
+            files.append(len(out.inputFiles()))
+            return out
+
+    edges = spark.createDataFrame([(10 * i, 10 * i + k) for i in range(100) for k in (1, 2, 3)], "a long, b long")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = storage.components(spark, edges, Watched(spark, "test")).collect()
+        assert {(r.node, r.component) for r in got} == {(10 * i + k, 10 * i) for i in range(100) for k in range(4)}
+        assert max(files) <= 4
+        # More rows than the shuffle's tasks hold keep all of these.
+        assert storage.few_tasks(edges.repartition("a"), 300, 1).rdd.getNumPartitions() == 64
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
