@@ -447,6 +447,40 @@ def test_components_of_small_tables_take_few_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_texts_outside_of_groups_are_not_shuffled(spark, monkeypatch):
+    family = " ".join(f"w{k}" for k in range(60))
+    docs = docs_of(spark, [family, family + " x", family, *(f"other text number {i} of its own kind {i * i}" for i in range(20)), None])
+    whole = sorted(r.doc_id for r in near_dedup.keep_one(spark, docs).collect())
+    assert whole == [0, *range(3, 24)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        kept = near_dedup.keep_one(spark, docs)
+        assert "BroadcastHashJoin LeftAnti" in kept._sc._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+        assert sorted(r.doc_id for r in kept.collect()) == whole
+        monkeypatch.setattr(near_dedup, "SENT_IDS", 0)
+        assert sorted(r.doc_id for r in near_dedup.keep_one(spark, docs).collect()) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("packed", [1, 1 << 20])
+def test_packed_documents_are_whole_and_smaller(monkeypatch, packed):
+    monkeypatch.setattr(suffix_dedup, "PACKED", packed)
+    n = 3000
+    rows = pa.table({"doc_id": pa.array(range(n)), "text": [None if i % 7 == 0 else f"some words of text {i % 11} " * 20 for i in range(n)],
+                     "block": pa.array([(i * 37 % n) // 512 for i in range(n)]), "carried_lang": pa.array([None if i % 3 else "en" for i in range(n)])})
+    out = [b for b in suffix_dedup._packs(iter(rows.to_batches(max_chunksize=700)))]
+    table = pa.Table.from_batches(out)
+    assert table.nbytes < rows.nbytes / 4
+    got = []
+    for block in set(table.column("block").to_pylist()):
+        part = suffix_dedup._unpack(table.filter(pc.equal(table.column("block"), block)))
+        assert part.schema == rows.schema and set(part.column("block").to_pylist()) == {block}
+        got += part.to_pylist()
+    assert sorted(got, key=lambda r: r["doc_id"]) == rows.to_pylist()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
