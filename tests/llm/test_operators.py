@@ -481,6 +481,29 @@ def test_packed_documents_are_whole_and_smaller(monkeypatch, packed):
     assert sorted(got, key=lambda r: r["doc_id"]) == rows.to_pylist()
 
 
+@pytest.mark.parametrize("keys", [[], [0], [7, 7, 2**32 - 1, 0, 5], sorted(hash((i, "k")) % 2**32 for i in range(5000))])
+def test_packed_keys_are_whole(keys):
+    keys = np.array(keys, np.uint32)
+    blob = suffix_dedup._packed_keys(keys)
+    back = suffix_dedup._unpacked_keys(blob)
+    assert back.dtype == np.uint32 and back.tolist() == keys.tolist()
+    assert len(keys) < 5000 or len(blob) < 0.8 * keys.nbytes
+
+
+def test_documents_travel_once_for_stretches_and_removal(spark):
+    passage = "".join(f"p{i} " for i in range(40))
+    texts = [None, "", "short", *(f"{i} {passage}{i * i}" for i in range(40))]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = suffix_dedup.remove_repeats(spark, docs_of(spark, texts), carry=True)
+        plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+        assert re.search(r"\(\d+\) ReusedExchange \[Reuses operator id: \d+\]\nOutput \[\d+\]: \[.*docs#\d+\]", plan)
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == brute_repeats(texts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
