@@ -29,7 +29,7 @@ def running_sums(df: DataFrame, group: list[str], order: list[str], sums: dict[s
             totals = {n: F.sum(v).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for n, v in zip(sums, values)}
         else:
             # Equal values are peers of a range frame: all up to the instant, less the instant's own.
-            same = Window.partitionBy(*group, order[0])
+            same = window.rangeBetween(Window.currentRow, Window.currentRow)
             totals = {n: F.sum(v).over(window.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.sum(v).over(same)
                       for n, v in zip(sums, values)}
         return rows.select(*df.columns, *[c.alias(n) for n, c in totals.items()])
