@@ -490,6 +490,62 @@ def test_packed_keys_are_whole(keys):
     assert len(keys) < 5000 or len(blob) < 0.8 * keys.nbytes
 
 
+def repeats_over_blocks(blocks):
+    """Three documents in each block, the first one far below zero: their own words, parts of one passage, near copies of it."""
+    rng = np.random.default_rng(3)
+    words = [f"w{rng.integers(10**6)}" for _ in range(200)]
+    texts = []
+    for i in range(3 * blocks):
+        some = words[rng.integers(150):][:60]
+        some[rng.integers(len(some))] = f"new{i % 5}"
+        texts.append(f"{i} {' '.join(some)} {i * i} " + " ".join(words[(i * 7) % 90:][:90]) + "é" * (i % 3))
+    ids = [(i // 3 - blocks // 2) * suffix_dedup.BLOCK_DOCS + i % 3 * 200 for i in range(3 * blocks)]
+    return ids, texts, [(ids[i], *rest) for i, *rest in brute_repeats(texts)]
+
+
+@pytest.mark.parametrize("hot, hot_docs", [(256, 1 << 17), (2, 1 << 17), (256, 5)])
+def test_stretches_of_many_blocks_are_matched_whole(monkeypatch, hot, hot_docs):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_DOCS", hot_docs)
+    parts = 16
+    ids, texts, want = repeats_over_blocks(20)
+    docs = pa.table({"doc_id": pa.array(ids), "text": texts, "block": pa.array([i // suffix_dedup.BLOCK_DOCS for i in ids])})
+    keys = [pa.Table.from_batches(suffix_dedup._block_keys(parts)(iter(docs.slice(at, 6).to_batches()))) for at in range(0, len(ids), 6)]
+    shared = pa.Table.from_batches(suffix_dedup._shared_keys(iter(pa.concat_tables(keys).to_batches())))
+    none = pa.nulls(len(shared))
+    shared = shared.append_column("copy", none.cast(pa.int64())).append_column("digest", none.cast(pa.binary()))
+    one = lambda x, block: x.filter(pc.equal(x.column("block"), block))
+    blocks = sorted(set(docs.column("block").to_pylist()))
+    sent = pa.concat_tables([suffix_dedup._send_stretches(parts)(one(docs, b), one(shared, b)) for b in blocks])
+    buckets = sorted(set(sent.column("bucket").to_pylist()))
+    answers = [pa.Table.from_batches(out) for b in buckets
+               if (out := list(suffix_dedup._match(iter(sent.filter(pc.equal(sent.column("bucket"), b)).to_batches()))))]
+    assert all(len(set(x.column("block").to_pylist())) == len(x) for x in answers)
+    answers = pa.concat_tables([*answers, shared.select(["block", "bucket", "hot", "copy", "digest"])], promote_options="default")
+    got = pa.concat_tables([suffix_dedup._remove(parts, [])(one(docs, b), one(answers, b)) for b in blocks]).to_pylist()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
+
+
+def test_stretches_and_answers_take_few_rows(spark):
+    ids, texts, want = repeats_over_blocks(40)
+    old = {x: spark.conf.get(x) for x in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "6")
+        out = suffix_dedup.remove_repeats(spark, spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"))
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == want
+        todo, rows = [out._jdf.queryExecution().executedPlan()], []
+        while todo:
+            node = todo.pop()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Exchange":
+                rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        assert len(rows) >= 4 and max(rows) <= 2 * 40 * 6  # a row for each block and bucket at most, besides its keys
+    finally:
+        for x, value in old.items():
+            spark.conf.set(x, value)
+
+
 def test_documents_travel_once_for_stretches_and_removal(spark):
     passage = "".join(f"p{i} " for i in range(40))
     texts = [None, "", "short", *(f"{i} {passage}{i * i}" for i in range(40))]
