@@ -48,3 +48,10 @@ def test_arrays_are_counted_where_they_are_cut(spark):
         want = [seen(sides[0], True), seen(sides[1], True), seen(sides[0], False), seen(sides[1], False)]
         assert [r[1:] for r in got if r.game_id == key] == [tuple(want)] * max(len(same), 1)
     assert all(r.home_ytd == sorted(r.home_ytd, key=lambda e: e.kickoff) for r in whole.where("game_id <> 5").collect())
+
+
+def test_timeline_documents_are_compressed(spark, tmp_path):
+    df = spark.range(50).select("id", F.array_repeat(F.struct(F.lit("2025-09-06").alias("date"), F.col("id").alias("opp")), 20).alias("home_ytd"))
+    files.write_timelines(df, f"{tmp_path}/t")
+    assert glob.glob(f"{tmp_path}/t/*.json.gz") and not glob.glob(f"{tmp_path}/t/*.json")
+    assert sorted(map(repr, spark.read.schema(df.schema).json(f"{tmp_path}/t").collect())) == sorted(map(repr, df.collect()))
