@@ -55,3 +55,8 @@ def test_timeline_documents_are_compressed(spark, tmp_path):
     files.write_timelines(df, f"{tmp_path}/t")
     assert glob.glob(f"{tmp_path}/t/*.json.gz") and not glob.glob(f"{tmp_path}/t/*.json")
     assert sorted(map(repr, spark.read.schema(df.schema).json(f"{tmp_path}/t").collect())) == sorted(map(repr, df.collect()))
+
+
+def test_record_moves_counts_and_no_entries(spark):
+    text = plan(entry.queries()["timeline_record"](spark, SF))
+    assert "Generate" not in text and "collect_list" not in text
