@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
 
-#: Rows of a group that one task may sort. Groups with more are dealt by ranges; both ways give the same results.
-POOL_ROWS = 100_000
+#: Rows of a group that one task may sort (some 100 bytes each, and sorts spill). Groups with more are dealt by ranges, which
+#: writes and shuffles their rows several times; both ways give the same results.
+POOL_ROWS = 1_000_000
 
 
 def same_keys(keys: list[str], left: str, right: str) -> Column:

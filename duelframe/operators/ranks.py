@@ -74,12 +74,19 @@ def _wide(ranked: DataFrame, keys: list[str], metrics: dict[str, bool], carried:
                                      *[F.max(F.when(F.col("_metric") == n, F.col("_rank"))).alias(f"{n}_rank") for n in metrics])
 
 
-def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], key: tuple[str, ...] = ("team",)) -> DataFrame:
+def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], key: tuple[str, ...] = ("team",),
+                      derived: dict[str, Column] | None = None, store: bool = True) -> DataFrame:
     """Dense rank per metric (True: high is better) over the whole pool of ``by``. Nulls and NaN get no rank.
 
-    ``df`` has one row per pool and ``key``. Values are compared as doubles.
+    ``df`` has one row per pool and ``key``. Values are compared as doubles. ``derived`` adds columns that are worked out
+    where the rows of a pool have met, so that they are not shuffled. Without ``store`` the pools are counted from ``df``
+    itself, which pays where it is quickly made from few rows.
     """
+    derived = derived or {}
+
     def small(rows: DataFrame) -> DataFrame:
+        if derived:
+            rows = rows.repartition(*by).withColumns(derived)
         out = []
         for name, high in metrics.items():
             value = F.nanvl(_sortable(name, high)[1], F.lit(None).cast("double"))
@@ -88,13 +95,14 @@ def dense_rank_league(df: DataFrame, by: list[str], metrics: dict[str, bool], ke
         return rows.select("*", *out)
 
     def large(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns(derived) if derived else rows
         cells = rows.select(*by, *key, F.explode(_cells(metrics)).alias("_c")).select(*by, *key, "_c._metric", "_c._v").where(
             "_v IS NOT NULL AND NOT isnan(_v)")
         wide = _wide(pool_dense_numbers(cells, ["_metric", *by], "_v", list(key), "_rank"), [*by, *key], metrics)
         joined = rows.alias("d").join(wide.alias("w"), same_keys([*by, *key], "d", "w"), "left")
         return joined.select("d.*", *[f"{n}_rank" for n in metrics])
 
-    return by_size(df, by, small, large, store=True)
+    return by_size(df, by, small, large, store=store)
 
 
 def ordinal_ranks(df: DataFrame, by: list[str], metrics: dict[str, bool], tie: str) -> DataFrame:

@@ -80,34 +80,40 @@ def weekly_totals(team_rows: DataFrame, sums: dict[str, Column], by: list[str],
         *[F.sum(F.coalesce(c, F.lit(0))).alias(n) for n, c in sums.items()])
 
 
-def week_grid(weekly: DataFrame, by: list[str], week: str = "wk", team: str = "team",
-              last_week: DataFrame | None = None) -> DataFrame:
-    """Every team of a season with every week up to the season's last, bye weeks included.
-
-    Weeks start at 1, or at the team's own first week if that is earlier.
-    """
-    if last_week is None:
-        last_week = weekly.groupBy(*by).agg(F.max(week).alias("_last"))
-    teams = weekly.groupBy(*by, team).agg(F.min(week).alias("_first"))
-    return (teams.join(calendar(last_week), by)
-            .select(*by, team, F.explode(F.sequence(F.least(F.lit(1), "_first"), F.greatest(F.lit(1), "_last"))).alias(week)))
-
-
 def to_date(weekly: DataFrame, sums: list[str], by: list[str], week: str = "wk", team: str = "team",
-            last_week: DataFrame | None = None) -> DataFrame:
+            last_week: DataFrame | None = None, played: str | None = None) -> DataFrame:
     """Totals over earlier weeks only, for every (season, team, week).
 
-    Grid rows are added to the weekly rows as zeros and one window sums over both; only the
-    grid rows are kept. A frame that ends a week earlier never sees its own week, so no join
-    of grid and totals is needed.
+    Every team of a season has every week up to the season's last, bye weeks included; weeks start at 1, or at the team's
+    own first week if that is earlier. A weekly row's running totals hold from the week after it to the team's next one, so
+    they are repeated over these weeks in the task that summed them, and only weekly rows are shuffled and sorted.
+    ``played`` names a flag for the weeks that ``weekly`` has.
     """
-    grid = week_grid(weekly, by, week, team, last_week)
-    both = (weekly.select(*by, team, week, *sums, F.lit(False).alias("_grid"))
-            .unionByName(grid.withColumn("_grid", F.lit(True)), allowMissingColumns=True))
-    prior = (Window.partitionBy(*by, team).orderBy(week)
-             .rangeBetween(Window.unboundedPreceding, -1))
-    summed = both.select(*by, team, week, "_grid", *[F.coalesce(F.sum(s).over(prior), F.lit(0)).alias(s) for s in sums])
-    return summed.where("_grid").drop("_grid")
+    if last_week is None:
+        last_week = weekly.groupBy(*by).agg(F.max(week).alias("_last"))
+    own = Window.partitionBy(*by, team).orderBy(week)
+    run = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = weekly.join(calendar(last_week), by).select(
+        *by, team, F.col(week), F.greatest(F.lit(1), "_last").alias("_end"), *[F.sum(s).over(run).alias(s) for s in sums],
+        F.lead(week).over(own).alias("_next"), F.lead(F.lit(1)).over(own).isNull().alias("_is_last"),
+        (F.row_number().over(own) == 1).alias("_is_first"))
+
+    def span(low: Column, high: Column, ok: Column, zero: bool) -> Column:
+        weeks = F.when(ok & (low <= high), F.sequence(low, high)).otherwise(F.array())
+        return F.transform(weeks, lambda w: F.struct(w.alias("_w"), F.lit(zero).alias("_zero"), w.eqNullSafe(
+            F.col(week) if zero else F.col("_next")).alias("_played")))
+
+    known, end = F.col(week).isNotNull(), F.col("_end")
+    upto = F.least(F.col("_next"), end)
+    # Nothing is known before the first week; totals without a week come before all weeks.
+    spans = F.concat(
+        span(F.least(F.lit(1), F.col(week)), F.least(F.col(week), end), known & F.col("_is_first"), True),
+        span(F.when(known, F.col(week) + 1).otherwise(F.least(F.lit(1), "_next")), upto,
+             known | F.col("_next").isNotNull() | F.col("_is_last"), False))
+    grid = placed.select(*by, team, *sums, F.explode(spans).alias("_s"))
+    return grid.select(*by, team, F.col("_s._w").alias(week),
+                       *[F.coalesce(F.when(~F.col("_s._zero"), F.col(s)), F.lit(0)).alias(s) for s in sums],
+                       *([F.col("_s._played").alias(played)] if played else []))
 
 
 def season_to_date(team_rows: DataFrame, stats: list[str], by: list[str], week: str = "wk",

@@ -16,36 +16,48 @@ METRICS = ["gp", "pf_pg", "pa_pg", "ry_pg", "py_pg", "ty_pg", "ry_allowed_pg", "
 RATING_COLUMNS = ("pr", "pr_rank", "sos", "sos_rank")
 
 
+STATS = ["rush", "pass", "turnovers", "opp_rush", "opp_pass", "opp_turnovers", "pf", "pa"]
+
+
+def means(prefix: str = "") -> dict[str, F.Column]:
+    """Per-game means of season-to-date totals."""
+    def total(name: str) -> F.Column:
+        return F.col(f"{prefix}{name}")
+
+    sums = {"pf_pg": total("pf"), "pa_pg": total("pa"), "ry_pg": total("rush"), "py_pg": total("pass"),
+            "ty_pg": total("rush") + total("pass"), "ry_allowed_pg": total("opp_rush"), "py_allowed_pg": total("opp_pass"),
+            "ty_allowed_pg": total("opp_rush") + total("opp_pass"), "to_margin_pg": total("opp_turnovers") - total("turnovers")}
+    return {n: F.try_divide(c, total("gp")) for n, c in sums.items()}
+
+
+def league_totals(team_rows: DataFrame, by: list[str], week: str = "wk", league: F.Column | None = None) -> DataFrame:
+    """Totals over earlier weeks with their means and league ranks, for every week of every season; ``_played`` marks the
+    weeks in which the team has rows."""
+    weekly = teams.weekly_totals(team_rows, {s: F.col(s) for s in STATS}, by, week)
+    totals = teams.to_date(weekly, ["gp", *STATS], by, week, played="_played")
+    if league is not None:
+        totals = totals.withColumn("league", league)
+    pool = [*by, week] if league is None else ["league", *by, week]
+    return ranks.dense_rank_league(totals, pool, METRIC_RANKS, derived=means(), store=False)
+
+
 def league_metrics(team_rows: DataFrame, by: list[str], week: str = "wk", league: F.Column | None = None) -> DataFrame:
     """Per-game means over earlier weeks with league ranks, for every week of every season.
 
     ``team_rows`` carries rush, pass and turnovers of both sides next to the points. ``league``
     tells a team's league, so that a rank window is only as long as one league has teams.
     """
-    stats = ["rush", "pass", "turnovers", "opp_rush", "opp_pass", "opp_turnovers", "pf", "pa"]
-    base = teams.season_to_date(team_rows, stats, by, week)
-
-    def mean(c) -> F.Column:
-        return F.try_divide(c, F.col("gp"))
-
-    wide = base.select(
-        *by, "team", week, "gp", F.col("pf").alias("pf_total"), F.col("pa").alias("pa_total"),
-        F.col("pf_pg"), F.col("pa_pg"), F.col("rush_pg").alias("ry_pg"), F.col("pass_pg").alias("py_pg"),
-        mean(F.col("rush") + F.col("pass")).alias("ty_pg"), F.col("opp_rush_pg").alias("ry_allowed_pg"),
-        F.col("opp_pass_pg").alias("py_allowed_pg"),
-        mean(F.col("opp_rush") + F.col("opp_pass")).alias("ty_allowed_pg"),
-        mean(F.col("opp_turnovers") - F.col("turnovers")).alias("to_margin_pg"))
-    if league is None:
-        return ranks.dense_rank_league(wide, [*by, week], METRIC_RANKS)
-    return ranks.dense_rank_league(wide.withColumn("league", league), ["league", *by, week], METRIC_RANKS)
+    return league_totals(team_rows, by, week, league).select(
+        *by, "team", week, "gp", F.col("pf").alias("pf_total"), F.col("pa").alias("pa_total"), *means(),
+        *([] if league is None else ["league"]), *[f"{m}_rank" for m in METRIC_RANKS])
 
 
 def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str = "wk", key: str = "game_id",
               league: F.Column | None = None) -> DataFrame:
-    """One row per game and side: records before kickoff, week metrics and week ratings.
+    """One row per game and side: records before kickoff, week totals with ranks, and week ratings.
 
-    Records count regular games only (a missing type is regular). Metrics and ratings are
-    joined once, on the team-week, for both sides together.
+    Records count regular games only (a missing type is regular). Totals and ratings are
+    joined once, on the team-week, for both sides together; totals of weeks without a game stay behind.
     """
     flags = teams.outcome_flags()
     if "game_type" in team_rows.columns:
@@ -58,8 +70,8 @@ def side_rows(team_rows: DataFrame, ratings: DataFrame, by: list[str], week: str
     rows = before.select(key, "site", *by, week, "team",
                          lines.format_record("w", "l", "t", "su").alias("su"),
                          lines.format_record("ats_w", "ats_l", "ats_p", "ats").alias("ats"))
-    metrics = league_metrics(team_rows, by, week, league).select(
-        *by, week, "team", *METRICS, *[f"{m}_rank" for m in METRIC_RANKS])
+    metrics = league_totals(team_rows, by, week, league).where("_played").select(
+        *by, week, "team", "gp", *STATS, *[f"{m}_rank" for m in METRIC_RANKS])
     rating_cols = [c for c in RATING_COLUMNS if c in ratings.columns]
     rows = skew_join(rows, metrics, [*by, week, "team"], "left")
     return skew_join(rows, ratings.select(*by, week, "team", *rating_cols), [*by, week, "team"], "left")
@@ -76,10 +88,13 @@ def game_view(games: DataFrame, team_rows: DataFrame, pinned: DataFrame, ratings
     sides = side_rows(team_rows, ratings, by, week, key, league)
     columns = [c for c in sides.columns if c not in (key, "site", *by, week, "team")]
     packed = F.struct(*columns)
-    nested = sides.groupBy(key).agg(
+    # The rows meet before they are grouped: structs are grouped by sorting, which would be done on both ends of the shuffle.
+    nested = sides.repartition(key).groupBy(key).agg(
         F.any_value(F.when(F.col("site") == "H", packed), True).alias("_h"),
         F.any_value(F.when(F.col("site") == "A", packed), True).alias("_a"))
-    flat = nested.select(key, *[F.col(f"_{s[0]}.{c}").alias(f"{s}_{c}") for s in ("home", "away") for c in columns])
+    plain = [c for c in columns if c not in STATS]
+    flat = nested.select(key, *[c for s in ("home", "away") for c in (
+        *[F.col(f"_{s[0]}.{c}").alias(f"{s}_{c}") for c in plain], *[c.alias(f"{s}_{n}") for n, c in means(f"_{s[0]}.").items()])])
     promoted = quotes.promote_lines(games, pinned, key, policy=policy, ties=ties)
     out = games.join(promoted.drop("provenance", "used_records", "markets"), key, "left").join(flat, key, "left")
     if "spread" in games.columns:

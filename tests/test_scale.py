@@ -60,3 +60,25 @@ def test_timeline_documents_are_compressed(spark, tmp_path):
 def test_record_moves_counts_and_no_entries(spark):
     text = plan(entry.queries()["timeline_record"](spark, SF))
     assert "Generate" not in text and "collect_list" not in text
+
+
+def test_totals_of_odd_weeks_without_a_grid_in_the_shuffle(spark):
+    rows = [(2025, 1, 3, 10), (2025, 1, 5, 7), (2025, 1, None, 100), (2025, 2, 0, 4), (2025, 2, 6, 1), (2025, 3, None, 9), (2025, None, 2, 5), (None, 4, 2, 5)]
+    weekly = spark.createDataFrame(rows, "season int, team int, wk int, pts int")
+    out = teams.to_date(weekly, ["pts"], ["season"], played="played")
+    assert "Union" not in plan(out)
+    got = {(r.season, r.team, r.wk): (r.pts, r.played) for r in out.collect()}
+    want = {}
+    for team in (1, 2, 3, None):
+        mine = [(w, p) for s, t, w, p in rows if s == 2025 and t == team]
+        for wk in range(min([1, *[w for w, _ in mine if w is not None]]), 7):
+            want[2025, team, wk] = (sum(p for w, p in mine if w is None or w < wk), any(w == wk for w, _ in mine))
+    assert got == want and out.count() == len(want)
+
+
+def test_pool_takes_sums_and_works_out_means_behind_the_shuffle(spark):
+    df = spark.range(60).select((F.col("id") % 3).alias("s"), F.col("id").alias("team"), (F.col("id") * 37 % 11).alias("x"), (F.col("id") % 4).alias("n"))
+    mean = F.try_divide("x", "n")
+    got = ranks.dense_rank_league(df, ["s"], {"m": True}, derived={"m": mean}, store=False)
+    want = ranks.dense_rank_league(df.withColumn("m", mean), ["s"], {"m": True})
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
