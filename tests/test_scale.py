@@ -82,3 +82,8 @@ def test_pool_takes_sums_and_works_out_means_behind_the_shuffle(spark):
     got = ranks.dense_rank_league(df, ["s"], {"m": True}, derived={"m": mean}, store=False)
     want = ranks.dense_rank_league(df.withColumn("m", mean), ["s"], {"m": True})
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_game_view_leaves_weeks_without_a_game_behind(spark):
+    text = plan(entry.queries()["game_view"](spark, SF))
+    assert "_played" in text and "Union" not in text
