@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import tuesday_start
 from ..operators.matching import pin_events
-from .latest import LatestTable, newest_version, run_available
+from .latest import LatestTable, newest_version, run_available, state_on_disk
 from .versions import VersionedTable
 from .weeks import OpenWeeks, batch_watermark
 
@@ -22,10 +22,20 @@ def stream_quotes(quotes: DataFrame, table: VersionedTable, checkpoint: str, arr
     Rows that were seen within ``delay`` of their first arrival, as in a file that is sent again, are dropped before they are
     written. ``arrived`` is the time of arrival and not the quote's own time: a quote of long ago that arrives now is no
     late row, so none is lost. A repetition after ``delay`` passes and changes nothing, since the rule is a maximum.
+
+    The state has one digest of 128 bits for each row, in RocksDB: it lies on disk, and its memory is bounded.
     """
     columns = [c for c in quotes.columns if c != arrived]
-    fresh = quotes.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(columns).drop(arrived)
-    run_available(fresh.writeStream.foreachBatch(table.write_batch), checkpoint)
+    marked = quotes.withColumns(row_digest(columns)).withWatermark(arrived, delay)
+    fresh = marked.dropDuplicatesWithinWatermark(list(row_digest(columns))).drop(arrived, *row_digest(columns))
+    with state_on_disk(quotes.sparkSession):
+        run_available(fresh.writeStream.foreachBatch(table.write_batch), checkpoint)
+
+
+def row_digest(columns: list[str]) -> dict[str, Column]:
+    """128 bits that tell rows apart. The hash passes over nulls, so which values are null is hashed as well."""
+    values = [*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns]]
+    return {"_digest_1": F.xxhash64(*values), "_digest_2": F.xxhash64(F.lit(len(columns) + 1), *reversed(values))}
 
 
 def week_window(ts: str):

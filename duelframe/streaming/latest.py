@@ -7,6 +7,9 @@ newest-per-key rule, and ``compact`` folds them into one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranks import latest_per_key
@@ -30,6 +33,28 @@ class LatestTable:
         return LatestTable(target, self.keys, self.ts, self.ties)
 
 
+# State of any size on disk; of an executor's memory it takes so many MB in all, whatever the number of partitions.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start here keep their state in RocksDB; a checkpoint that began with another store goes on with it."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_available(stream_writer, checkpoint: str) -> None:
     """Process everything that is there now, then stop."""
     query = stream_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

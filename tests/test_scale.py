@@ -87,3 +87,19 @@ def test_pool_takes_sums_and_works_out_means_behind_the_shuffle(spark):
 def test_game_view_leaves_weeks_without_a_game_behind(spark):
     text = plan(entry.queries()["game_view"](spark, SF))
     assert "_played" in text and "Union" not in text
+
+
+def test_quote_state_lies_on_disk(spark, tmp_path):
+    q = spark.createDataFrame([(1, "x", None, BASE), (1, "x", None, BASE), (1, None, "x", BASE), (2, "y", "z", BASE)], "k int, a string, b string, at timestamp")
+    q.write.parquet(f"{tmp_path}/feed")
+    feed = spark.readStream.schema(q.schema).parquet(f"{tmp_path}/feed").withColumn("arrived", F.current_timestamp())
+    table = VersionedTable(f"{tmp_path}/table", ["k", "a"], "at", ["b"])
+    jobs.stream_quotes(feed, table, f"{tmp_path}/checkpoint", "arrived")
+    assert table.read(spark).count() == 3
+    assert glob.glob(f"{tmp_path}/checkpoint/state/0/0/*.zip") + glob.glob(f"{tmp_path}/checkpoint/state/0/0/*.changelog")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").find("RocksDB") < 0
+
+
+def test_digests_tell_null_places_apart(spark):
+    q = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int").withColumns(jobs.row_digest(["a", "b"]))
+    assert q.select("_digest_1").distinct().count() == q.select("_digest_2").distinct().count() == 4
