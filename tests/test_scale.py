@@ -103,3 +103,12 @@ def test_quote_state_lies_on_disk(spark, tmp_path):
 def test_digests_tell_null_places_apart(spark):
     q = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int").withColumns(jobs.row_digest(["a", "b"]))
     assert q.select("_digest_1").distinct().count() == q.select("_digest_2").distinct().count() == 4
+
+
+def test_pro_lines_are_read_once(spark):
+    page = "\n".join(["   1  Alpha  Team*          =  20.50   4  1  0   19.25(   3) (AFC EAST)", "2\tBeta\f = 18.00 |17.5( 4)| (NFC)", "   2  Gamma  =  1.00 (AFC)",
+                      "   1  Alpha  Team           =  20.50   4  1  0   19.25(   3) (AFC EAST)", "   3  Gamma = 2.00 (NFC)", "   x  Delta = 2.00 (NFC)", "9 Eps = 3.00"])
+    out = ratings.parse_rating_pages(spark.createDataFrame([(1, page)], "page int, text string"), ["page"], style="pro")
+    assert "translate(" not in plan(out)
+    assert sorted((r.pr_rank, r.team_raw, r.pr, r.sos, r.sos_rank) for r in out.collect()) == [
+        (1, "Alpha Team", 20.5, 19.25, 3), (2, "Beta", 18.0, 17.5, 4), (3, "Gamma", 2.0, None, None)]
