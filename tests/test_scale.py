@@ -112,3 +112,15 @@ def test_pro_lines_are_read_once(spark):
     assert "translate(" not in plan(out)
     assert sorted((r.pr_rank, r.team_raw, r.pr, r.sos, r.sos_rank) for r in out.collect()) == [
         (1, "Alpha Team", 20.5, 19.25, 3), (2, "Beta", 18.0, 17.5, 4), (3, "Gamma", 2.0, None, None)]
+
+
+def test_rank_maps_are_joined_once_for_each_side(spark):
+    rows = spark.createDataFrame([(1, 1, 1, "a", "b", 0), (2, 1, 1, "b", "c", 7), (3, 1, 1, "c", None, None), (4, None, 1, "a", "d", None)],
+                                 "id int, season int, wk int, team string, opp string, r int").withColumn("o", F.lit(None).cast("int"))
+    schema = "season int, wk int, team string, rank double"
+    first = spark.createDataFrame([(1, 1, "a", 0.0), (1, 1, "b", 4.0), (1, 1, "b", 5.0), (None, 1, "a", 3.0)], schema)
+    second = spark.createDataFrame([(1, 1, "a", 8.0), (1, 1, "c", 9.0), (1, 1, "b", 2.0)], schema)
+    out = ratings.rank_fallback(rows, [first, second], ["season"], {"r": ("team", "rank"), "o": ("opp", "rank")})
+    assert plan(out).count("LeftOuter") == plan(rows.join(rows.select("id"), "id", "left")).count("LeftOuter") * 2
+    assert sorted(((x.id, x.r, x.o) for x in out.collect()), key=repr) == sorted(
+        [(1, 8, 4), (1, 8, 5), (2, 7, 9), (2, 7, 9), (3, 9, None), (4, None, None)], key=repr)
