@@ -124,3 +124,8 @@ def test_rank_maps_are_joined_once_for_each_side(spark):
     assert plan(out).count("LeftOuter") == plan(rows.join(rows.select("id"), "id", "left")).count("LeftOuter") * 2
     assert sorted(((x.id, x.r, x.o) for x in out.collect()), key=repr) == sorted(
         [(1, 8, 4), (1, 8, 5), (2, 7, 9), (2, 7, 9), (3, 9, None), (4, None, None)], key=repr)
+
+
+def test_update_cuts_the_home_side_only(spark):
+    text = plan(entry.queries()["timeline_update"](spark, SF))
+    assert "Generate" not in text and "collect_list" not in text
