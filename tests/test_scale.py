@@ -129,3 +129,8 @@ def test_rank_maps_are_joined_once_for_each_side(spark):
 def test_update_cuts_the_home_side_only(spark):
     text = plan(entry.queries()["timeline_update"](spark, SF))
     assert "Generate" not in text and "collect_list" not in text
+
+
+def test_week_view_leaves_weeks_without_a_game_behind(spark):
+    text = plan(entry.queries()["week_view"](spark, SF))
+    assert "_played" in text and "Union" not in text
