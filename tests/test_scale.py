@@ -134,3 +134,8 @@ def test_update_cuts_the_home_side_only(spark):
 def test_week_view_leaves_weeks_without_a_game_behind(spark):
     text = plan(entry.queries()["week_view"](spark, SF))
     assert "_played" in text and "Union" not in text
+
+
+def test_game_provenance_leaves_weeks_without_a_game_behind(spark):
+    text = plan(entry.queries()["game_provenance"](spark, SF))
+    assert "_played" in text and "Union" not in text
